@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import kneser_ney, neardup
+from . import chat, kneser_ney, mtree, neardup, packing, pii, redirects, tokens, toxicity, wu_manber
 from .stage import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: The rules (action, host, path) of op9.
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
@@ -37,12 +47,154 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "<|im_end|><|im_start|>assistant ok"
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    return chat.digests(chat.format_chats(rows.unionByName(own)))
+
+
+OP4_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+u AS (
+  SELECT *, contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR contains(role, '<|im_start|>') OR contains(role, '<|im_end|>')
+         OR contains(role, chr(10)) OR starts_with(role, '\') AS conflict FROM t),
+v AS (
+  SELECT *, CASE WHEN conflict THEN 25 + 2 * octet_length(encode(role)) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) ELSE 24 + length(role) + length(text) END AS shown FROM u)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(shown) AS BIGINT) AS formatted_chars
+FROM v GROUP BY conv_id
+"""
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wu_manber.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP7_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+pat AS (SELECT DISTINCT item_id, least(10, len(ws)) AS m, array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') AS p
+        FROM b, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS r(i) WHERE len(ws) > 0),
+ms AS (SELECT DISTINCT m FROM pat),
+g AS (SELECT doc_id, i, m, array_to_string(ws[i:i + m - 1], ' ') AS p FROM (SELECT * FROM d, ms), unnest(range(1, len(ws) - m + 2)) AS r(i)),
+hit AS (SELECT doc_id, i, m, item_id FROM g JOIN pat USING (p, m)),
+pos AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS k FROM hit) GROUP BY 1),
+it AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(pos.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return mtree.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.v, v.v) AS BIGINT) AS score
+  FROM v q JOIN v ON v.vec_id <> q.vec_id AND len(v.v) = len(q.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redirects.verdicts(table(spark, sf_dir, "pages"), RULES)
+
+
+def _rule_sql(host: str, path: str, what: int) -> str:
+    out = "CASE"
+    for rule in sorted(RULES, key=lambda r: -len(r[1] + r[2])):
+        value = rule[1] + rule[2] if what else rule[0]
+        out += f" WHEN ({host} = '{rule[1]}' OR ends_with({host}, '.{rule[1]}')) AND starts_with({path}, '{rule[2]}') THEN '{value}'"
+    return out + " END"
+
+
+def _host_sql(url: str) -> str:
+    return f"coalesce(translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '')"
+
+
+def _path_sql(url: str) -> str:
+    return f"coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '')"
+
+
+def _node_sql(url: str) -> str:
+    bare = f"regexp_replace({url}, '(?s)#.*$', '')"
+    head = f"regexp_extract({bare}, '(?s)^(.*?://[^/?]*)', 1)"
+    return f"(translate({head}, '{UPPER}', '{LOWER}') || substr({bare}, length({head}) + 1))"
+
+
+OP9_SQL = rf"""
+WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+found AS (
+  SELECT url, replace(trim(coalesce(
+    CASE WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?\s*canonical\b') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) END,
+    CASE WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b') THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END)), '&amp;', '&') AS target FROM tags),
+seen AS (
+  SELECT url, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '//') THEN regexp_extract(url, '^([^:/]+:)//', 1) || target
+    WHEN starts_with(target, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target END AS target FROM found WHERE target <> ''),
+edges AS (SELECT {_node_sql('url')} AS u, {_node_sql('target')} AS v FROM seen WHERE target IS NOT NULL),
+ways AS (SELECT u, v FROM edges WHERE u <> v UNION SELECT v, u FROM edges WHERE u <> v),
+reach(a, b) AS (SELECT DISTINCT u, u FROM ways UNION SELECT reach.a, ways.v FROM reach JOIN ways ON ways.u = reach.b),
+ruled AS (SELECT a, {_rule_sql(_host_sql('b'), _path_sql('b'), 0)} AS action FROM reach),
+carried AS (SELECT a AS node, CASE WHEN bool_or(coalesce(action = 'allow', false)) THEN 'allow' WHEN bool_or(coalesce(action = 'block', false)) THEN 'block' END AS carried FROM ruled GROUP BY 1),
+p AS (SELECT page_id, {_host_sql('url')} AS host, {_path_sql('url')} AS path, {_node_sql('url')} AS node FROM pages),
+r AS (SELECT *, {_rule_sql('host', 'path', 1)} AS rule, {_rule_sql('host', 'path', 0)} AS own FROM p LEFT JOIN carried USING (node))
+SELECT page_id, host, path, rule, coalesce(own, carried, 'allow') AS verdict,
+       CASE WHEN own IS NOT NULL THEN 'rule' WHEN carried IS NOT NULL THEN 'alias' ELSE 'default' END AS how FROM r
+"""
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [pii.count(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
+    base = pii.listed(F.filter("spans", lambda s: s["base"]))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_packing": op3_packing,
+        "op4_chat": op4_chat,
+        "op5_token_counts": op5_token_counts,
+        "op6_toxicity": op6_toxicity,
+        "op7_decontamination": op7_decontamination,
+        "op8_top_k": op8_top_k,
+        "op9_url_filter": op9_url_filter,
+        "op10_pii": op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op4_chat": OP4_SQL, "op7_decontamination": OP7_SQL, "op8_top_k": OP8_SQL, "op9_url_filter": OP9_SQL}
