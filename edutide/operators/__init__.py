@@ -1 +1 @@
-"""See the README for what this subpackage holds."""
+"""Operators: DataFrames and parameters in, a DataFrame out."""

@@ -1 +1 @@
-"""See the README for what this subpackage holds."""
+"""The registered queries: each operator over the given tables, with the same in SQL beside it."""
