@@ -42,7 +42,7 @@ def telemetry(events: DataFrame) -> DataFrame:
 
 #: The same mapping in SQL, as a common table expression named t.
 TELEMETRY_SQL = """t0 AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
-t AS (SELECT event_id AS mid, epoch_ms(ts) AS ets,
+t AS (SELECT event_id AS mid, epoch_us(ts) // 1000 AS ets,
   CASE event_type WHEN 'view' THEN 'IMPRESSION' WHEN 'click' THEN 'INTERACT' WHEN 'signup' THEN 'START' WHEN 'purchase' THEN 'END' WHEN 'error' THEN 'INTERRUPT' END AS eid,
   'u' || user_id AS uid, 'd' || (user_id % 40) AS did, 'c' || (k % 20) AS content, 'p' || (k % 7) AS page,
   'u' || user_id || '-' || strftime(ts, '%Y%m%d') AS sid, 'ch' || (user_id % 3) AS channel, 'app' || (user_id % 2) AS app,
