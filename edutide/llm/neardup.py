@@ -2,8 +2,9 @@
 
 Plan: whole texts -> distinct word shingles -> one fingerprint per set, so exact copies collapse before anything else ->
 minima of 128 hash functions per distinct set, of which two low bits are kept, packed in four longs -> 32 bands of four
-minima give buckets -> each set against the smallest of its bucket, then members of different components inside a bucket,
-filtered by the collision-corrected estimate from bit counts -> links confirmed on full sets -> connected components.
+minima give buckets -> each set against the smallest of its bucket, by the collision-corrected estimate from bit counts, then
+on full sets -> connected components. Buckets that still hold several components make families; there, in blocks, all members
+of different components are tried in the same two ways -> connected components of all links.
 
 A pair of similarity 0.85 shares no bucket with probability (1 - 0.85^4)^32 = 6e-11, at 0.8 it is 5e-8. The estimate has a
 standard error of 0.037 there; the filter stands six of them below the threshold, so that it drops no true link in practice.
@@ -14,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,8 @@ HASHES = BANDS * ROWS
 #: Low bits kept of each minimum, and longs that hold them.
 BITS = 2
 LONGS = HASHES * BITS // 64
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 2048
+#: Members of a family that one task compares with as many others.
+BLOCK = 1024
 
 _SEED = np.arange(1, 2 * HASHES + 1, dtype=np.uint64)
 _A, _B = mix(_SEED[:HASHES]) | np.uint64(1), mix(_SEED[HASHES:])
@@ -125,22 +125,63 @@ def least_equal(threshold: float) -> int:
     return int(HASHES * (p - 6 * (p * (1 - p) / HASHES) ** 0.5))
 
 
-def _across(least: int):
-    """Pairs of one block pair of a bucket that lie in different components and have enough equal minima."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[1], key[2]
-        left, right = rows[rows.block == i], rows[rows.block == j]
-        sig = np.array(right.sig.tolist(), np.int64).view(np.uint64).reshape(len(right), LONGS)
-        rid, rc = right.id.to_numpy(), right.component.to_numpy()
-        out = []
-        for lid, lc, ls in zip(left.id.to_numpy(), left.component.to_numpy(), left.sig):
-            x = sig ^ np.array(ls, np.int64).view(np.uint64)
+def _lists(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, one list after another, and where each list begins (one more than lists)."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).view(kind), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def _bitsets(values: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """A bit set per list over the values that two or more lists have."""
+    u, at, n = np.unique(values, return_inverse=True, return_counts=True)
+    place = np.cumsum(n > 1) - 1
+    owner = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    shared = n[at] > 1
+    at, owner = place[at[shared]], owner[shared]
+    bits = np.zeros((len(off) - 1, int((n > 1).sum()) // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (owner, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+    return bits
+
+
+#: Longs of bit sets that a task holds; larger blocks are intersected pair by pair.
+BIT_LONGS = 16 << 20
+
+
+def _across(least: int, percent: int):
+    """Links between different components in one pair of blocks of a family, confirmed on full sets. As soon as a link joins
+    two components they count as one, so at most one row fewer than members comes back."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        block, ids = rows.column("block").to_numpy(), rows.column("id").to_numpy()
+        label = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
+        sig = _lists(rows.column("sig"), np.uint64)[0].reshape(len(ids), LONGS)
+        values, off = _lists(rows.column("set"), np.int64)
+        size = np.diff(off)
+        shared_longs = len(values) // 128 + 1
+        bits = _bitsets(values, off) if shared_longs * len(ids) <= BIT_LONGS else None
+        right = np.flatnonzero(block == j)
+        out: list[tuple[int, int]] = []
+        for a in np.flatnonzero(block == i):
+            some = right[(label[right] != label[a]) & (np.minimum(size[right], size[a]) * 100 >= np.maximum(size[right], size[a]) * percent)]
+            if i == j:
+                some = some[some > a]
+            x = sig[some] ^ sig[a]
             differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
-            hit = np.flatnonzero((HASHES - differ >= least) & (rc != lc) & ((rid > lid) | (i != j)))
-            if len(hit):
-                out.append(pd.DataFrame({"a": np.minimum(lid, rid[hit]), "b": np.maximum(lid, rid[hit])}))
-        return pd.concat(out) if out else pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+            some = some[HASHES - differ.astype(np.int64) >= least]
+            if not len(some):
+                continue
+            if bits is not None:
+                common = np.bitwise_count(bits[some] & bits[a]).sum(axis=1).astype(np.int64)
+            else:
+                mine = values[off[a] : off[a + 1]]
+                common = np.array([len(np.intersect1d(mine, values[off[b] : off[b + 1]], assume_unique=True)) for b in some])
+            for b in some[common * 100 >= (size[some] + size[a] - common) * percent]:
+                if label[b] != label[a]:
+                    label[label == label[b]] = label[a]
+                    out.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([x for _, x in out], pa.int64())})
 
     return run
 
@@ -178,13 +219,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = stored(confirmed(hubs.select("a", "b")), "links")
     joined = stored(connected_components(links), "joined")
-    # Buckets whose members the hubs have not brought together: pairs across components.
+    # Buckets whose members the hubs have not brought together make families, of which every pair of components is tried.
     placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo != hi").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    placed = placed.select("bucket", "id", "component").join(open_, "bucket").join(signs.select("id", "sig"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "sig")
-    across = stored(spread.groupBy("bucket", "i", "j").applyInPandas(_across(least), "a long, b long").distinct(), "across")
-    more = stored(confirmed(across), "more-links")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi and n > 2").select("bucket")
+    families = connected_components(members.join(open_, "bucket", "left_semi").select(F.col("hub").alias("u"), F.col("id").alias("v")), "families").toDF("id", "family")
+    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    spread = families.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(joined.withColumnRenamed("node", "id"), "id", "left")
+    spread = spread.join(signs.select("id", "sig"), "id").join(full, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", F.coalesce("component", "id").alias("component"), "sig", "set")
+    more = stored(spread.groupBy("family", "i", "j").applyInArrow(_across(least, percent), "u long, v long"), "more-links")
     merged = connected_components(links.union(more)) if more.limit(1).count() else joined
 
     to_set = some.select("id", "f1", "f2", "n").join(sets.select("f1", "f2", "n", F.col("id").alias("node")), ["f1", "f2", "n"])
