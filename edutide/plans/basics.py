@@ -13,14 +13,39 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
+def exact_rounds(sql: str) -> str:
+    """round(x, 2) of doubles as Spark has it: half up on the decimal digits that a double is written with."""
+    at = 0
+    while (at := sql.find("round(", at)) >= 0:
+        depth, end = 1, at + 6
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        inner = sql[at + 6 : end - 1]
+        if inner.endswith(", 2"):
+            sql = f"{sql[:at]}CAST(round(CAST({inner[:-3]} AS DECIMAL(30, 10)), 2) AS DOUBLE){sql[end:]}"
+            at += len("CAST(round(")
+        else:
+            at += 6
+    return sql
+
+
+def registry(queries: dict, sqls: dict[str, str]):
+    """A decorator that registers a query of (spark, folder) under a name, with its SQL."""
+
+    def query(name: str, sql: str | None = None):
+        def add(f):
+            queries[name] = f
+            if sql:
+                sqls[name] = exact_rounds(sql)
+            return f
+
+        return add
+
+    return query
+
+
+query = registry(QUERIES, SQL)
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:

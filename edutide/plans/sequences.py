@@ -8,20 +8,13 @@ from pyspark.sql import functions as F
 from edutide.operators import sessions, workflow
 from edutide.sources.telemetry import TELEMETRY_SQL, read
 
-from .basics import events
+from .basics import events, registry
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
+query = registry(QUERIES, SQL)
 
 
 def gaps_sql(keys: str, idle_s: int = 600, of: str = "t") -> str:
