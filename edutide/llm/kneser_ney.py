@@ -125,33 +125,75 @@ def log_probabilities(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]
     return q.select("g", F.log("p").cast("float").alias("lp"))
 
 
-def _distinct(order: int):
+def _packed(g: np.ndarray) -> bytes:
+    """Sorted n-grams as compressed differences, after their number."""
+    return len(g).to_bytes(8, "little") + pa.compress(np.diff(g, prepend=0).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    return np.cumsum(np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.int64)) if n else np.zeros(0, np.int64)
+
+
+def _asked(order: int):
+    """What this task's texts ask for, block by block: distinct n-grams, packed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have: dict[int, list[np.ndarray]] = {}
+        have: dict[int, np.ndarray] = {}
         for b in pieces(batches, 4 << 20):
-            blocks = b.column("block").to_numpy(zero_copy_only=False)
             g, off = grams(b.column("text"), order)
-            of = np.repeat(blocks, np.diff(off))
-            for k in np.unique(blocks):
-                have.setdefault(int(k), []).append(np.unique(g[of == k]))
-                if len(have[int(k)]) > 8:
-                    have[int(k)] = [np.unique(np.concatenate(have[int(k)]))]
-        for k, parts in have.items():
-            u = np.unique(np.concatenate(parts))
-            for at in range(0, len(u), 100_000):
-                v = u[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), k, np.int32)), pa.array(v)], ["block", "g"])
+            of = np.repeat(b.column("block").to_numpy(zero_copy_only=False), np.diff(off))
+            by = np.lexsort((g, of))
+            g, of = g[by], of[by]
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (of[1:] != of[:-1])
+            g, of = g[new], of[new]
+            blocks, at = np.unique(of, return_index=True)
+            for k, part in zip(blocks.tolist(), np.split(g, at[1:])):
+                have[k] = np.union1d(have[k], part) if k in have else part
+            if sum(map(len, have.values())) > 8_000_000:
+                yield _rows(have)
+                have = {}
+        if have:
+            yield _rows(have)
 
     return run
 
 
+def _rows(have: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([_packed(g) for g in have.values()], pa.binary())], ["block", "grams"])
+
+
+def _union(key: tuple, asked: pa.Table) -> pa.Table:
+    g = np.unique(np.concatenate([_unpacked(x) for x in asked.column("grams").to_pylist()]))
+    return pa.table({"block": np.full(len(g), key[0].as_py(), np.int32), "g": g})
+
+
+_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+
+
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch that go to one block, as one compressed value: a shuffle then moves less than the stored table."""
+    for b in pieces(batches, 16 << 20):
+        of = b.column("block").to_numpy(zero_copy_only=False)
+        rows = pa.table({"row": b.column("row"), "lang": b.column("lang").cast(pa.string()), "text": b.column("text").cast(pa.large_string())})
+        blocks, blobs = np.unique(of), []
+        for k in blocks:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=_ZSTD) as out:
+                out.write_table(rows.take(pa.array(np.flatnonzero(of == k))))
+            blobs.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), pa.array(blobs, pa.binary())], ["block", "rows"])
+
+
 def _score(order: int):
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         g = known.column("g").to_numpy()
         by = np.argsort(g)
         g, lp = g[by], known.column("lp").to_numpy()[by]
         ids, langs, sums, sizes = [], [], [], []
-        for b in pieces(iter(texts.to_batches()), 1 << 20):
+        bundles = (b for blob in texts.column("rows").to_pylist() for b in pa.ipc.open_stream(blob))
+        for b in pieces(bundles, 1 << 20):
             codes, off = grams(b.column("text"), order)
             sums.append(np.add.reduceat(lp[np.searchsorted(g, codes)].astype(np.float64), off[:-1]))
             sizes.append(np.diff(off))
@@ -167,12 +209,13 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
     spark, order = docs.sparkSession, len(model)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(2 * parallelism(spark), -(-size // BLOCK_BYTES))
-    # Both uses below read the same exchange.
-    dealt = docs.select("row", "lang", "text", F.pmod(F.xxhash64("row", "text"), F.lit(blocks)).cast("int").alias("block")).repartition("block")
-    pairs = stored(dealt.mapInArrow(_distinct(order), "block int, g long"), "block-ngrams")
+    dealt = docs.select("row", "lang", "text", F.pmod(F.xxhash64("row", "text"), F.lit(blocks)).cast("int").alias("block"))
+    asked = dealt.select("block", "text").mapInArrow(_asked(order), "block int, grams binary")
+    pairs = stored(asked.groupBy("block").applyInArrow(_union, "block int, g long"), "block-ngrams")
     known = stored(log_probabilities(pairs.select("g").distinct(), model), "ngram-logs")
-    answers = pairs.join(known, "g")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order), "row long, lang string, logp double, units long")
+    answers = pairs.join(small_side(known), "g")
+    bundles = dealt.mapInArrow(_bundled, "block int, rows binary")
+    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order), "row long, lang string, logp double, units long")
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 5, quantile: float = 0.99, slack: float = 1.1, prior: int = 100) -> DataFrame:

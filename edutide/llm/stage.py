@@ -1,32 +1,16 @@
-"""Shared plumbing of the training-data operators: stored intermediates, size-checked broadcasts, reading tables."""
+"""Shared plumbing of the training-data operators: size-checked broadcasts, reading tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of (long, small value) up to which a side may be broadcast: 4 million rows of 16 bytes, 64 MB.
-BROADCAST_ROWS = 4_000_000
-
+from edutide.sources.shared import stored
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), a temporary one, set once."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+__all__ = ["parallelism", "small_side", "stored", "table"]
 
-
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back, which cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/edutide/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows of (long, small value) up to which a side may be broadcast: 4 million rows of 16 bytes, 64 MB.
+BROADCAST_ROWS = 4_000_000
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
