@@ -1,0 +1,256 @@
+"""Operators on whole texts against plain versions of themselves."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from edutide.llm import bytewords, neardup, packing, pii, queries, tokens, wu_manber
+from edutide.llm.units import Units
+
+LOW = str.maketrans(queries.UPPER, queries.LOWER)
+
+
+def plain_words(text, pattern):
+    return re.findall(pattern, (text or "").translate(LOW))
+
+
+SPACED, ALNUM = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@pytest.mark.parametrize("table, pattern", [(bytewords.NOT_SPACE, SPACED), (bytewords.ALPHANUMERIC, ALNUM)])
+def test_words_are_those_of_the_expression(edge_texts, table, pattern):
+    w = bytewords.split(pa.array(edge_texts, pa.string()), table)
+    for i, t in enumerate(edge_texts):
+        assert [w.text(k).decode() for k in range(w.first[i], w.first[i + 1])] == plain_words(t, pattern)
+    words = [w.text(k) for k in range(len(w.start))]
+    by_word = {}
+    for x, h in zip(words, w.hashes().tolist()):
+        assert by_word.setdefault(x, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def shingle_set(text, k):
+    w = plain_words(text, SPACED)
+    return {tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
+def plain_components(texts, k, percent):
+    sets = {i: shingle_set(t, k) for i, t in texts.items()}
+    up = {i: i for i in sets}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            shared = len(sets[a] & sets[b])
+            if a < b and sets[a] and sets[b] and 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
+                lo, hi = sorted((top(a), top(b)))
+                up[hi] = lo
+    return sets, {i: top(i) for i in sets}
+
+
+@pytest.mark.parametrize("k, percent", [(3, 85), (5, 80)])
+def test_near_duplicates(edge_docs, edge_texts, k, percent):
+    sets, comp = plain_components(dict(enumerate(edge_texts)), k, percent)
+    rows = neardup.near_duplicates(edge_docs, shingle=k, percent=percent).collect()
+    assert len(rows) == edge_docs.count()
+    for r in rows:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), comp[r.doc_id], comp[r.doc_id] == r.doc_id)
+
+
+def test_near_duplicate_chains_and_one_large_family(spark):
+    """Copies whose neighbours are linked but not the ends, and many that share half: links must be those of brute force."""
+    rnd = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = {}
+    for i in range(40):  # a chain: one more word is changed at each step
+        texts[i] = " ".join([f"z{j}" if j < 2 * (i % 20) else w for j, w in enumerate(base)])
+    for i in range(40, 160):  # a family around the threshold
+        words = [f"v{j}" for j in range(80)]
+        for j in rnd.integers(0, 80, 3):
+            words[j] = f"r{rnd.integers(0, 9)}"
+        texts[i] = " ".join(words)
+    _, comp = plain_components(texts, 3, 85)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(df, shingle=3, percent=85).collect()} == comp
+
+
+def test_family_task_in_blocks_without_bit_sets(monkeypatch):
+    """Blocks against each other, and the way for sets too large for bit sets, give links that connect the same members."""
+    sets = [list(range(100)), list(range(2, 102)), list(range(500, 600)), list(range(501, 601)), list(range(900, 950))]
+    h = np.array([bytewords.mix(np.array(s, np.uint64)) for s in sets], dtype=object)
+    flat, off = np.concatenate(list(h)), np.concatenate([[0], np.cumsum([len(x) for x in h])])
+    m = neardup.minima(flat, off[:-1])
+    table = pa.table({"block": pa.array([0, 1, 0, 1, 1], pa.int32()), "id": pa.array([1, 2, 3, 4, 5]), "component": pa.array([1, 2, 3, 4, 5]), "sig": [r.tolist() for r in neardup.pack(m)], "set": [x.view(np.int64).tolist() for x in h]})
+    for longs in (neardup.BIT_LONGS, 0):
+        monkeypatch.setattr(neardup, "BIT_LONGS", longs)
+        out = neardup._across(neardup.least_equal(0.85), 85)((pa.scalar(0), pa.scalar(0), pa.scalar(1)), table)
+        assert sorted(zip(out.column("u").to_pylist(), out.column("v").to_pylist())) == [(1, 2), (3, 4)]
+
+
+def test_estimate_follows_similarity():
+    rnd = np.random.default_rng(1)
+    for j in (0.5, 0.8, 0.95):
+        shared = int(2000 * 2 * j / (1 + j) / 2)
+        pool = rnd.integers(0, 2**63, 4000, dtype=np.uint64)
+        a, b = pool[:1000], np.concatenate([pool[: int(1000 * 2 * j / (1 + j))], pool[2000 : 2000 + 1000 - int(1000 * 2 * j / (1 + j))]])
+        m = neardup.minima(np.concatenate([a, b]), np.array([0, len(a)]))
+        low = m & np.uint64(3)
+        assert abs(neardup.corrected(float((low[0] == low[1]).sum())) - j) < 0.2 and shared
+
+
+def test_near_duplicates_of_nothing(no_docs):
+    assert neardup.near_duplicates(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("name, with_space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_units_give_the_library_ids(edge_texts, name, with_space):
+    u = Units(queries.tokenizer_path(name), with_space)
+    usual = [t for t in edge_texts if not t or " " not in t and "\x01" not in t]
+    for _ in range(2):  # the second time from memory
+        ids, off = u.encode(pa.array(usual, pa.string()))
+        for i, t in enumerate(usual):
+            assert ids[off[i] : off[i + 1]].tolist() == u.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_token_counts(edge_docs, edge_texts, no_docs):
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    t = Units(path, True).tokenizer
+    rows = tokens.token_counts(edge_docs, path).collect()
+    assert len(rows) == edge_docs.count()
+    for r in rows:
+        if r.doc_id is not None:
+            text = edge_texts[r.doc_id] or ""
+            n = len(t.encode(text, add_special_tokens=False).ids)
+            assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text.encode()), n, n > 512)
+    assert tokens.token_counts(no_docs, path).count() == 0
+
+
+@pytest.mark.parametrize("chunk, overlap", [(200, 8), (1000, 32), (5000, 256)])
+def test_overlapping_chunks_splice_to_the_whole(edge_texts, chunk, overlap):
+    t = Units(queries.tokenizer_path("byte_bpe_50k.json"), True).tokenizer
+    for text in [x for x in edge_texts if x and len(x) > 400] + ["x" * 3000 + " y", "\n\n  a" * 500, "日本語" * 700, "a <|endoftext|> b " * 80]:
+        text = text[:12000]
+        assert tokens.encode_overlapping(t, text, chunk, overlap) == t.encode(text, add_special_tokens=False).ids
+
+
+def test_packing(edge_docs, edge_texts, no_docs):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    t = Units(path, False).tokenizer
+    rows = packing.pack(edge_docs.where("doc_id is not null").dropDuplicates(["doc_id"]), path, length=64, group_bytes=20000).collect()
+    got, bins = {}, {}
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == r.length <= 64
+        got.setdefault(r.doc_id, []).append((r.start, ids.tolist(), r.doc_tokens))
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for i, text in enumerate(edge_texts):
+        parts = sorted(got[i])
+        whole = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        assert [x for _, p, _ in parts for x in p] == whole and {n for _, _, n in parts} == {len(whole)}
+        assert [s for s, _, _ in parts] == np.cumsum([0, *[len(p) for _, p, _ in parts]])[:-1].tolist()
+    for parts in bins.values():
+        parts.sort()
+        assert [o for o, _ in parts] == np.cumsum([0, *[n for _, n in parts]])[:-1].tolist() and sum(n for _, n in parts) <= 64
+    assert packing.pack(no_docs, path).count() == 0
+
+
+def test_first_fit_decreasing_is_the_plain_one():
+    sizes = np.random.default_rng(2).integers(1, 65, 300)
+    free, want = [], {}
+    for i in np.argsort(-sizes, kind="stable"):
+        b = next((k for k, f in enumerate(free) if f >= sizes[i]), len(free))
+        if b == len(free):
+            free.append(64)
+        want[i] = (b, 64 - free[b])
+        free[b] -= sizes[i]
+    bins, offsets = packing.first_fit_decreasing(sizes, 64)
+    assert {i: (b, o) for i, (b, o) in enumerate(zip(bins.tolist(), offsets.tolist()))} == want
+
+
+def test_decontamination(spark, edge_docs, edge_texts, no_docs, monkeypatch):
+    long = edge_texts[57].split()
+    items = [(1, " ".join(long[100:130])), (2, "Two WORDS"), (3, None), (4, "..."), (5, " ".join(long[5990:]) + " tail"), (10, "never there at all in any of these texts I hope so"), (None, " ".join(long[50:60])), (2, "one")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    pats = {}
+    for i, t in items:
+        w = plain_words(t, ALNUM)
+        m = min(10, len(w))
+        for k in range(len(w) - m + 1 if m else 0):
+            pats.setdefault(tuple(w[k : k + m]), set()).add("" if i is None else str(i))
+    for size in (wu_manber.PASS_BYTES, 60):  # one pass, and many
+        monkeypatch.setattr(wu_manber, "PASS_BYTES", size)
+        rows = wu_manber.decontaminate(edge_docs, bench).collect()
+        assert len(rows) == edge_docs.count()
+        for r in rows:
+            w = plain_words("no id here at all" if r.doc_id is None else edge_texts[r.doc_id], ALNUM)
+            hit, found = set(), set()
+            for p, who in pats.items():
+                for k in range(len(w) - len(p) + 1):
+                    if tuple(w[k : k + len(p)]) == p:
+                        hit |= set(range(k, k + len(p)))
+                        found |= who
+            assert (r.n_words, r.n_hit, r.items, r.contaminated) == (len(w), len(hit), sorted(found), bool(hit))
+    assert wu_manber.decontaminate(no_docs, bench).count() == 0
+    assert wu_manber.decontaminate(edge_docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+PII_TEXTS = [
+    "mail a.b+c@d-e.co.uk or x@y, then 10.0.0.255 and 300.1.1.1 and 1.2.3.4.5",
+    "card 4111 1111 1111 1111 and 4111-1111-1111-1112; call +1 (415) 555-0132 or +12 3",
+    "IBAN GB82 WEST 1234 5698 7654 32, not GB82 WEST 1234 5698 7654 33",
+    "phone: 030 1234 567 now, and much later in this text, where the word is far away, 030 1234 567", "é😀 é@x.yy", "", None, "no digits", "0001.002.03.4", "12345678901234567890123",
+]
+
+
+def plain_spans(text):
+    text = text or ""
+    out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m.group() if c.isdigit()]
+        if 12 <= len(digits) <= 19 and sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits[::-1])) % 10 == 0:
+            out.append(("card", m.start(), m.end()))
+    out += [("phone", m.start(), m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
+    return sorted(out, key=lambda x: (x[1], pii.KINDS.index(x[0])))
+
+
+def test_personal_data(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(PII_TEXTS)] + [(None, PII_TEXTS[0], "x"), (0, PII_TEXTS[0], "x")], "doc_id long, text string, spans string")
+    found = pii.personal_data(df)
+    rows = found.select("doc_id", *[pii.count(k).alias(k) for k in ("email", "ip", "card", "phone")], F.sha2(pii.listed(F.filter("spans", lambda s: s["base"])), 256).alias("sha"), "spans").collect()
+    assert len(rows) == df.count()
+    for r in rows:
+        text = PII_TEXTS[r.doc_id or 0]
+        want = plain_spans(text)
+        assert r.sha == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
+        assert [r.email, r.ip, r.card, r.phone] == [sum(k == x for k, _, _ in want) for x in ("email", "ip", "card", "phone")]
+        assert set(want) <= {(s.kind, s.start, s.end) for s in r.spans}
+    extra = {(r.doc_id, s.kind) for r in rows for s in r.spans if not s.base}
+    assert extra == {(2, "iban"), (3, "phone")}
+    assert pii.personal_data(df.limit(0)).count() == 0
+
+
+def test_redaction_leaves_clean_texts(spark):
+    df = spark.createDataFrame([(t,) for t in PII_TEXTS], "text string").select("text", pii.redact("text").alias("out"))
+    for r in df.collect():
+        if r.text and pii.find(r.text):
+            assert "<" in r.out and not [s for s in plain_spans(r.out)]
+        else:
+            assert r.out == r.text
+
+
+def test_crc_of_ids_is_that_of_the_contract(spark):
+    raw = np.array([1, 300, 70000], "<u4").tobytes()
+    assert spark.createDataFrame([(raw,)], "ids binary").select(F.crc32("ids")).first()[0] == zlib.crc32(raw)
