@@ -58,11 +58,12 @@ def _pack(path: str, length: int, end_id: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         ids, lengths, docs = [], [], []
-        for b in pieces(iter(group.to_batches()), 1 << 20):
+        for b in pieces(iter(group.to_batches()), 1 << 18):
             flat, off = units(path, False).encode(b.column("text"))
             ids.append(np.insert(flat, off[1:], end_id))
             lengths.append(np.diff(off) + 1)
             docs.append(b.column("doc_id"))
+        pa.default_memory_pool().release_unused()
         ids, total = np.concatenate([np.zeros(0, np.int32), *ids]), np.concatenate([np.zeros(0, np.int64), *lengths])
         begin = np.cumsum(total) - total
         count = -(-total // length)

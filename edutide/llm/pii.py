@@ -21,7 +21,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.\-])\(?[0-9]{2,5}\)?(?:[\x20.\-][0-9]{2,5}){1,4}(?![0-9.\-])")
 
-#: Words near a span that raise its score, and words that lower it.
+#: Words near a span that raise its score, and words before it that lower it.
 CONTEXT = {
     "email": ({"mail", "email", "e-mail", "contact", "correo"}, {"example"}),
     "ip": ({"ip", "address", "host", "server", "login"}, {"version", "release", "section"}),
@@ -53,9 +53,10 @@ def _digits(s: str) -> str:
 
 
 def _score(text: str, kind: str, start: int, end: int, prior: float) -> float:
-    near = {w.lower() for w in WORD.findall(text[max(0, start - NEAR) : start] + " " + text[end : end + NEAR // 2])}
+    before = {w.lower() for w in WORD.findall(text[max(0, start - NEAR) : start])}
+    near = before | {w.lower() for w in WORD.findall(text[end : end + NEAR // 2])}
     up, down = CONTEXT[kind]
-    return round(min(1.0, max(0.0, prior + 0.3 * bool(near & up) - 0.3 * bool(near & down))), 2)
+    return round(min(1.0, max(0.0, prior + 0.3 * bool(near & up) - 0.3 * bool(before & down))), 2)
 
 
 def find(text: str | None) -> list[tuple[str, int, int, float, bool]]:

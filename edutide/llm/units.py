@@ -17,8 +17,8 @@ from .bytewords import NOT_SPACE, Words, flat, split
 
 #: White space and separators that units don't treat as such, as a class of characters.
 UNUSUAL = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: Distinct units that a worker remembers; beyond, it forgets all and goes on.
-REMEMBERED = 2_000_000
+#: Distinct units that a worker remembers; beyond, it forgets those that it has met seldom.
+REMEMBERED = 500_000
 
 
 def tokenizer(path: str):
@@ -36,6 +36,19 @@ class Units:
     def forget(self) -> None:
         self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ptr, self.size, self.ids = np.zeros(1, np.int64), 0, np.zeros(1 << 16, np.int32)
+        self.met = np.zeros(0, np.int32)
+
+    def trim(self) -> None:
+        keep = self.met[self.slots] > 3
+        if keep.sum() > REMEMBERED // 2:
+            self.forget()
+            return
+        keys, slots = self.keys[keep], self.slots[keep]
+        n = self.ptr[slots + 1] - self.ptr[slots]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        self.ids = self.ids[np.repeat(self.ptr[slots] - upto[:-1], n) + np.arange(upto[-1])]
+        self.keys, self.slots, self.ptr, self.size = keys, np.arange(len(keys)), upto, len(self.ids)
+        self.met = np.zeros(len(keys), np.int32)
 
     def spans(self, texts: pa.Array) -> Words:
         w = split(texts, NOT_SPACE, lower=False)
@@ -55,18 +68,18 @@ class Units:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (one more than texts)."""
+        if len(self.keys) > REMEMBERED:
+            self.trim()
         w = self.spans(texts)
-        u, first, inverse = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        u, first, inverse, count = np.unique(w.hashes(), return_index=True, return_inverse=True, return_counts=True)
         at = np.searchsorted(self.keys, u)
         known = np.zeros(len(u), bool)
         inside = at < len(self.keys)
         known[inside] = self.keys[at[inside]] == u[inside]
         if not known.all():
-            if len(self.keys) > REMEMBERED:
-                self.forget()
-                known[:] = False
             self._learn(u[~known], [w.text(i).decode() for i in first[~known]])
             at = np.searchsorted(self.keys, u)
+        self.met[self.slots[at]] += count.astype(np.int32)
         slot = self.slots[at][inverse] if len(u) else np.zeros(0, np.int64)
         n = self.ptr[slot + 1] - self.ptr[slot]
         upto = np.concatenate([[0], np.cumsum(n)])
@@ -83,6 +96,7 @@ class Units:
         slots = np.arange(len(new)) + len(self.ptr) - 1
         self.ptr = np.concatenate([self.ptr, self.size + np.cumsum(n)])
         self.size += more
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
         keys, slots = np.concatenate([self.keys, keys]), np.concatenate([self.slots, slots])
         order = np.argsort(keys, kind="stable")
         self.keys, self.slots = keys[order], slots[order]
