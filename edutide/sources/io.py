@@ -13,10 +13,9 @@ def json_events(spark: SparkSession, paths: list[str], schema: str) -> DataFrame
 
 
 def malformed(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """How many lines the scan drops."""
-    first = schema.split(",")[0].split()[0]
-    rows = spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").json(paths)
-    return rows.groupBy(F.col("_corrupt_record").isNotNull().alias("bad")).agg(F.count("*").alias("count"), F.count(first).alias("parsed"))
+    """How many lines the scan keeps and drops."""
+    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return spark.read.text(paths).groupBy(parsed["_corrupt_record"].isNotNull().alias("bad")).count()
 
 
 def dated(df: DataFrame, column: Column, end: str, delta_days: int = 0, start: str | None = None, exclude: str | None = None) -> DataFrame:
