@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import ALPHANUMERIC, Words, flat, mix, pieces, split
+from .stage import stored
 
 SAMPLE, SEQUENCES, LONGEST, BUCKETS = 8000, 20000, 48, 1 << 18
 HEADS, TAILS = (3, 4, 5, 6), (3, 4)
@@ -221,8 +222,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, odds: float) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """docs: doc_id, text; labels: doc_id, toxic (0 or 1), training rows only. No toxic or no clean rows: a constant score."""
-    known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    """docs: doc_id, text; labels: doc_id, toxic (0 or 1; an id with both counts as 1), training rows only. No toxic or no clean rows: a constant score."""
+    known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     model = Model(np.zeros(0, np.uint64))
     if len(counts) < 2:
@@ -244,15 +245,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ratio = (F.col("bad") / bad_n) / ((F.col("good") + 0.5) / good_n)
     strong = seen.where("bad >= 3").withColumn("gain", gain).where((ratio >= 10) & (F.col("gain") >= 22)).orderBy(F.desc("gain"), "h").limit(LEXICON)
     model.lexicon = np.sort(np.array([r["h"] for r in strong.select("h").collect()], np.int64).view(np.uint64))
-    made = rows.mapInArrow(_examples(model), "has boolean, f array<int>, y array<byte>")
-    mixed = F.xxhash64("f")
-    some = [made.where("has").orderBy(mixed).limit(SEQUENCES), made.where("not has").orderBy(mixed).limit(SEQUENCES)]
-    got = [r for s in some for r in s.collect()]
-    if got and any(r["has"] for r in got):
-        size = np.array([len(r["y"]) for r in got])
-        width = 1 + len(HEADS) + len(TAILS)
-        features = np.concatenate([np.array(r["f"], np.int32) for r in got]).reshape(-1, width)
-        train_field(features, np.concatenate([np.array(r["y"], np.float64) for r in got]), np.cumsum(size) - size, model)
+    made = stored(rows.mapInArrow(_examples(model), "has boolean, f array<int>, y array<byte>"), "sentences")
+    got = []
+    for kind in ("has", "not has"):
+        some = made.where(kind)
+        part = min(1.0, SEQUENCES / max(1, some.count()))  # by a hash of the sentence: about SEQUENCES come to the driver
+        got.append(some.where(F.pmod(F.xxhash64("f"), F.lit(1_000_000)) < int(part * 1_000_000)).toArrow().combine_chunks())
+    if got[0].num_rows:
+        both = pa.concat_tables(got).combine_chunks()
+        y = both.column("y").combine_chunks()
+        y = y.chunk(0) if isinstance(y, pa.ChunkedArray) else y
+        f = both.column("f").combine_chunks()
+        f = f.chunk(0) if isinstance(f, pa.ChunkedArray) else f
+        size = y.value_lengths().to_numpy()
+        features = f.flatten().to_numpy().reshape(-1, 1 + len(HEADS) + len(TAILS))
+        train_field(features, y.flatten().to_numpy().astype(np.float64), np.cumsum(size) - size, model)
     fitted = rows.mapInArrow(_scores(model), SCORED).select("doc_id", "top", "mass").join(F.broadcast(chosen), "doc_id").select("top", "mass", "toxic").collect()  # as many rows as chosen
     x = np.array([[r["top"], r["mass"]] for r in fitted])
     model.curve = _logistic(x, np.array([r["toxic"] for r in fitted], float), counts[1] / counts[0])
