@@ -1,7 +1,8 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals (operator 6).
 
 Labels are of documents, so token labels are made first: a word is labelled toxic, in a toxic document, if the word itself
-or a beginning of it stands in far more toxic than clean documents (ratio and likelihood ratio). The field has two states,
+or a beginning of it stands in far more toxic than clean documents (ratio and likelihood ratio), unless the word itself is common in clean
+ones. The field has two states,
 transition weights, and hashed features of each word (the word, its beginnings and ends). Sequences are sentences, at most
 LONGEST words each; every word of every text is in one. Forward-backward marginals of all words give a document's expected
 number of toxic words and its most toxic one; a logistic curve over these, fitted on labelled documents, is the score.
@@ -24,7 +25,7 @@ from .bytewords import ALPHANUMERIC, Words, flat, mix, pieces, split
 from .stage import stored
 
 SAMPLE, SEQUENCES, LONGEST, BUCKETS = 8000, 20000, 48, 1 << 18
-HEADS, TAILS = (3, 4, 5, 6), (3, 4)
+HEADS, TAILS = (4, 5, 6), (4,)
 #: Word statistics kept for token labels, at most.
 LEXICON = 20000
 
@@ -61,20 +62,26 @@ def sequences(w: Words) -> np.ndarray:
     return np.flatnonzero(place % LONGEST == 0)
 
 
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array."""
+    if not len(some):
+        return np.zeros(len(values), bool)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
+
+
 @dataclass
 class Model:
     lexicon: np.ndarray  # sorted hashes of words and beginnings that make a token label
+    mild: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # of words that begin so but are common in clean texts
     emission: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
     transition: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     curve: np.ndarray = field(default_factory=lambda: np.array([-2.0, 0.0, 0.0]))
 
     def labels(self, f: np.ndarray) -> np.ndarray:
         out = np.zeros(len(f), bool)
-        if len(self.lexicon):
-            for j in range(1 + len(HEADS)):
-                at = np.minimum(np.searchsorted(self.lexicon, f[:, j]), len(self.lexicon) - 1)
-                out |= self.lexicon[at] == f[:, j]
-        return out
+        for j in range(1 + len(HEADS)):
+            out |= _among(f[:, j], self.lexicon)
+        return out & ~_among(f[:, 0], self.mild)
 
     def energies(self, f: np.ndarray) -> np.ndarray:
         return self.emission[(f & np.uint64(BUCKETS - 1)).astype(np.int64)].sum(axis=1, dtype=np.float64)
@@ -154,6 +161,17 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(bad), pa.array(np.bincount(at, minlength=len(h)).astype(np.int64) - bad)], ["h", "bad", "good"])
 
 
+def _labelled(model: Model):
+    """Distinct words that the lexicon would label, as hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, 1 << 20):
+            f = affixes(split(b.column("text"), ALPHANUMERIC))
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(f[model.labels(f), 0]).view(np.int64))], ["h"])
+
+    return run
+
+
 def _examples(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1 << 20):
@@ -239,12 +257,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         model.curve[0] = 4.0 if bad_n else -4.0
         return model
     seen = rows.mapInArrow(_statistics, "h long, bad long, good long").groupBy("h").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    seen = stored(seen.where("bad >= 1"), "word-statistics")
     share = bad_n / (bad_n + good_n)
     total = F.col("bad") + F.col("good")
     gain = 2 * (F.col("bad") * F.log(F.col("bad") / (total * share)) + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / (total * (1 - share)))).otherwise(0.0))
     ratio = (F.col("bad") / bad_n) / ((F.col("good") + 0.5) / good_n)
-    strong = seen.where("bad >= 3").withColumn("gain", gain).where((ratio >= 10) & (F.col("gain") >= 22)).orderBy(F.desc("gain"), "h").limit(LEXICON)
+    strong = seen.where("bad >= 3").withColumn("gain", gain).where((ratio >= 6) & (F.col("gain") >= 22)).orderBy(F.desc("gain"), "h").limit(LEXICON)
     model.lexicon = np.sort(np.array([r["h"] for r in strong.select("h").collect()], np.int64).view(np.uint64))
+    mild = seen.where((F.col("good") >= 2) & (ratio < 6)).join(rows.mapInArrow(_labelled(model), "h long").distinct(), "h", "left_semi")
+    model.mild = np.sort(np.array([r["h"] for r in mild.select("h").limit(LEXICON).collect()], np.int64).view(np.uint64))
     made = stored(rows.mapInArrow(_examples(model), "has boolean, f array<int>, y array<byte>"), "sentences")
     got = []
     for kind in ("has", "not has"):
