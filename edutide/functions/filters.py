@@ -49,7 +49,7 @@ ALIASES = {
     "sessionId": "sid",
     "telemetryVersion": "ver",
     "itemId": "item",
-    "genieTag": "tags",
+    "tag": "tags",
 }
 
 

@@ -312,7 +312,7 @@ def u10(spark: SparkSession, d: str) -> DataFrame:
     return each.groupBy("kind", "period", "app").agg(F.sum("events").alias("events"), F.count("*").alias("users"))
 
 
-@query("u14_dialcode_fact", f"""WITH {TELEMETRY_SQL}, x AS (SELECT content AS code, count(*) AS scans, min(ets) AS first_ms, max(ets) AS last_ms FROM t WHERE eid = 'INTERACT' GROUP BY 1)
+@query("u14_code_fact", f"""WITH {TELEMETRY_SQL}, x AS (SELECT content AS code, count(*) AS scans, min(ets) AS first_ms, max(ets) AS last_ms FROM t WHERE eid = 'INTERACT' GROUP BY 1)
 SELECT *, CASE WHEN (last_ms - first_ms) // 86400000 = 0 THEN scans ELSE scans // ((last_ms - first_ms) // 86400000) END AS per_day FROM x""")
 def u14(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).where("eid = 'INTERACT'").select(F.col("content").alias("code"), F.lit(1).cast("long").alias("scans"), F.col("ets").alias("first_ms"), F.col("ets").alias("last_ms"), "mid")
