@@ -86,7 +86,12 @@ def g3(spark: SparkSession, d: str) -> DataFrame:
     return summaries.content_usage(plays(spark, d), REGISTERED_TAGS)
 
 
-ANONYMOUS = F.substring("uid", -1, 1) == "7"
+
+
+def anonymous():
+    return F.substring("uid", -1, 1) == "7"
+
+
 G4 = "CAST(sum(ms) AS BIGINT) AS total_ms, count(*) AS total_sessions, CAST(sum(anonymous) AS BIGINT) AS anonymous_sessions, count(DISTINCT uid) AS unique_users, CAST(sum(new_user) AS BIGINT) AS new_user_sessions"
 
 
@@ -94,14 +99,14 @@ G4 = "CAST(sum(ms) AS BIGINT) AS total_ms, count(*) AS total_sessions, CAST(sum(
 x AS (SELECT {FIXED}, uid AS author, {G4} FROM r WHERE anonymous = 0 GROUP BY {FIXED}, uid UNION ALL SELECT {FIXED}, 'all', {G4} FROM r GROUP BY {FIXED})
 SELECT *, round(new_user_sessions * 100 / total_sessions, 2) AS percent_new FROM x""")
 def g4(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.app_usage(plays(spark, d), ANONYMOUS)
+    return summaries.app_usage(plays(spark, d), anonymous())
 
 
 @query("g5_author_usage", f"""WITH {PLAYS_SQL}, r AS (SELECT *, uid AS author, CAST(score > 2 AS INTEGER) AS editor FROM s WHERE right(uid, 1) <> '7'),
 x AS ({cube_sql('r', ['author'], 'CAST(sum(ms) AS BIGINT) AS total_ms, count(*) AS total_sessions, CAST(sum(editor) AS BIGINT) AS editor_visits', tags=False)})
 SELECT *, round(editor_visits * 100 / total_sessions, 2) AS percent_editor FROM x WHERE editor_visits > 0""")
 def g5(spark: SparkSession, d: str) -> DataFrame:
-    return summaries.author_usage(plays(spark, d), ANONYMOUS, F.col("score") > 2)
+    return summaries.author_usage(plays(spark, d), anonymous(), F.col("score") > 2)
 
 
 @query("g6_launch_usage", f"WITH {PLAYS_SQL}, x AS ({cube_sql('s', [], MEASURES + ', count(DISTINCT did) AS unique_did')}) SELECT *, {AVERAGES} FROM x")

@@ -194,3 +194,12 @@ def test_entry_works_without_the_training_data_folder(spark, monkeypatch):
 
     monkeypatch.setitem(sys.modules, "edutide.llm", None)
     assert e.queries() and not [n for n in e.queries() if n.startswith("op") or n == "pipeline"]
+
+
+def test_entry_imports_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 200 and e.oracle_sql()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
