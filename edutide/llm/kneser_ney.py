@@ -56,7 +56,7 @@ def _merge(into: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.n
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        for b in pieces(batches, 4 << 20):
+        for b in pieces(batches, 1 << 20):
             have = _merge(have, grams(b.column("text"), order)[0])
             if len(have[0]) > 4_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in have], ["g", "c"])
@@ -142,7 +142,7 @@ def _asked(order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have: dict[int, np.ndarray] = {}
-        for b in pieces(batches, 4 << 20):
+        for b in pieces(batches, 1 << 20):
             g, off = grams(b.column("text"), order)
             blocks, of = np.unique(b.column("block").to_numpy(zero_copy_only=False), return_inverse=True)
             # One sort of block and n-gram together: 40 bits of n-gram leave room for 2^23 blocks in a piece.
@@ -173,7 +173,7 @@ _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
 def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a batch that go to one block, as one compressed value: a shuffle then moves less than the stored table."""
-    for b in pieces(batches, 16 << 20):
+    for b in pieces(batches, 8 << 20):
         of = b.column("block").to_numpy(zero_copy_only=False)
         rows = pa.table({"row": b.column("row"), "lang": b.column("lang").cast(pa.string()), "text": b.column("text").cast(pa.large_string())})
         blocks, blobs = np.unique(of), []
