@@ -66,6 +66,7 @@ def search(root: Node, top: np.ndarray, x: np.ndarray, exact: np.ndarray, ids: n
             break
         if node.rows is not None:
             maybe = node.rows[at + length * node.away + ROOM >= floor]
+            maybe = maybe[ids[maybe] != own]
             if not len(maybe):
                 continue
             scores = exact[maybe] @ q
@@ -74,13 +75,12 @@ def search(root: Node, top: np.ndarray, x: np.ndarray, exact: np.ndarray, ids: n
             if len(best) == k:
                 keep = scores >= best[0][0]
                 scores, maybe = scores[keep], maybe[keep]
-            order = np.lexsort((ids[maybe], -scores))[: k + 1]
+            order = np.lexsort((ids[maybe], -scores))[:k]
             for s, i in zip(scores[order].tolist(), ids[maybe[order]].tolist()):
-                if i != own:
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i))
-                    elif (s, -i) > best[0]:
-                        heapq.heapreplace(best, (s, -i))
+                if len(best) < k:
+                    heapq.heappush(best, (s, -i))
+                elif (s, -i) > best[0]:
+                    heapq.heapreplace(best, (s, -i))
             if len(best) == k:
                 floor = best[0][0]
             continue

@@ -186,6 +186,14 @@ def test_top_k(spark, monkeypatch, shard, page, block):
     assert mtree.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [2, 6, 9])
+def test_top_k_of_a_query_id_that_repeats(spark, repeats):
+    others = {i: [float(i)] * 4 for i in range(1, 13)}
+    df = spark.createDataFrame([(0, [99.0] * 4)] * repeats + list(others.items()), "vec_id long, embedding array<float>")
+    got = {tuple(r) for r in mtree.top_k(df, df.where("vec_id = 0").limit(1)).select("query_id", "rank", "vec_id", "score").collect()}
+    assert got == {(0, r, 13 - r, 4 * 256 * 256 * 99 * (13 - r)) for r in range(1, 6)}
+
+
 def test_search_leaves_computations_out():
     rnd = np.random.default_rng(2)
     exact = np.concatenate([rnd.integers(-5, 5, (2000, 8)) + c for c in rnd.integers(-400, 400, (20, 8))])
