@@ -409,24 +409,30 @@ def x5(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", "event_type").mapInPandas(run, "event_id long, line string")
 
 
-def _streamed(spark: SparkSession, d: str, transform) -> DataFrame:
-    """Runs a streaming transformation over the events file to its end, into a Parquet sink in the shared folder."""
+def _streamed(spark: SparkSession, d: str, transform, mode: str = "append") -> DataFrame:
+    """Runs a streaming transformation over the events file to its end, into Parquet in the shared folder. Aggregates by window
+    need the mode "complete": in "append" windows that the watermark hasn't passed when the stream stops are never written."""
     out = f"{shared_folder(spark)}/edutide/stream-{uuid.uuid4().hex}"
     source = spark.readStream.schema(read(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     result = transform(source.withColumn("ts", F.col("ts").cast("timestamp")))
-    run = result.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/checkpoint").outputMode("append").trigger(availableNow=True).start()
+    sink = result.writeStream.option("checkpointLocation", f"{out}/checkpoint").outputMode(mode).trigger(availableNow=True)
+    if mode == "complete":
+        spark.createDataFrame([], result.schema).write.parquet(f"{out}/data")
+        run = sink.foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{out}/data")).start()
+    else:
+        run = sink.format("parquet").option("path", f"{out}/data").start()
     run.awaitTermination()
     return spark.read.schema(result.schema).parquet(f"{out}/data")
 
 
 @query("t1_time_windows")
 def t1(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: windows.by_time(s, "1 hour", late="1 hour", keys=["event_type"]))
+    return _streamed(spark, d, lambda s: windows.by_time(s, "1 hour", late="1 hour", keys=["event_type"]), "complete")
 
 
 @query("t2_session_windows")
 def t2(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: windows.by_session(s, "30 minutes"))
+    return _streamed(spark, d, lambda s: windows.by_session(s, "30 minutes"), "complete")
 
 
 @query("t3_deduplicated", "SELECT event_id FROM events")

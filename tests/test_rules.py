@@ -171,6 +171,17 @@ def test_streamed_windows_are_the_batch_answer(spark, small):
     assert {(r.start, r.n) for r in spark.table("tumbling").collect()} == {(r.window.start, r["count"]) for r in batch.collect()}
 
 
+def test_streamed_queries_hold_the_last_windows(spark, small):
+    from edutide.plans import products
+
+    events = spark.read.parquet(f"{small}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    for name, want in (("t1_time_windows", windows.by_time(events, "1 hour", keys=["event_type"])), ("t2_session_windows", windows.by_session(events, "30 minutes"))):
+        got = products.QUERIES[name](spark, small)
+        shown = lambda df: sorted(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect())
+        assert shown(got) == shown(want)
+        assert got.agg(F.sum("n")).first()[0] == events.count()
+
+
 def test_streamed_sessions_cut_at_starts_and_ends(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     source = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(small).withColumn("ts", F.col("ts").cast("timestamp"))
