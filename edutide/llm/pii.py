@@ -19,6 +19,17 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Proposals of the method beyond these: account numbers, and phone numbers without a country code.
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+#: Characters of an account number by country.
+IBAN_LENGTHS = {
+    code: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for code in codes.split()
+}
 LOCAL_PHONE = re.compile(r"(?<![0-9+.\-])\(?[0-9]{2,5}\)?(?:[\x20.\-][0-9]{2,5}){1,4}(?![0-9.\-])")
 
 #: Words near a span that raise its score, and words before it that lower it.
@@ -48,6 +59,23 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def _ibans(text: str) -> list[tuple[int, int]]:
+    """Account numbers that mod 97 confirms. A proposal may have taken in words or numbers that follow it, so its shorter ends
+    between groups are tried too: the length of its country first, then the longest. What none confirms hides no later start."""
+    out: list[tuple[int, int]] = []
+    for start in IBAN_START.finditer(text):
+        if out and start.start() < out[-1][1] or not (m := IBAN.match(text, start.start())):
+            continue
+        s = m.group()
+        ends = [(len(c), e) for e in [len(s), *(i for i in range(len(s) - 1, 0, -1) if s[i] == " ")] if len(c := s[:e].replace(" ", "")) >= 15]
+        ends.sort(key=lambda x: x[0] != IBAN_LENGTHS.get(s[:2]))
+        for _, e in ends:
+            if mod97(s[:e].replace(" ", "")):
+                out.append((m.start(), m.start() + e))
+                break
+    return out
+
+
 def _digits(s: str) -> str:
     return re.sub("[^0-9]", "", s)
 
@@ -77,9 +105,7 @@ def find(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     out = [(k, a, b, _score(text, k, a, b, PRIOR[k]), base) for k, a, b, base in out]
     taken = [(a, b) for _, a, b, _, _ in out]
     free = lambda a, b: all(b <= x or y <= a for x, y in taken)
-    for m in IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            out.append(("iban", m.start(), m.end(), _score(text, "iban", m.start(), m.end(), PRIOR["iban"]), False))
+    out += [("iban", a, b, _score(text, "iban", a, b, PRIOR["iban"]), False) for a, b in _ibans(text)]
     for m in LOCAL_PHONE.finditer(text):
         if 7 <= len(_digits(m.group())) <= 12 and free(m.start(), m.end()) and (s := _score(text, "phone", m.start(), m.end(), PRIOR["local"])) >= 0.5:
             out.append(("phone", m.start(), m.end(), s, False))

@@ -254,3 +254,20 @@ def test_redaction_leaves_clean_texts(spark):
 def test_crc_of_ids_is_that_of_the_contract(spark):
     raw = np.array([1, 300, 70000], "<u4").tobytes()
     assert spark.createDataFrame([(raw,)], "ids binary").select(F.crc32("ids")).first()[0] == zlib.crc32(raw)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("DE89370400440532013000 BIC COBADEFFXXX", "<IBAN> BIC COBADEFFXXX"),
+    ("to DE89370400440532013000 2024", "to <IBAN> 2024"),
+    ("GB82 WEST 1234 5698 7654 32 BIC NWBKGB2L", "<IBAN> BIC NWBKGB2L"),
+    ("AB12 GB82 WEST 1234 5698 7654 32", "AB12 <IBAN>"),
+    ("DE89 3704 0044 0532 0130 00, GB82WEST12345698765432", "<IBAN>, <IBAN>"),
+    ("DE88370400440532013000 BIC", "DE88370400440532013000 BIC"),
+])
+def test_account_numbers_before_other_groups(text, want):
+    # Spans of other kinds in the digits aside.
+    spans = [(a, b) for k, a, b, _, _ in pii.find(text) if k == "iban"]
+    out, at = "", 0
+    for a, b in spans:
+        out, at = out + text[at:a] + "<IBAN>", b
+    assert out + text[at:] == want
