@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: five stages, each written as Parquet and read again by the next.
 
-Every stage but the last returns the columns of documents. Decisions that leave rows out are anti joins by doc_id against
-the ids that go; rows without an id always stay.
+Every stage but the last returns the columns of documents. Decisions are made and carried row by row: a stage that leaves
+rows out numbers its rows, writes them, and takes away the numbers that go, so that null and repeated ids stand for nothing.
 """
 
 from __future__ import annotations
@@ -13,32 +13,40 @@ from edutide.llm import kneser_ney, neardup, packing, pii, queries, wu_manber
 from edutide.llm.stage import small_side, stored, table
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but for those of `ids` (doc_id), with all columns in their order."""
-    gone = small_side(stored(ids.where("doc_id is not null").distinct(), "gone").toDF("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number _row for each row, which is written, so that it stays the same."""
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered rows but for those of `gone` (one column of numbers), with all other columns in their order."""
+    gone = small_side(stored(gone.toDF("_gone"), "gone"))
+    return rows.join(gone, rows["_row"] == gone["_gone"], "left_anti").drop("_row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return _without(docs, kneser_ney.quality(docs, trusted).where("not accepted").select("doc_id"))
+    rows = _numbered(docs)
+    return _without(rows, kneser_ney.quality(rows, trusted, row_col="_row").where("not accepted").select("doc_id"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, and one row of each id."""
-    kept = _without(docs, neardup.near_duplicates(docs).where("not kept").select("doc_id"))
-    repeated = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.limit(1).count():
-        return kept
-    again = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return _without(kept, repeated).unionByName(again.select(*docs.columns))
+    """One row of each group of near duplicates: that with the smallest id, a null id last. Rows without words all stay."""
+    rows = _numbered(docs)
+    found = stored(neardup.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id", "kept"), "duplicates")
+    groups = small_side(found.where("not kept").select("component_id").distinct())
+    members = stored(found.join(groups, "component_id").select("_row", "component_id"), "members")
+    members = rows.select("_row", "doc_id").join(small_side(members), "_row").withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    first = members.groupBy("component_id").agg(F.min("place")["_row"].alias("_first"))
+    return _without(rows, members.join(first, "component_id").where("_row != _first").select("_row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    found = wu_manber.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    rows = _numbered(docs)
+    found = wu_manber.decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="_row")
+    return _without(rows, found.where("contaminated").select("doc_id"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

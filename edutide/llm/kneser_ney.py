@@ -217,7 +217,7 @@ def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> D
     return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order), "row long, lang string, logp double, units long")
 
 
-def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 5, quantile: float = 0.99, slack: float = 1.1, prior: int = 100) -> DataFrame:
+def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 5, quantile: float = 0.99, slack: float = 1.1, prior: int = 100, row_col: str | None = None) -> DataFrame:
     """Per row of docs: doc_id, lang, perplexity, score, threshold, accepted.
 
     trusted_ids (doc_id): the documents of trusted text. Four fifths of them (by hash) train the model; the others set each
@@ -225,10 +225,13 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", tex
     probability a byte; score is the same mean after `prior` units of the trusted mean are mixed in, so that a text of a few
     words isn't rejected for chance; both are null-safe: a null text is empty and scores as its end alone. A language
     without held-out trusted text, or a null one, takes the threshold of all together; without any trusted text all is
-    accepted. Rows that repeat an id are scored one by one. An empty table gives no rows.
+    accepted. Rows that repeat an id are scored one by one. An empty table gives no rows. row_col: a column of distinct
+    numbers, which then comes back as doc_id, so that each decision belongs to its row.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("row"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
+    rows = docs.select(F.col(row_col or id_col).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
     ids = stored(trusted_ids.select(F.col("doc_id").cast("long").alias("row")).where("row is not null").distinct().withColumn("held", F.pmod(F.xxhash64("row", F.lit("fold")), F.lit(5)) == 0), "trusted")
+    if row_col:
+        ids = stored(rows.select("row", "id").join(small_side(ids.toDF("id", "held")), "id").select("row", "held"), "trusted-rows")
     model = train(rows.join(small_side(ids.where("not held").select("row")), "row", "left_semi"), order)
     scored = stored(perplexities(rows, model), "scores")
     held = scored.join(ids.where("held").select("row"), "row", "left_semi")

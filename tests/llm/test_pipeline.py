@@ -67,3 +67,24 @@ def test_stages_keep_columns_and_survive_edge_cases(spark, small, edge_docs, no_
             assert out.columns == docs.columns, name
             assert out.count() <= docs.count()
     assert corpus_pipeline.STAGES[1][1](spark, edge_docs, small).groupBy("doc_id").count().where("count > 1").count() == 0
+
+
+def test_decisions_belong_to_rows(spark, small):
+    bench = max((r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect() if r.text), key=len)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    good = [r.text for r in docs.join(spark.read.parquet(f"{small}/labels.parquet").where("quality = 1"), "doc_id").orderBy("doc_id").limit(40).collect()]
+    a, b, c = (t for t in sorted(good, key=len)[-3:])
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    texts = lambda df: sorted((str(r.doc_id), r.text) for r in df.collect())
+    stages = dict(corpus_pipeline.STAGES)
+
+    mixed = frame([(None, bench), (None, a), (1, bench), (1, a), (2, b)])
+    assert texts(stages["decontamination"](spark, mixed, small)) == sorted([("None", a), ("1", a), ("2", b)])
+
+    copies = frame([(None, a), (None, a), (7, a), (3, b), (3, c), (3, c)])
+    assert texts(stages["near_duplicates"](spark, copies, small)) == sorted([("7", a), ("3", b), ("3", c)])
+
+    junk = "".join(chr(33 + (i * 7919 + i * i) % 90) for i in range(4000))
+    raw = docs.select("doc_id", "text", "lang", "source", "n_chars").union(frame([(None, junk), (10**9, junk), (10**9, a), (None, b)]))
+    left = stages["quality"](spark, raw, small).where("doc_id is null or doc_id = 1000000000")
+    assert texts(left) == sorted([("1000000000", a), ("None", b)])
