@@ -35,6 +35,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted. A plain sort: much faster here than a hash table of them."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def counted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and how often each stands in x."""
+    x = np.sort(x)
+    at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return x[at], np.diff(np.append(at, len(x)))
+
+
 _powers = np.ones(1, dtype=np.uint64)
 
 

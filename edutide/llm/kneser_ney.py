@@ -1,171 +1,293 @@
 """Quality by an interpolated modified Kneser-Ney n-gram model of trusted text (operator 1).
 
-The model's units are the bytes of UTF-8 text, so that an n-gram is one exact integer and the tables grow slower than the
-corpus. Everything is counted over all trusted rows; all tables are DataFrames, sharded by n-gram, and meet in joins:
+The model's units are the bytes of UTF-8 text, so that an n-gram of up to seven is one exact integer. Everything is counted
+over all trusted rows. All n-grams of three bytes and more that an n-gram's probability needs (its suffixes and their
+contexts) share the two bytes before its last one. Tables are sharded by a hash of these two, so that counts of all orders
+and the joins with them are made inside a shard:
 
-  trusted texts -> n-gram counts of each task -> sum by n-gram -> continuation counts, context totals, discounts.
-  texts, dealt into blocks -> each block's distinct n-grams -> joined with the tables, order by order -> their log
+  trusted texts -> distinct n-grams of each task -> merged by shard -> counts of all orders, counts of counts.
+  texts, in blocks of neighbouring rows -> each block's distinct n-grams -> joined with the counts by shard -> their log
   probabilities go back to the block, which sums them over each whole text.
 
-No table is collected or broadcast except for orders 1 and 2, which have at most 258 and 258^2 rows whatever the input,
-and three discounts an order.
+N-grams travel as compressed differences of sorted integers. Only the table of byte pairs (at most 258^2 rows, whatever the
+input) and four counts of counts an order come to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import flat, pieces
+from .bytewords import counted, distinct, flat, mix, pieces
 from .stage import parallelism, small_side, stored
 
 #: Bytes that UTF-8 never has: before the beginning and after the end of a text.
 BEGIN, END = 0xFF, 0xFE
-#: Bytes of text in a scoring block, about.
-BLOCK_BYTES = 16 << 20
-
-
-def grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends at each byte of each text and at its end, and where each text's begin (one more than texts)."""
-    data, off = flat(texts)
-    n, texts_n = np.diff(off), len(off) - 1
-    size = n + order
-    at = np.cumsum(size) - size
-    padded = np.full(int(size.sum()), BEGIN, np.uint8)
-    padded[np.arange(len(data)) + np.repeat(np.arange(texts_n) * order + order - 1, n)] = data
-    padded[at + size - 1] = END
-    code = np.zeros(len(padded), np.int64)
-    for j in range(order):
-        code[j:] |= padded[: len(padded) - j].astype(np.int64) << (8 * j)
-    keep = np.ones(len(padded), bool)
-    if texts_n:
-        keep[(at[:, None] + np.arange(order - 1)).ravel()] = False
-    return code[keep], np.concatenate([[0], np.cumsum(n + 1)])
-
-
-def _merge(into: tuple[np.ndarray, np.ndarray], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u, c = np.unique(codes, return_counts=True)
-    both, place = np.unique(np.concatenate([into[0], u]), return_inverse=True)
-    return both, np.bincount(place, np.concatenate([into[1], c]), len(both)).astype(np.int64)
-
-
-def _count(order: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        for b in pieces(batches, 1 << 20):
-            have = _merge(have, grams(b.column("text"), order)[0])
-            if len(have[0]) > 4_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in have], ["g", "c"])
-                have = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        for at in range(0, len(have[0]), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in have], ["g", "c"])
+#: Bytes of text in a scoring block and of trusted text to a shard, about; blocks that ask a shard in one task.
+BLOCK_BYTES, SHARD_BYTES, TOGETHER = 48 << 20, 4 << 20, 256
+#: N-grams that are sorted at once.
+WINDOW = 1 << 20
+#: Distinct n-grams that a task holds before it hands them on.
+HELD = 6_000_000
+
+
+class Grams:
+    """The n-grams that end at each byte of each text and at its end, in windows of at most WINDOW."""
+
+    def __init__(self, texts: pa.Array, order: int):
+        data, off = flat(texts)
+        n = np.diff(off)
+        size = n + order
+        at = np.cumsum(size) - size
+        self.order, self.units = order, n + 1
+        self.padded = np.full(int(size.sum()), BEGIN, np.uint8)
+        self.keep = np.ones(len(self.padded), bool)
+        if len(n):
+            shift = np.repeat(np.arange(len(n)) * order + order - 1, n)
+            self.padded[np.arange(len(data)) + shift] = data
+            self.padded[at + size - 1] = END
+            self.keep[(at[:, None] + np.arange(order - 1)).ravel()] = False
+        self.end = at + size
+
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(n-grams, the text of each)."""
+        for lo in range(0, len(self.padded), WINDOW):
+            start, hi = max(0, lo - self.order + 1), min(lo + WINDOW, len(self.padded))
+            part = self.padded[start:hi].astype(np.int64)
+            code = part.copy()
+            for j in range(1, self.order):
+                code[j:] |= part[:-j] << (8 * j)
+            keep = np.flatnonzero(self.keep[lo:hi]) + lo
+            yield code[keep - start], np.searchsorted(self.end, keep, side="right")
+
+
+def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(((g >> 8) & 0xFFFF).astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Integers as compressed differences, after their number."""
+    planes = np.diff(values.astype(np.int64), prepend=0).view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
-    return run
 
+def _unpacked(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
-def _suffix(g: str, n: int) -> Column:
-    """The last n-1 bytes of an n-gram."""
-    return F.col(g).bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1))
 
+def _by_shard(g: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its n-grams in g, in order)."""
+    s = shard_of(g, shards)
+    order = np.argsort(s, kind="stable")
+    cuts = np.searchsorted(s[order], np.arange(shards + 1))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), order[cuts[k] : cuts[k + 1]]
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """D1, D2, D3+ of one order, from how many n-grams have counts 1 to 4; plain 0.5, 1, 1.5 where these are missing."""
-    c = counts.agg(*[F.count(F.when(F.col("c") == i, 1)).alias(f"n{i}") for i in range(1, 5)]).first()
-    n = [0, *(c[f"n{i}"] for i in range(1, 5))]
-    if not all(n[1:4]):
-        return [0.5, 1.0, 1.5]
-    y = n[1] / (n[1] + 2 * n[2])
-    d = [i - (i + 1) * y * n[i + 1] / n[i] for i in (1, 2, 3)]
-    return [min(max(x, 0.05), i - 0.05) for i, x in zip((1, 2, 3), d)]
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the same n-grams added up; n-grams sorted."""
+    g, c = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+    order = np.argsort(g, kind="stable")
+    g, c = g[order], c[order]
+    at = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
+    return g[at], np.add.reduceat(c, at) if len(g) else c
 
-def train(trusted: DataFrame, order: int = 5) -> list[tuple[DataFrame, DataFrame]]:
-    """For orders 1 to `order`: (grams g, w: discounted share), (contexts h, b: weight left to the lower order).
 
-    trusted has a column text; null counts as empty. The highest order has counts of occurrences, the lower ones of distinct
-    bytes to the left. order is at most 5. No trusted rows give empty tables: every byte is then equally likely.
-    """
-    if not 1 <= order <= 5:
-        raise ValueError("order is 1 to 5")
-    counts = stored(trusted.select("text").mapInArrow(_count(order), "g long, c long").groupBy("g").agg(F.sum("c").alias("c")), "ngrams")
-    out = []
-    for n in range(order, 0, -1):
-        d = _discounts(counts)
-        cut = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        h = F.shiftright("g", 8)
-        contexts = counts.groupBy(h.alias("h")).agg(F.sum("c").alias("total"), F.sum(cut).alias("cut"))
-        contexts = stored(contexts.select("h", "total", (F.col("cut") / F.col("total")).alias("b")), "contexts")
-        shares = counts.select("g", h.alias("h"), (F.col("c") - cut).alias("left")).join(F.broadcast(contexts) if n <= 2 else contexts, "h")
-        out.append((stored(shares.select("g", (F.col("left") / F.col("total")).alias("w")), "shares"), contexts.select("h", "b")))
-        if n > 1:
-            counts = stored(counts.groupBy(_suffix("g", n).alias("g")).agg(F.count("*").alias("c")), "ngrams")
-    return out[::-1]
-
-
-def log_probabilities(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """wanted: distinct g of the model's order; returns g, lp (natural logarithm, interpolated over all orders)."""
-    order = len(model)
-    asked = [wanted.select("g")]
-    for n in range(order, 1, -1):
-        asked.append(asked[-1].select(_suffix("g", n).alias("g")).distinct())
-    below = None
-    for n, ((shares, contexts), q) in enumerate(zip(model, asked[::-1]), 1):
-        if n <= 2:  # at most 258^2 rows
-            shares, contexts = F.broadcast(shares), F.broadcast(contexts)
-        q = q.withColumn("h", F.shiftright("g", 8)).join(shares, "g", "left").join(contexts, "h", "left")
-        if below is None:
-            lower = F.lit(1.0 / 257)
-        else:
-            q = q.withColumn("s", _suffix("g", n)).join(F.broadcast(below) if n <= 3 else below, "s")
-            lower = F.col("p_low")
-        q = q.select("g", (F.coalesce("w", F.lit(0.0)) + F.coalesce("b", F.lit(1.0)) * lower).alias("p"))
-        below = q.select(F.col("g").alias("s"), F.col("p").alias("p_low"))
-    return q.select("g", F.log("p").cast("float").alias("lp"))
-
-
-def _packed(g: np.ndarray) -> bytes:
-    """Sorted n-grams as compressed differences, after their number."""
-    return len(g).to_bytes(8, "little") + pa.compress(np.diff(g, prepend=0).tobytes(), codec="zstd", asbytes=True)
+def _count(order: int, shards: int):
+    def out(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        g, c = _added(parts)
+        rows = [(k, _packed(g[at]), _packed(c[at])) for k, at in _by_shard(g, shards)]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["shard", "grams", "counts"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size, base = [], 0, 0
+        for b in pieces(batches, WINDOW):
+            for g, _ in Grams(b.column("text"), order).windows():
+                parts.append(counted(g))
+                size += len(parts[-1][0])
+            if size > 2 * base + HELD // 2:  # merged only when what is new outweighs what was merged
+                parts = [_added(parts)]
+                base = size = len(parts[0][0])
+                if size > HELD:
+                    yield out(parts)
+                    parts, size, base = [], 0, 0
+        if parts:
+            yield out(parts)
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:8], "little")
-    return np.cumsum(np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.int64)) if n else np.zeros(0, np.int64)
+    return run
 
 
-def _asked(order: int):
-    """What this task's texts ask for, block by block: distinct n-grams, packed."""
+def orders(g: np.ndarray, c: np.ndarray, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """n-grams and counts of all orders from `order` down to 2: occurrences at the highest, below it distinct bytes to the left,
+    but occurrences again where nothing can stand to the left, at the beginning of a text."""
+    out = {order: (g, c)}
+    for n in range(order - 1, 1, -1):
+        low = g & ((1 << (8 * n)) - 1)
+        by = np.argsort(low, kind="stable")
+        low, c = low[by], c[by]
+        at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
+        types = np.diff(np.append(at, len(low)))
+        g = low[at]
+        c = np.where(g >> (8 * (n - 1)) == BEGIN, np.add.reduceat(c, at), types) if len(low) else c
+        out[n] = (g, c)
+    return out
+
+
+def _merge(order: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        g, c = _added([(_unpacked(x), _unpacked(y)) for x, y in zip(rows.column("grams").to_pylist(), rows.column("counts").to_pylist())])
+        every = orders(g, c, order)
+        seen = [int((every[n][1] == i).sum()) for n in range(3, order + 1) for i in range(1, 5)]
+        return pa.table({
+            "shard": pa.array([key[0].as_py()], pa.int32()), "grams": pa.array([_packed(g)], pa.binary()), "counts": pa.array([_packed(c)], pa.binary()),
+            "seen": pa.array([seen], pa.list_(pa.int64())), "pairs": pa.array([every[2][0].tolist()], pa.list_(pa.int32())), "pair_counts": pa.array([every[2][1].tolist()], pa.list_(pa.int64())),
+        })
+
+    return run
+
+
+def discounts(seen: list[int]) -> np.ndarray:
+    """D1, D2, D3+ of one order from how many of its n-grams have counts 1 to 4. One is added to each of the four, so that the
+    discounts are defined on any table; each is kept between nothing and its count."""
+    n = [0, *(x + 1 for x in seen)]
+    y = n[1] / (n[1] + 2 * n[2])
+    return np.array([min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.01), i - 0.01) for i in (1, 2, 3)])
+
+
+def _shares(g: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sorted n-grams: each one's discounted share of its context; the contexts; the weight each leaves to the lower order."""
+    cut = d[np.minimum(c, 3) - 1]
+    h = g >> 8
+    at = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    if not len(h):
+        return np.zeros(0), h, np.zeros(0)
+    total = np.add.reduceat(c, at).astype(np.float64)
+    return (c - cut) / np.repeat(total, np.diff(np.append(at, len(h)))), h[at], np.add.reduceat(cut, at) / total
+
+
+@dataclass
+class Model:
+    """tables: a row a shard, with its n-grams and counts; cuts: discounts by order from 3 on; pairs: probability of the lower
+    byte of each of 2^16 pairs after the higher one."""
+
+    order: int
+    shards: int
+    tables: DataFrame
+    cuts: dict[int, np.ndarray]
+    pairs: np.ndarray
+
+
+def _pair_probabilities(g: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Interpolated probabilities of orders 2 and 1 over 257 units, the bytes and the end, for every pair."""
+    def seen(x: np.ndarray) -> list[int]:
+        return [int((x == i).sum()) for i in range(1, 5)]
+
+    one, types = counted(g & 0xFF)
+    p = np.full(256, 1 / 257)
+    if len(one):
+        cut = discounts(seen(types))[np.minimum(types, 3) - 1]
+        p = p * cut.sum() / types.sum()
+        p[one] += (types - cut) / types.sum()
+    out = np.tile(p, 256)
+    w, h, left = _shares(g, c, discounts(seen(c)))
+    for x, b in zip(h.tolist(), left.tolist()):
+        out[x << 8 : (x + 1) << 8] *= b
+    out[g] += w
+    return out
+
+
+def train(trusted: DataFrame, order: int = 7) -> Model:
+    """trusted has a column text; null counts as empty, and rows that repeat count as often as they stand there. order is from
+    3 to 7. No trusted rows give empty tables: every byte is then equally likely."""
+    if not 3 <= order <= 7:
+        raise ValueError("order is 3 to 7")
+    size = trusted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = min(1 << 14, max(4 * parallelism(trusted.sparkSession), -(-size // SHARD_BYTES)))
+    packed = trusted.select("text").mapInArrow(_count(order, shards), "shard int, grams binary, counts binary")
+    schema = "shard int, grams binary, counts binary, seen array<long>, pairs array<int>, pair_counts array<long>"
+    tables = stored(packed.groupBy("shard").applyInArrow(_merge(order), schema), "ngrams")
+    sums = tables.agg(*[F.coalesce(F.sum(F.col("seen")[i]), F.lit(0)) for i in range(4 * (order - 2))]).first()
+    # At most 258^2 rows come to the driver.
+    pairs = tables.select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("x")).groupBy(F.col("x.pairs").alias("g")).agg(F.sum("x.pair_counts").alias("c")).orderBy("g").toArrow()
+    low = _pair_probabilities(pairs.column("g").to_numpy().astype(np.int64), pairs.column("c").to_numpy())
+    return Model(order, shards, tables.select("shard", "grams", "counts"), {n: discounts(list(sums[4 * (n - 3) : 4 * (n - 2)])) for n in range(3, order + 1)}, low)
+
+
+def _found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each value stands in a sorted array, and which do."""
+    at = np.minimum(np.searchsorted(among, values), max(len(among) - 1, 0))
+    return at, among[at] == values if len(among) else np.zeros(len(values), bool)
+
+
+def log_probabilities(asked: np.ndarray, g: np.ndarray, c: np.ndarray, order: int, cuts: dict[int, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Natural logarithms, interpolated over all orders. g, c: counts of a shard that has all that `asked` needs."""
+    p = pairs[asked & 0xFFFF]
+    every = orders(g, c, order)
+    for n in range(3, order + 1):
+        grams, counts = every[n]
+        share, contexts, left = _shares(grams, counts, cuts[n])
+        low = asked & ((1 << (8 * n)) - 1)
+        at, known = _found(low >> 8, contexts)
+        p[known] *= left[at[known]]
+        at, known = _found(low, grams)
+        p[known] += share[at[known]]
+    return np.log(p)
+
+
+def _asked(order: int, shards: int):
+    """What this task's texts ask for: each block's distinct n-grams by shard."""
+
+    def out(block: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        g = distinct(np.concatenate(parts))
+        rows = [(k, _packed(g[at])) for k, at in _by_shard(g, shards)]
+        return pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["block", "shard", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have: dict[int, np.ndarray] = {}
-        for b in pieces(batches, 1 << 20):
-            g, off = grams(b.column("text"), order)
-            blocks, of = np.unique(b.column("block").to_numpy(zero_copy_only=False), return_inverse=True)
-            # One sort of block and n-gram together: 40 bits of n-gram leave room for 2^23 blocks in a piece.
-            both = np.unique((np.repeat(of, np.diff(off)) << (8 * order)) | g)
-            at, g = np.searchsorted(both >> (8 * order), np.arange(len(blocks))), both & ((1 << (8 * order)) - 1)
-            for k, part in zip(blocks.tolist(), np.split(g, at[1:])):
-                have[k] = np.union1d(have[k], part) if k in have else part
-            if sum(map(len, have.values())) > 8_000_000:
-                yield _rows(have)
-                have = {}
-        if have:
-            yield _rows(have)
+        have: dict[int, list[np.ndarray]] = {}
+        base: dict[int, int] = {}
+        for block, b in _blocks(batches):
+            for g, _ in Grams(b.column("text"), order).windows():
+                have.setdefault(block, []).append(distinct(g))
+            if sum(map(len, have[block])) > 2 * base.get(block, 0) + HELD // 2:
+                have[block] = [distinct(np.concatenate(have[block]))]
+                base[block] = len(have[block][0])
+            if sum(len(x) for parts in have.values() for x in parts) > 2 * HELD:
+                block = max(have, key=lambda k: sum(map(len, have[k])))
+                yield out(block, have.pop(block))
+                base.pop(block, None)
+        for block, parts in have.items():
+            yield out(block, parts)
 
     return run
 
 
-def _rows(have: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([_packed(g) for g in have.values()], pa.binary())], ["block", "grams"])
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Pieces of rows that belong to one block."""
+    for b in pieces(batches, WINDOW):
+        of = b.column("block").to_numpy(zero_copy_only=False)
+        for k in distinct(of).tolist():
+            yield k, b if len(of) == 1 or (of == k).all() else b.filter(pa.array(of == k))
+
 
+def _answer(model_order: int, cuts: dict[int, np.ndarray], pairs: np.ndarray):
+    def run(asked: pa.Table, table: pa.Table) -> pa.Table:
+        wanted = [_unpacked(x) for x in asked.column("grams").to_pylist()]
+        g = c = np.zeros(0, np.int64)
+        if table.num_rows:
+            g, c = _unpacked(table.column("grams")[0].as_py()), _unpacked(table.column("counts")[0].as_py())
+        every = distinct(np.concatenate([np.zeros(0, np.int64), *wanted]))
+        lp = log_probabilities(every, g, c, model_order, cuts, pairs).astype(np.float32)
+        answers = [pa.compress(lp[np.searchsorted(every, x)].tobytes(), codec="zstd", asbytes=True) for x in wanted]
+        return pa.table({"block": asked.column("block"), "grams": asked.column("grams"), "answers": pa.array(answers, pa.binary())})
 
-def _union(key: tuple, asked: pa.Table) -> pa.Table:
-    g = np.unique(np.concatenate([_unpacked(x) for x in asked.column("grams").to_pylist()]))
-    return pa.table({"block": np.full(len(g), key[0].as_py(), np.int32), "g": g})
+    return run
 
 
 _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -173,60 +295,77 @@ _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
 def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a batch that go to one block, as one compressed value: a shuffle then moves less than the stored table."""
-    for b in pieces(batches, 8 << 20):
-        of = b.column("block").to_numpy(zero_copy_only=False)
+    for block, b in _blocks(batches):
         rows = pa.table({"row": b.column("row"), "lang": b.column("lang").cast(pa.string()), "text": b.column("text").cast(pa.large_string())})
-        blocks, blobs = np.unique(of), []
-        for k in blocks:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=_ZSTD) as out:
-                out.write_table(rows.take(pa.array(np.flatnonzero(of == k))))
-            blobs.append(sink.getvalue().to_pybytes())
-        yield pa.RecordBatch.from_arrays([pa.array(blocks.astype(np.int32)), pa.array(blobs, pa.binary())], ["block", "rows"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=_ZSTD) as out:
+            out.write_table(rows)
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
 
 def _score(order: int):
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        g = known.column("g").to_numpy()
-        by = np.argsort(g)
-        g, lp = g[by], known.column("lp").to_numpy()[by]
-        ids, langs, sums, sizes = [], [], [], []
-        bundles = (b for blob in texts.column("rows").to_pylist() for b in pa.ipc.open_stream(blob))
-        for b in pieces(bundles, 1 << 20):
-            codes, off = grams(b.column("text"), order)
-            sums.append(np.add.reduceat(lp[np.searchsorted(g, codes)].astype(np.float64), off[:-1]))
-            sizes.append(np.diff(off))
-            ids.append(b.column("row"))
-            langs.append(b.column("lang").cast(pa.string()))
-        return pa.table({"row": pa.chunked_array(ids, pa.int64()), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate([np.zeros(0), *sums]), "units": np.concatenate([np.zeros(0, np.int64), *sizes])})
+        parts, values = [], []
+        for x, y in zip(known.column("grams").to_pylist(), known.column("answers").to_pylist()):
+            parts.append(_unpacked(x))
+            values.append(np.frombuffer(pa.decompress(y, 4 * len(parts[-1]), codec="zstd", asbytes=True), np.float32))
+        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.float32), *values])
+        del parts, values
+        by = np.argsort(g, kind="stable")
+        g, lp = g[by], lp[by]
+        del by
+        ids, langs, sums, sizes = [], [], [np.zeros(0)], [np.zeros(0, np.int64)]
+        for blob in texts.column("rows"):
+            for b in pieces(pa.ipc.open_stream(blob.as_buffer()), WINDOW):
+                grams = Grams(b.column("text"), order)
+                total = np.zeros(b.num_rows)
+                for codes, text in grams.windows():
+                    near = np.argsort(codes)  # sorted values are found in the order of memory
+                    codes = codes[near]
+                    at, there = _found(codes, g)
+                    if not there.all():
+                        raise RuntimeError("a block's rows are not those that asked: the input gave other rows when it was read again")
+                    total += np.bincount(text[near], lp[at], b.num_rows)
+                sums.append(total)
+                sizes.append(grams.units)
+                ids.append(b.column("row"))
+                langs.append(b.column("lang").cast(pa.string()))
+        return pa.table({"row": pa.chunked_array(ids, pa.int64()), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate(sums), "units": np.concatenate(sizes)})
 
     return run
 
 
-def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """docs: row (long), lang, text. Returns row, lang, logp (sum over the whole text), units (bytes and the end). Null text: empty."""
-    spark, order = docs.sparkSession, len(model)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(2 * parallelism(spark), -(-size // BLOCK_BYTES))
-    dealt = docs.select("row", "lang", "text", F.pmod(F.xxhash64("row", "text"), F.lit(blocks)).cast("int").alias("block"))
-    asked = dealt.select("block", "text").mapInArrow(_asked(order), "block int, grams binary")
-    pairs = stored(asked.groupBy("block").applyInArrow(_union, "block int, g long"), "block-ngrams")
-    known = stored(log_probabilities(pairs.select("g").distinct(), model), "ngram-logs")
-    answers = pairs.join(small_side(known), "g")
-    bundles = dealt.mapInArrow(_bundled, "block int, rows binary")
-    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(order), "row long, lang string, logp double, units long")
+def perplexities(docs: DataFrame, model: Model) -> DataFrame:
+    """docs: row (long), lang, text. Returns row, lang, logp (sum over the whole text), units (bytes and the end). Null text: empty.
 
-
-def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 5, quantile: float = 0.99, slack: float = 1.1, prior: int = 100, row_col: str | None = None) -> DataFrame:
+    Rows of one part of an input file are a block, or several where it has more than BLOCK_BYTES of text; rows that don't come
+    straight from a file are dealt into blocks by a hash.
+    """
+    place = F.struct(F.input_file_name(), F.input_file_block_start())
+    rows = docs.select("row", "lang", "text", F.xxhash64(place).alias("place"))
+    found = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.approx_count_distinct("place", 0.02).alias("places")).first()
+    split = max(1, -(-(found["bytes"] or 0) // (BLOCK_BYTES * max(1, found["places"]))))
+    dealt = rows.select("row", "lang", "text", F.xxhash64("place", F.pmod(F.xxhash64("row", "text"), F.lit(split))).alias("block"))
+    blocks = max(1, found["places"] * split)
+    together = -(-blocks // TOGETHER)  # so many tasks share the blocks that ask one shard, each with its table
+    asked = dealt.select("block", "text").mapInArrow(_asked(model.order, model.shards), "block long, shard int, grams binary")
+    asked = asked.withColumn("part", F.pmod("block", F.lit(together)).cast("int"))
+    tables = model.tables.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1))))
+    answers = asked.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_answer(model.order, model.cuts, model.pairs), "block long, grams binary, answers binary")
+    bundles = dealt.mapInArrow(_bundled, "block long, rows binary")
+    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order), "row long, lang string, logp double, units long")
+
+
+def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 7, quantile: float = 0.995, prior: int = 100, least_held: int = 20, row_col: str | None = None) -> DataFrame:
     """Per row of docs: doc_id, lang, perplexity, score, threshold, accepted.
 
     trusted_ids (doc_id): the documents of trusted text. Four fifths of them (by hash) train the model; the others set each
-    language's threshold: `slack` times their `quantile` of the score. perplexity is exp of the mean negative log
-    probability a byte; score is the same mean after `prior` units of the trusted mean are mixed in, so that a text of a few
-    words isn't rejected for chance; both are null-safe: a null text is empty and scores as its end alone. A language
-    without held-out trusted text, or a null one, takes the threshold of all together; without any trusted text all is
-    accepted. Rows that repeat an id are scored one by one. An empty table gives no rows. row_col: a column of distinct
-    numbers, which then comes back as doc_id, so that each decision belongs to its row.
+    language's threshold, the `quantile` of their scores. perplexity is exp of the mean negative log probability a byte; score
+    is the same mean after `prior` units of the trusted mean are mixed in, so that a text of a few words isn't rejected for
+    chance; both are null-safe: a null text is empty and scores as its end alone. A language with fewer than `least_held`
+    held-out trusted rows, or a null one, takes the threshold of all together; without any trusted text all is accepted.
+    Rows that repeat an id are scored one by one. An empty table gives no rows. row_col: a column of distinct numbers, which
+    then comes back as doc_id, so that each decision belongs to its row.
     """
     rows = docs.select(F.col(row_col or id_col).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
     ids = stored(trusted_ids.select(F.col("doc_id").cast("long").alias("row")).where("row is not null").distinct().withColumn("held", F.pmod(F.xxhash64("row", F.lit("fold")), F.lit(5)) == 0), "trusted")
@@ -234,15 +373,15 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", tex
         ids = stored(rows.select("row", "id").join(small_side(ids.toDF("id", "held")), "id").select("row", "held"), "trusted-rows")
     model = train(rows.join(small_side(ids.where("not held").select("row")), "row", "left_semi"), order)
     scored = stored(perplexities(rows, model), "scores")
-    held = scored.join(ids.where("held").select("row"), "row", "left_semi")
+    held = scored.join(small_side(ids.where("held").select("row")), "row", "left_semi")
     centre = held.agg(F.sum("logp").alias("l"), F.sum("units").alias("u")).first()
     mean = -(centre["l"] or 0.0) / (centre["u"] or 1)
-    score = F.exp((-F.col("logp") + prior * mean) / (F.col("units") + prior))
-    cut = held.withColumn("score", score).groupBy("lang").agg((F.percentile_approx("score", quantile, 10000) * slack).alias("threshold"), F.count("*").alias("n"))
-    whole = held.withColumn("score", score).agg(F.percentile_approx("score", quantile, 10000)).first()[0]
-    fallback = F.lit(float("inf") if whole is None else whole * slack)
+    score: Column = F.exp((-F.col("logp") + prior * mean) / (F.col("units") + prior))
+    held = held.withColumn("score", score)
+    cut = held.groupBy("lang").agg(F.percentile_approx("score", quantile, 10000).alias("threshold"), F.count("*").alias("n"))
+    whole = held.agg(F.percentile_approx("score", quantile, 10000)).first()[0]
     # One row per language that trusted text has.
-    cut = stored(cut.where("n >= 20").select("lang", "threshold"), "thresholds")
-    out = scored.join(cut, "lang", "left").withColumn("threshold", F.coalesce("threshold", fallback))
+    cut = small_side(stored(cut.where(F.col("n") >= least_held).select("lang", "threshold"), "thresholds"))
+    out = scored.join(cut, "lang", "left").withColumn("threshold", F.coalesce("threshold", F.lit(float("inf") if whole is None else whole)))
     out = out.select(F.col("row").alias("doc_id"), "lang", F.exp(-F.col("logp") / F.col("units")).alias("perplexity"), score.alias("score"), "threshold")
     return out.withColumn("accepted", F.col("score") <= F.col("threshold"))

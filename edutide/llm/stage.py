@@ -9,8 +9,8 @@ from edutide.sources.shared import stored
 
 __all__ = ["parallelism", "small_side", "stored", "table"]
 
-#: Rows of (long, small value) up to which a side may be broadcast: 4 million rows of 16 bytes, 64 MB.
-BROADCAST_ROWS = 4_000_000
+#: Rows of (long, small value) up to which a side may be broadcast: as a hashed relation, about 64 bytes a row and so 32 MB.
+BROADCAST_ROWS = 500_000
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

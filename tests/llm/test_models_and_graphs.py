@@ -16,21 +16,17 @@ from edutide.llm.bytewords import ALPHANUMERIC, split
 def plain_kneser_ney(trusted, order):
     """byte -> probability function of an interpolated modified Kneser-Ney model, straight from its definition."""
     seqs = [bytes([0xFF] * (order - 1)) + t.encode() + b"\xfe" for t in trusted]
-    top = Counter(s[i : i + order] for s in seqs for i in range(len(s) - order + 1))
-    counts = {order: top}
+    raw = {n: Counter(s[i : i + n] for s in seqs for i in range(order - n, len(s) - n + 1)) for n in range(1, order + 1)}
+    counts = {order: raw[order]}
     for n in range(order - 1, 0, -1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
+        if n > 1:
+            counts[n] = {g: raw[n][g] if g[0] == 0xFF else v for g, v in counts[n].items()}
     discounts = {}
     for n, c in counts.items():
-        k = [sum(v == i for v in c.values()) for i in range(5)]
-        if all(k[1:4]):
-            y = k[1] / (k[1] + 2 * k[2])
-            d = [1 - 2 * y * k[2] / k[1], 2 - 3 * y * k[3] / k[2], 3 - 4 * y * k[4] / k[3]]
-        else:
-            d = [0.5, 1.0, 1.5]
-            discounts[n] = d
-            continue
-        discounts[n] = [min(max(x, 0.05), i - 0.05) for i, x in enumerate(d, 1)]
+        k = [0, *(1 + sum(v == i for v in c.values()) for i in range(1, 5))]
+        y = k[1] / (k[1] + 2 * k[2])
+        discounts[n] = [min(max(i - (i + 1) * y * k[i + 1] / k[i], 0.01), i - 0.01) for i in (1, 2, 3)]
     after = {n: defaultdict(dict) for n in counts}
     for n, c in counts.items():
         for g, v in c.items():
@@ -50,23 +46,41 @@ def plain_kneser_ney(trusted, order):
     return p
 
 
-def test_perplexities_are_those_of_the_definition(spark, edge_texts):
+@pytest.mark.parametrize("order, window, held, block", [(3, 1 << 20, 6_000_000, 48 << 20), (7, 1 << 20, 6_000_000, 48 << 20), (7, 300, 900, 4000)])
+def test_perplexities_are_those_of_the_definition(spark, edge_texts, monkeypatch, order, window, held, block):
+    monkeypatch.setattr(kneser_ney, "WINDOW", window)
+    monkeypatch.setattr(kneser_ney, "HELD", held)
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", block)
+    monkeypatch.setattr(kneser_ney, "TOGETHER", 2)
     trusted = [t for t in edge_texts[:30] if t]
     texts = [t for t in edge_texts[20:] if t is None or len(t) < 3000]
-    model = kneser_ney.train(spark.createDataFrame([(t,) for t in trusted], "text string"), 3)
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in trusted], "text string"), order)
     docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)], "row long, lang string, text string")
     got = {r.row: r for r in kneser_ney.perplexities(docs, model).collect()}
-    p = plain_kneser_ney(trusted, 3)
+    p = plain_kneser_ney(trusted, order)
     for i, t in enumerate(texts):
-        s = b"\xff\xff" + (t or "").encode() + b"\xfe"
-        want = sum(math.log(p(s[k : k + 3])) for k in range(len(s) - 2))
-        assert got[i].units == len(s) - 2
+        s = b"\xff" * (order - 1) + (t or "").encode() + b"\xfe"
+        want = sum(math.log(p(s[k : k + order])) for k in range(len(s) - order + 1))
+        assert got[i].units == len(s) - order + 1
         assert got[i].logp == pytest.approx(want, rel=1e-4)
 
 
+def test_windows_of_a_long_text_are_its_ngrams(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(kneser_ney, "WINDOW", 64)
+    texts = ["x" * 5 + "abc" * 100, None, "", "é" * 50, "z"]
+    parts = list(kneser_ney.Grams(pa.array(texts, pa.string()), 4).windows())
+    got = [(int(g), int(t)) for codes, of in parts for g, t in zip(codes, of)]
+    padded = [b"\xff" * 3 + (t or "").encode() + b"\xfe" for t in texts]
+    assert got == [(int.from_bytes(s[k : k + 4], "big"), i) for i, s in enumerate(padded) for k in range(len(s) - 3)]
+
+
 def test_probabilities_sum_to_one():
-    p = plain_kneser_ney(["abab", "abc", "bca"], 2)
-    assert sum(p(bytes([ord("a"), c])) for c in range(257 - 1)) + 1 / 257 * 0 == pytest.approx(1, abs=0.01)
+    for order in (2, 3):
+        p = plain_kneser_ney(["abab", "abc", "bca"], order)
+        for context in (b"a", b"b", b"\xff"):
+            assert sum(p(b"\xff" * (order - 2) + context + bytes([c])) for c in range(256)) == pytest.approx(1, abs=0.01)
 
 
 def test_quality_keeps_clean_and_rejects_junk(spark, edge_docs, no_docs):
@@ -76,7 +90,8 @@ def test_quality_keeps_clean_and_rejects_junk(spark, edge_docs, no_docs):
     junk = ["".join(chr(c) for c in rnd.integers(33, 126, 400)) for _ in range(20)]
     docs = spark.createDataFrame([(i, t, "en", 1.0) for i, t in enumerate(clean + junk)], "doc_id long, text string, lang string, score double")
     out = {r.doc_id: r.accepted for r in kneser_ney.quality(docs, docs.where("doc_id < 150").select("doc_id")).collect()}
-    assert len(out) == 220 and all(out[i] for i in range(200)) and not any(out[i] for i in range(200, 220))
+    # The threshold is a quantile of some thirty held-out texts: that many in a hundred of other clean ones may lie above it.
+    assert len(out) == 220 and sum(out[i] for i in range(200)) >= 190 and not any(out[i] for i in range(200, 220))
     rows = kneser_ney.quality(edge_docs, edge_docs.where("doc_id < 20").select("doc_id"))
     assert rows.count() == edge_docs.count()
     assert kneser_ney.quality(edge_docs, edge_docs.limit(0).select("doc_id")).where("not accepted").count() == 0
