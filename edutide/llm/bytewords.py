@@ -6,8 +6,10 @@ byte classes that treat 0x80-0xFF alike split exactly as the corresponding chara
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def release() -> None:
+    """Give memory that is free in this Python worker back, since Spark keeps the worker for later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def freed(run: Callable) -> Callable:
+    """`run`, a function of batches for mapInArrow, that gives its memory back at its end."""
+
+    @wraps(run)
+    def batches(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(given)
+        finally:
+            release()
+
+    return batches
+
+
 def distinct(x: np.ndarray) -> np.ndarray:
     """The distinct values, sorted. A plain sort: much faster here than a hash table of them."""
     x = np.sort(x)

@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone", "iban")
+from .bytewords import freed, pieces
 
-#: The patterns of the base kinds.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+KINDS = ("email", "ip", "card", "phone", "iban", "secret")
+
+#: The patterns of the base kinds, written so that a search takes time in proportion to the text. An email is
+#: sought from its @, an address from where a run of digits begins; a match elsewhere in such a run would not be leftmost.
+LOCAL_PART = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Proposals of the method beyond these: account numbers, and phone numbers without a country code.
+#: Proposals of the method beyond these: secrets that a name or a known beginning gives away, account numbers, and phone
+#: numbers without a country code.
+SECRET = re.compile(r"""(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?[\x20]{0,3}[:=][\x20]{0,3}["']?)([A-Za-z0-9_/+=.-]{12,200})|(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9])""")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
 #: Characters of an account number by country.
@@ -39,9 +46,10 @@ CONTEXT = {
     "card": ({"card", "visa", "mastercard", "amex", "credit", "debit", "karte", "carte", "tarjeta"}, {"order", "isbn", "serial", "id"}),
     "phone": ({"phone", "tel", "call", "mobile", "fax", "telefon", "teléfono", "téléphone"}, {"isbn", "order", "version"}),
     "iban": ({"iban", "account", "bank", "konto", "compte", "cuenta"}, set()),
+    "secret": ({"token", "secret", "password", "key", "credentials"}, {"example", "placeholder"}),
 }
 #: Scores by kind before the context is seen; a hit of the context adds or takes 0.3. Proposals beyond the base need 0.5.
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "local": 0.3}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "secret": 0.7, "local": 0.3}
 NEAR = 48
 DIGIT = re.compile("[0-9]")
 WORD = re.compile(r"[^\W\d_][\w-]*")
@@ -87,34 +95,84 @@ def _score(text: str, kind: str, start: int, end: int, prior: float) -> float:
     return round(min(1.0, max(0.0, prior + 0.3 * bool(near & up) - 0.3 * bool(before & down))), 2)
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """As the contract's pattern finds them: the longest local part that ends at an @ and no earlier match or @ cuts."""
+    free = 0
+    for m in DOMAIN.finditer(text):
+        at = m.start()
+        begin = max(free, text.rfind("@", free, at) + 1)
+        size = at - begin - len(text[begin:at].rstrip(LOCAL_PART))
+        if size:
+            yield at - size, m.end()
+            free = m.end()
+        else:
+            free = at + 1
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    for m in SECRET.finditer(text):
+        k = 1 if m.group(1) else 2
+        if any(c.isdigit() for c in m.group(k)) and any(c.isalpha() for c in m.group(k)):
+            yield m.span(k)
+
+
+def _octets(address: str) -> bool:
+    return all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or "0") <= 255 for x in address.split("."))
+
+
 def find(text: str | None) -> list[tuple[str, int, int, float, bool]]:
-    """(kind, start, end, score, base) by start and then kind; code points, end exclusive. base: one of the base kinds'."""
+    """(kind, start, end, score, base) by start and then kind; code points, end exclusive. base: one of the base kinds'. Time and
+    memory are in proportion to the text, however it looks."""
     if not text:
         return []
     out = []
     if "@" in text:
-        out += [("email", m.start(), m.end(), True) for m in EMAIL.finditer(text)]
-    if not DIGIT.search(text):
-        return [(k, a, b, _score(text, k, a, b, PRIOR[k]), base) for k, a, b, base in out]
-    out += [("ip", m.start(), m.end(), True) for m in IP.finditer(text) if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or "0") <= 255 for x in m.group().split("."))]
-    for m in CARD.finditer(text):
-        if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m.group())) <= 19 and luhn(d):
-            out.append(("card", m.start(), m.end(), True))
-    if "+" in text:
-        out += [("phone", m.start(), m.end(), True) for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
-    out = [(k, a, b, _score(text, k, a, b, PRIOR[k]), base) for k, a, b, base in out]
-    taken = [(a, b) for _, a, b, _, _ in out]
-    free = lambda a, b: all(b <= x or y <= a for x, y in taken)
-    out += [("iban", a, b, _score(text, "iban", a, b, PRIOR["iban"]), False) for a, b in _ibans(text)]
-    for m in LOCAL_PHONE.finditer(text):
-        if 7 <= len(_digits(m.group())) <= 12 and free(m.start(), m.end()) and (s := _score(text, "phone", m.start(), m.end(), PRIOR["local"])) >= 0.5:
-            out.append(("phone", m.start(), m.end(), s, False))
+        out += [("email", a, b) for a, b in _emails(text)]
+    digits = bool(DIGIT.search(text))
+    if digits:
+        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if _octets(m.group())]
+        for m in CARD.finditer(text):
+            if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m.group())) <= 19 and luhn(d):
+                out.append(("card", m.start(), m.end()))
+        if "+" in text:
+            out += [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
+    out = [(k, a, b, _score(text, k, a, b, PRIOR[k]), True) for k, a, b in out]
+    if digits:
+        free = _gaps(out)
+        out += [("iban", a, b, _score(text, "iban", a, b, PRIOR["iban"]), False) for a, b in _ibans(text)]
+        out += [("secret", a, b, s, False) for a, b in _secrets(text) if (s := _score(text, "secret", a, b, PRIOR["secret"])) >= 0.5]
+        for m in LOCAL_PHONE.finditer(text):
+            if 7 <= len(_digits(m.group())) <= 12 and free(m.start(), m.end()) and (s := _score(text, "phone", m.start(), m.end(), PRIOR["local"])) >= 0.5:
+                out.append(("phone", m.start(), m.end(), s, False))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
-def _find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "spans": [[{"kind": k, "start": s, "end": e, "score": p, "base": x} for k, s, e, p, x in find(t)] for t in b.text]})
+def _gaps(spans: list[tuple]):
+    """A test whether a range meets none of the spans."""
+    starts, ends = [], []
+    for a, b in sorted((x[1], x[2]) for x in spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free(a: int, b: int) -> bool:
+        i = bisect_right(starts, a)
+        return (i == 0 or ends[i - 1] <= a) and (i == len(starts) or starts[i] >= b)
+
+    return free
+
+
+_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("base", pa.bool_())]))
+_NAMES = ("kind", "start", "end", "score", "base")
+
+
+@freed
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, 1 << 20):
+        spans = [[dict(zip(_NAMES, x)) for x in find(t.as_py())] for t in b.column("text")]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(spans, _SPAN)], ["doc_id", "spans"])
 
 
 SPANS = "array<struct<kind:string,start:long,end:long,score:double,base:boolean>>"
@@ -126,7 +184,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Base spans are leftmost, non-overlapping per kind, confirmed and always kept, whatever their score. Null texts are empty;
     null and repeated ids come back row by row; an empty table gives no rows.
     """
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(_find, f"doc_id long, spans {SPANS}")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(_find, f"doc_id long, spans {SPANS}")
 
 
 def count(kind: str) -> Column:
@@ -147,10 +205,17 @@ def redacted(text: str | None) -> str | None:
     return "".join(parts) + text[at:] if parts else text
 
 
-def _redacted(texts: pd.Series) -> pd.Series:
-    return texts.map(redacted, na_action="ignore")
+@freed
+def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, 1 << 20):
+        texts = pa.array([redacted(t.as_py()) for t in b.column("text")], pa.string())
+        yield pa.RecordBatch.from_arrays([texts if c == "text" else b.column(c) for c in b.schema.names], b.schema.names)
 
 
-def redact(text: Column | str) -> Column:
-    """Each span of `find` replaced by its kind, as <EMAIL>; overlapping spans give such marks in a row. Null stays null."""
-    return F.pandas_udf(_redacted, "string")(text)
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs with each span of `find` in the text replaced by its kind, as <EMAIL>; overlapping spans give such marks in a row.
+    All rows and columns stay, null texts too; an empty table stays empty."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    names[docs.columns.index(text_col)] = "text"
+    out = docs.toDF(*names).withColumn("text", F.col("text").cast("string"))
+    return out.mapInArrow(_redact, out.schema).toDF(*docs.columns)

@@ -178,7 +178,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     counts = [pii.count(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")]
     base = pii.listed(F.filter("spans", lambda s: s["base"]))
-    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+    score = F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), score.alias("score"), (F.size("spans") > 0).alias("personal"))
 
 
 def queries() -> dict:
