@@ -51,7 +51,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind and n_chars as the text now is."""
-    out = docs.withColumn("text", pii.redact("text"))
+    out = pii.redact(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
     return out
