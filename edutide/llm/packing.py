@@ -1,23 +1,30 @@
 """Packing of tokenised documents into fixed-length sequences (operator 3).
 
-Documents are dealt at random (by a hash of the id) into groups of about GROUP_BYTES of text. Each group is packed alone, by
-first-fit decreasing: what remains of a document after whole sequences are cut from it goes, longest first, into the first
+Documents are dealt at random (by a hash of id, text and the task that read them) to tasks, and a task's share is cut into groups
+of about GROUP_BYTES of text as it comes. A task so holds one group, however often an id or a text repeats. Each group is packed
+alone, by first-fit decreasing: what remains of a document after whole sequences are cut from it goes, longest first, into the first
 sequence with room, which a tournament tree over the sequences' free capacities finds in a logarithmic number of steps.
 Only the text is shuffled, once; no group depends on another.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import pieces
+from .bytewords import flat, freed, pieces
+from .stage import parallelism
 from .units import units
 
 GROUP_BYTES = 2 << 20
-#: Sequences of a group have ids from group * STRIDE on.
+#: Bytes of text for a task, about.
+TASK_BYTES = 64 << 20
+#: Sequences of a task have ids from its number * STRIDE on.
 STRIDE = 1 << 32
 
 
@@ -54,31 +61,46 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, offsets
 
 
-def _pack(path: str, length: int, end_id: int):
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        ids, lengths, docs = [], [], []
-        for b in pieces(iter(group.to_batches()), 1 << 18):
-            flat, off = units(path, False).encode(b.column("text"))
-            ids.append(np.insert(flat, off[1:], end_id))
-            lengths.append(np.diff(off) + 1)
-            docs.append(b.column("doc_id"))
-        pa.default_memory_pool().release_unused()
-        ids, total = np.concatenate([np.zeros(0, np.int32), *ids]), np.concatenate([np.zeros(0, np.int64), *lengths])
-        begin = np.cumsum(total) - total
-        count = -(-total // length)
-        doc = np.repeat(np.arange(len(total)), count)
-        start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
-        size = np.minimum(length, total[doc] - start)
-        bins, offset = first_fit_decreasing(size, length)
-        at = begin[doc] + start
-        raw = ids.astype("<u4").tobytes()
-        return pa.table({
-            "doc_id": pa.chunked_array(docs, pa.int64()).combine_chunks().take(pa.array(doc)) if docs else pa.array([], pa.int64()),
-            "start": start, "length": size, "doc_tokens": total[doc],
-            "sequence_id": int(key[0].as_py()) * STRIDE + bins, "offset": offset,
-            "ids": pa.array([raw[4 * a : 4 * (a + n)] for a, n in zip(at.tolist(), size.tolist())], pa.binary()),
-        })
+def _packed(group: list[pa.RecordBatch], path: str, length: int, end_id: int, first: int) -> pa.RecordBatch:
+    """The pieces of one group, in sequences numbered from `first` on."""
+    ids, lengths, docs = [], [], []
+    for b in group:
+        found, off = units(path).encode(b.column("text"))
+        ids.append(np.insert(found, off[1:], end_id))
+        lengths.append(np.diff(off) + 1)
+        docs.append(b.column("doc_id"))
+    ids, total = np.concatenate(ids), np.concatenate(lengths)
+    begin = np.cumsum(total) - total
+    count = -(-total // length)
+    doc = np.repeat(np.arange(len(total)), count)
+    start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * length
+    size = np.minimum(length, total[doc] - start)
+    bins, offset = first_fit_decreasing(size, length)
+    at = begin[doc] + start
+    raw = ids.astype("<u4").tobytes()
+    columns = {
+        "doc_id": pa.concat_arrays(docs).take(pa.array(doc)), "start": start, "length": size, "doc_tokens": total[doc], "sequence_id": first + bins,
+        "offset": offset, "ids": pa.array([raw[4 * a : 4 * (a + n)] for a, n in zip(at.tolist(), size.tolist())], pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _pack(path: str, length: int, end_id: int, group_bytes: int):
+    @freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        first = STRIDE * (context.partitionId() if context else 0)
+        group, size = [], 0
+        for b in pieces(batches, min(1 << 18, group_bytes)):
+            group.append(b)
+            size += int(flat(b.column("text"))[1][-1])
+            if size >= group_bytes:
+                out = _packed(group, path, length, end_id, first)
+                yield out
+                first = out.column("sequence_id").to_numpy().max() + 1
+                group, size = [], 0
+        if group:
+            yield _packed(group, path, length, end_id, first)
 
     return run
 
@@ -91,7 +113,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     alone; rows that repeat an id are packed one by one; a null id is kept as null. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    groups = max(1, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // group_bytes))
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", F.lit("deal")), F.lit(groups)))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(2 * parallelism(docs.sparkSession), -(-size // TASK_BYTES)) if size > TASK_BYTES else 1
+    rows = rows.withColumn("deal", F.xxhash64("doc_id", "text", F.spark_partition_id())).repartition(tasks, "deal").drop("deal")
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return rows.groupBy("group").applyInArrow(_pack(path, length, end_id), schema)
+    return rows.mapInArrow(_pack(path, length, end_id, group_bytes), schema)

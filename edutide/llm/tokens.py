@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import flat, pieces
+from .bytewords import flat, freed, pieces
 from .units import UNUSUAL, units
 
 #: Characters of a chunk, and of the overlap of neighbouring chunks at first.
@@ -62,12 +62,13 @@ def encode_overlapping(tokenizer, text: str, chunk: int = CHUNK, overlap: int =
 
 
 def _count(path: str, limit: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = units(path, True)
+        encoder = units(path)
         for b in pieces(batches, 1 << 19):
             text = b.column("text")
             size = np.diff(flat(text)[1])
-            huge = pc.fill_null(pc.greater(pc.utf8_length(text), HUGE), False)
+            huge = pc.fill_null(pc.and_(pc.greater(pc.utf8_length(text), HUGE), pa.scalar(encoder.kind == "space")), False)
             odd = pc.and_(pc.fill_null(pc.match_substring_regex(text, UNUSUAL), False), pc.invert(huge))
             plain = np.flatnonzero(pc.invert(pc.or_(huge, odd)).to_numpy(zero_copy_only=False))
             n = np.zeros(len(text), np.int64)
@@ -84,7 +85,7 @@ def _count(path: str, limit: int):
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """Per row: doc_id, n_bytes (UTF-8), n_tokens as the file at `path` (a byte-level one of `tokenizers`) gives them, over_limit.
 
-    Special strings inside a text count as the library has it by default. Null texts are empty; null and repeated ids come
+    A tokenizer of another kind encodes each whole text at once. Special strings inside a text count as the library has it by default. Null texts are empty; null and repeated ids come
     back row by row; an empty table gives no rows; other columns are not read. There is no shuffle.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -52,7 +52,7 @@ def test_pipeline_is_its_stages(spark, small):
         w = plain_words(t, alnum)
         if not any(tuple(w[k : k + m]) in passages for m in sizes for k in range(len(w) - m + 1)):
             clean[i] = pii.redacted(t)
-    t = Units(queries.tokenizer_path("word_bpe_49k.json"), False).tokenizer
+    t = Units(queries.tokenizer_path("word_bpe_49k.json")).tokenizer
     want = {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in clean.items()}
     got = {}
     for r in corpus_pipeline.run(spark, small).collect():

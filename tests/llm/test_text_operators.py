@@ -1,6 +1,7 @@
 """Operators on whole texts against plain versions of themselves."""
 
 import hashlib
+import json
 import re
 import time
 import zlib
@@ -117,7 +118,8 @@ def test_near_duplicates_of_nothing(no_docs):
 
 @pytest.mark.parametrize("name, with_space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_units_give_the_library_ids(edge_texts, name, with_space):
-    u = Units(queries.tokenizer_path(name), with_space)
+    u = Units(queries.tokenizer_path(name))
+    assert u.kind == ("space" if with_space else "word")
     usual = [t for t in edge_texts if not t or " " not in t and "\x01" not in t]
     for _ in range(2):  # the second time from memory
         ids, off = u.encode(pa.array(usual, pa.string()))
@@ -125,9 +127,30 @@ def test_units_give_the_library_ids(edge_texts, name, with_space):
             assert ids[off[i] : off[i + 1]].tolist() == u.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_units_of_random_strings(name):
+    u, rnd = Units(queries.tokenizer_path(name)), np.random.default_rng(8)
+    parts = ["a", "B", "é", "É", "ß", "e\u0301", "\u0301", "×", "÷", ".", ",", "'s", "'", "'LL", "=", "\u0338", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<", "1", "23", " ", "  ", "\n", "_", "日本", "😀", "Ω", "ª", "\u200d", "中.", "İ", "K"]
+    texts = ["".join(rnd.choice(parts, rnd.integers(0, 14))) for _ in range(3000)]
+    ids, off = u.encode(pa.array(texts, pa.string()))
+    for i, t in enumerate(texts):
+        assert ids[off[i] : off[i + 1]].tolist() == u.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_a_tokenizer_of_another_kind_encodes_whole_texts(spark, tmp_path):
+    with open(queries.tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        other = json.load(f) | {"normalizer": {"type": "Lowercase"}}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other))
+    u, text = Units(str(path)), "Some WORDS, and\n\n  more" * 3000
+    assert u.kind is None
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in tokens.token_counts(df, str(path)).collect()} == {1: len(u.tokenizer.encode(text, add_special_tokens=False).ids), 2: 0}
+
+
 def test_token_counts(edge_docs, edge_texts, no_docs):
     path = queries.tokenizer_path("byte_bpe_50k.json")
-    t = Units(path, True).tokenizer
+    t = Units(path).tokenizer
     rows = tokens.token_counts(edge_docs, path).collect()
     assert len(rows) == edge_docs.count()
     for r in rows:
@@ -140,7 +163,7 @@ def test_token_counts(edge_docs, edge_texts, no_docs):
 
 @pytest.mark.parametrize("chunk, overlap", [(200, 8), (1000, 32), (5000, 256)])
 def test_overlapping_chunks_splice_to_the_whole(edge_texts, chunk, overlap):
-    t = Units(queries.tokenizer_path("byte_bpe_50k.json"), True).tokenizer
+    t = Units(queries.tokenizer_path("byte_bpe_50k.json")).tokenizer
     for text in [x for x in edge_texts if x and len(x) > 400] + ["x" * 3000 + " y", "\n\n  a" * 500, "日本語" * 700, "a <|endoftext|> b " * 80]:
         text = text[:12000]
         assert tokens.encode_overlapping(t, text, chunk, overlap) == t.encode(text, add_special_tokens=False).ids
@@ -148,7 +171,7 @@ def test_overlapping_chunks_splice_to_the_whole(edge_texts, chunk, overlap):
 
 def test_packing(edge_docs, edge_texts, no_docs):
     path = queries.tokenizer_path("word_bpe_49k.json")
-    t = Units(path, False).tokenizer
+    t = Units(path).tokenizer
     rows = packing.pack(edge_docs.where("doc_id is not null").dropDuplicates(["doc_id"]), path, length=64, group_bytes=20000).collect()
     got, bins = {}, {}
     for r in rows:
@@ -167,6 +190,19 @@ def test_packing(edge_docs, edge_texts, no_docs):
     assert packing.pack(no_docs, path).count() == 0
 
 
+def test_packing_of_one_id_and_of_none(spark, monkeypatch):
+    """Ten thousand rows without an id and ten thousand of one id: no group is larger than asked, and all ids are there."""
+    monkeypatch.setattr(packing, "TASK_BYTES", 1 << 16)
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    df = spark.range(20000).selectExpr("if(id % 2 = 0, null, 7L) AS doc_id", "concat('some words ', id % 3) AS text")
+    rows = packing.pack(df, path, length=64, group_bytes=4096).collect()
+    assert len(rows) == 20000 and {r.start for r in rows} == {0}
+    sizes = {}
+    for r in rows:
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    assert max(sizes.values()) <= 64 and len(sizes) < 1.1 * sum(sizes.values()) / 64
+
+
 def test_first_fit_decreasing_is_the_plain_one():
     sizes = np.random.default_rng(2).integers(1, 65, 300)
     free, want = [], {}
