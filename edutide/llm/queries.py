@@ -152,17 +152,35 @@ def _node_sql(url: str) -> str:
     return f"(translate({head}, '{UPPER}', '{LOWER}') || substr({bare}, length({head}) + 1))"
 
 
+def _attribute_sql(name: str) -> str:
+    return rf"""trim(regexp_replace(regexp_extract(tag, '(?is)[\s"'']{name}\s*=\s*("[^"]*"|''[^'']*''|[^\s>]+)', 1), '^["'']|["'']$', '', 'g'))"""
+
+
+def _canonical_sql(url: str) -> str:
+    node = _node_sql(url)
+    base = rf"regexp_replace(regexp_replace(split_part({node}, '?', 1), '^https?://(www\.)?', 'http://'), '(?i)((/index)?\.html?)?/*$', '')"
+    kept = rf"array_to_string(list_filter(string_split(regexp_extract({node}, '(?s)\?(.*)$', 1), '&'), lambda x: NOT regexp_matches(x, '{redirects.TRACKING}') AND x <> ''), '&')"
+    return f"CASE WHEN contains({url}, '://') THEN {base} || CASE WHEN {kept} <> '' THEN '?' || {kept} ELSE '' END END"
+
+
+#: Relative targets with . or .. steps and a page's base, which no page of the tables has, are held against a brute-force version.
 OP9_SQL = rf"""
-WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), '(?is)<(?:link|meta)\s[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
 found AS (
-  SELECT url, replace(trim(coalesce(
-    CASE WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?\s*canonical\b') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) END,
-    CASE WHEN regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b') THEN regexp_extract(tag, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END)), '&amp;', '&') AS target FROM tags),
+  SELECT url, replace(coalesce(
+    CASE WHEN regexp_matches(tag, '(?i)^<link') AND list_contains(regexp_split_to_array(lower({_attribute_sql('rel')}), '\s+'), 'canonical') THEN {_attribute_sql('href')} END,
+    CASE WHEN regexp_matches(tag, '(?i)^<meta') AND lower({_attribute_sql('http-equiv')}) = 'refresh' THEN regexp_extract({_attribute_sql('content')}, '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) END), '&amp;', '&') AS target FROM tags),
 seen AS (
   SELECT url, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '#') OR regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR NOT contains(url, '://') THEN NULL
     WHEN starts_with(target, '//') THEN regexp_extract(url, '^([^:/]+:)//', 1) || target
-    WHEN starts_with(target, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target END AS target FROM found WHERE target <> ''),
-edges AS (SELECT {_node_sql('url')} AS u, {_node_sql('target')} AS v FROM seen WHERE target IS NOT NULL),
+    WHEN starts_with(target, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || target
+    WHEN starts_with(target, '?') THEN regexp_extract(url, '(?s)^(.*?://[^?#]*)', 1) || target
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || coalesce(nullif(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*/)', 1), ''), '/') || target END AS target FROM found WHERE target <> ''),
+links AS (SELECT {_node_sql('url')} AS u, {_node_sql('target')} AS v FROM seen WHERE target IS NOT NULL),
+named AS (SELECT url AS n FROM pages WHERE url IS NOT NULL UNION SELECT v FROM links),
+edges AS (SELECT u, v FROM links UNION SELECT {_node_sql('n')}, {_canonical_sql('n')} FROM named WHERE contains(n, '://')),
 ways AS (SELECT u, v FROM edges WHERE u <> v UNION SELECT v, u FROM edges WHERE u <> v),
 reach(a, b) AS (SELECT DISTINCT u, u FROM ways UNION SELECT reach.a, ways.v FROM reach JOIN ways ON ways.u = reach.b),
 ruled AS (SELECT a, {_rule_sql(_host_sql('b'), _path_sql('b'), 0)} AS action FROM reach),

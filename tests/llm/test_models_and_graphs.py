@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import Counter, defaultdict
 from itertools import product
 
@@ -264,6 +265,74 @@ def test_url_verdicts(spark):
     assert {r.page_id: r.verdict for r in redirects.verdicts(df, queries.RULES, log).collect()}[None] == "block"
 
 
+def test_canonical_forms_and_relative_targets(spark):
+    same = ["https://www.a.org/x/1", "http://a.org/x/1#top", "http://A.org/x/1?utm_source=feed", "https://a.org/x/1.html", "http://a.org/x/1/?ref=x&gclid=3", "http://a.org/x/1/index.html"]
+    other = ["http://a.org/x/1?page=2&ref=x", "http://a.org/x/2", "http://m.a.org/x/1"]
+    df = spark.createDataFrame([(u,) for u in same + other], "url string")
+    got = [r[0] for r in df.select(redirects.canonical_of(redirects.node_of(F.col("url")))).collect()]
+    assert set(got[: len(same)]) == {"http://a.org/x/1"} and got[len(same) :] == ["http://a.org/x/1?page=2", "http://a.org/x/2", "http://m.a.org/x/1"]
+    from urllib.parse import urljoin
+
+    urls = ["http://h.net/a/b/c?q#f", "http://h.net", "http://h.net/", "https://h.net/a"]
+    targets = ["page2.html", "../x", "../../../x/./y", "./", "..", "?p=1", "/r/../s", "//o.org/z", "http://p.org/", "x/y/"]
+    df = spark.createDataFrame([(u, t) for u in urls for t in targets], "url string, target string")
+    for r in redirects.resolved(df, "target", "url", "got").collect():
+        assert r.got == urljoin(r.url, r.target), r
+    none = spark.createDataFrame([("http://h.net/a", "#x"), ("http://h.net/a", "mailto:x"), ("nothing", "x"), ("http://h.net/", "")], "url string, target string")
+    assert [r.got for r in redirects.resolved(none, "target", "url", "got").collect()] == [None] * 4
+
+
+def test_links_in_markup(spark):
+    pages = [
+        ("http://a.org/1/", '<link href="two words" rel="alternate canonical">', "http://a.org/1/two words"), ("http://a.org/2", "<!-- <link rel=canonical href=/no> -->", None),
+        ("http://a.org/3", "<link rel=canonical data-href=/no href='/yes?a=1&amp;b=2'>", "http://a.org/yes?a=1&b=2"), ("http://a.org/4", "<base href=http://b.org/c/><LINK REL=Canonical HREF=d>", "http://b.org/c/d"),
+        ("http://a.org/5", "<meta http-equiv='Refresh' content='3;URL=../e'>", "http://a.org/e"), ("http://a.org/6", "<link rel=stylesheet href=/no><meta charset=utf-8>", None),
+    ]
+    df = spark.createDataFrame([p[:2] for p in pages], "url string, html string")
+    assert {(r.u, r.v) for r in redirects.edges_of(df).collect()} == {(u, v) for u, _, v in pages if v}
+
+
+def test_url_classes_of_random_pages(spark):
+    """Against a plain walk over links and canonical forms: verdicts of classes, with an allow before a block."""
+    rnd = np.random.default_rng(6)
+    hosts, forms = ["www.x.com", "x.com", "q.net", "example.net", "z.org", "example.com"], ["{}", "{}#top", "{}?utm_source=feed", "{}.html", "{}/", "{}?page=2&ref=x"]
+    url = lambda: f"http{'s' * int(rnd.integers(0, 2))}://" + str(rnd.choice(hosts)) + str(rnd.choice(["/en/", "/de/", "/fr/", "/"])) + str(rnd.choice(forms)).format(rnd.integers(0, 8))
+    rows = [(i, url(), link(url()) if rnd.random() < 0.15 else "<p>") for i in range(250)]
+    bare = lambda u: u.split("#")[0]
+
+    def form(u):
+        base, _, query = bare(u).partition("?")
+        base = re.sub(r"((/index)?\.html?)?/*$", "", re.sub(r"^https?://(www\.)?", "http://", base), count=1)
+        query = "&".join(x for x in query.split("&") if x and not re.match(redirects.TRACKING, x))
+        return base + ("?" + query if query else "")
+
+    near = defaultdict(set)
+    for _, u, html in rows:
+        ends = [bare(u), form(u), *(x for v in re.findall('href="([^"]*)"', html) for x in (bare(v), form(v)))]
+        for a, b in [(ends[0], ends[1]), *([(ends[0], ends[2]), (ends[2], ends[3])] if len(ends) > 2 else [])]:
+            near[a].add(b)
+            near[b].add(a)
+
+    def rule(u):
+        host, path = re.match(r"[a-z]+://([^/?#]*)([^?#]*)", u).groups()
+        fits = [(len(h + p), a) for a, h, p in queries.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    want = {}
+    for i, u, _ in rows:
+        seen, todo = {bare(u)}, [bare(u)]
+        while todo:
+            more = near[todo.pop()] - seen
+            seen |= more
+            todo += more
+        carried = {rule(x) for x in seen}
+        want[i] = rule(u) or ("allow" if "allow" in carried else "block" if "block" in carried else "allow")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in redirects.verdicts(df, queries.RULES).collect()}
+    assert {i: r.verdict for i, r in got.items()} == want
+    assert sum(r.how == "alias" for r in got.values()) > 10
+
+
 def test_hosts_and_paths(spark):
     urls = [("https://M.Ex.Net/en/25#top", "m.ex.net", "/en/25"), ("a://b?c/d", "b", ""), ("x://y/z://w", "y", "/z://w"), ("none", "", ""), (None, "", "")]
     df = spark.createDataFrame([(u,) for u, _, _ in urls], "url string")
