@@ -1,82 +1,138 @@
 """Exact inner-product top-k by best-first search of M-trees (operator 8).
 
-The vectors are dealt by hash into shards of about SHARD rows, each with an M-tree of its own: leaf pages around a pivot, inner
-pages around pivots of pivots, with covering radii and every entry's distance to its parent's pivot. Queries are dealt into
-blocks; a task searches one shard for one block, and the shards' best are merged by query. Distances are Euclidean; for a
-page with pivot p and radius r, no member x has <q, x> above <q, p> + |q| r, and an entry at distance d from its parent's
-pivot p' has <q, x> of at most <q, p'> + |q| (d + r), which is tried first, before anything is computed for the entry.
+The vectors are dealt by hash into shards of about SHARD rows. Each shard's M-tree is built once and stored: leaf pages around a
+routing object, inner pages around routing objects of their own, all of them vectors of the shard, with covering radii and
+every entry's distance to its parent's object. Queries are packed into blocks of about QUERIES; every block goes to every
+shard, and the shards' best are merged by query. Distances are Euclidean; for a page with object p and radius r, no member x
+has <q, x> above <q, p> + |q| r, and an entry at distance d from its parent's object p' has <q, x> of at most
+<q, p'> + |q| (d + r), which is tried first, before anything is computed for the entry.
 """
 
 from __future__ import annotations
 
 import heapq
+import pickle
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD, PAGE, FANOUT, QUERIES = 16384, 64, 32, 512
-#: Room for rounding in bounds, which are computed in doubles; scores are exact integers.
-ROOM = 1.0 + 1e-9
+from .bytewords import freed
+from .stage import stored
 
-
-class Node:
-    __slots__ = ("at", "below", "away", "pivots", "radii", "rows")
-
-    def __init__(self, away: np.ndarray, pivots: np.ndarray | None = None, radii: np.ndarray | None = None, below: list | None = None, rows: np.ndarray | None = None):
-        self.away, self.pivots, self.radii, self.below, self.rows = away, pivots, radii, below, rows
+SHARD, PAGE, FANOUT, QUERIES = 8192, 128, 32, 512
 
 
 def _norms(x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ij,ij->i", x, x))
 
 
-def build(x: np.ndarray, rows: np.ndarray, pivot: np.ndarray) -> Node:
-    """The tree of x[rows], whose parent's pivot is `pivot`. A page that can't be told apart stays one leaf."""
-    away = _norms(x[rows] - pivot)
-    if len(rows) <= PAGE or not away.size or np.ptp(away) == 0 and (x[rows] == x[rows[0]]).all():
-        return Node(away, rows=rows)
+@dataclass
+class Tree:
+    """Rows in the order of the leaves: ids, exact (integers), away (distance to the leaf's object). Nodes, the root first: leaf,
+    lo and hi (rows of a leaf, else child nodes), pivot (the object's row), radius, parent (distance to the parent's object)."""
+
+    ids: np.ndarray
+    exact: np.ndarray
+    away: np.ndarray
+    leaf: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    pivot: np.ndarray
+    radius: np.ndarray
+    parent: np.ndarray
+
+    def __post_init__(self) -> None:
+        """x: the vectors as doubles; longest: the greatest norm; plain: inner products of doubles are exact integers, so that they
+        may stand for those of integers, while the query's components are no larger than `top`."""
+        self.x = self.exact.astype(np.float64)
+        self.longest = float(_norms(self.x).max(initial=0.0))
+        self.top = int(np.abs(self.x).max(initial=0.0))
+
+    def scores(self, lo: int, hi: int, q: np.ndarray, qf: np.ndarray) -> np.ndarray:
+        most = self.top * int(np.abs(qf).max(initial=0.0)) * max(1, len(q))
+        if most < 1 << 53:
+            return (self.x[lo:hi] @ qf).astype(np.int64)
+        if most < 1 << 63:
+            return self.exact[lo:hi] @ q
+        found = self.exact[lo:hi].astype(object) @ q.astype(object)
+        return found.astype(np.int64)  # raises OverflowError where a score is beyond 64 bits
+
+
+def build(exact: np.ndarray, ids: np.ndarray) -> Tree:
+    """The tree of integer vectors. A page whose members can't be told apart stays one leaf."""
+    x = exact.astype(np.float64)
+    order: list[np.ndarray] = []
+    away: list[np.ndarray] = []
+    nodes: list[list[float]] = []
+
+    def node(rows: np.ndarray, parent: int | None) -> tuple[np.ndarray, int]:
+        pivot = int(rows[_norms(x[rows] - x[rows].mean(0)).argmin()])
+        d = _norms(x[rows] - x[pivot])
+        nodes.append([0, 0, 0, pivot, d.max(), 0.0 if parent is None else float(_norms((x[pivot] - x[parent])[None])[0])])
+        return rows, pivot
+
+    waiting = [node(np.arange(len(x)), None)]
+    at = placed = 0
+    while at < len(waiting):
+        rows, pivot = waiting[at]
+        groups = _split(x, rows) if len(rows) > PAGE else []
+        if len(groups) < 2:
+            order.append(rows)
+            away.append(_norms(x[rows] - x[pivot]))
+            nodes[at][:3] = 1, placed, placed + len(rows)
+            placed += len(rows)
+        else:
+            nodes[at][:3] = 0, len(waiting), len(waiting) + len(groups)
+            waiting += [node(g, pivot) for g in groups]
+        at += 1
+    by = np.concatenate(order)
+    table = np.array(nodes)
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    leaf, lo, hi, pivots = (table[:, i].astype(np.int64) for i in range(4))
+    return Tree(ids[by], exact[by], np.concatenate(away), leaf == 1, lo, hi, place[pivots], table[:, 4], table[:, 5])
+
+
+def _split(x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """Rows by the nearest of up to FANOUT of them that differ."""
     pick = rows[np.linspace(0, len(rows) - 1, min(FANOUT, -(-len(rows) // PAGE) + 1)).astype(int)]
     centres = np.unique(x[pick], axis=0)
     if len(centres) == 1:
         centres = np.unique(np.vstack([centres, x[rows[np.argmax(_norms(x[rows] - centres[0]))]][None]]), axis=0)
-    d = np.maximum(0, (x[rows] ** 2).sum(1)[:, None] - 2 * x[rows] @ centres.T + (centres**2).sum(1))
-    near = d.argmin(1)
-    groups = [rows[near == i] for i in range(len(centres)) if (near == i).any()]
-    if len(groups) < 2:
-        return Node(away, rows=rows)
-    pivots = np.array([x[g].mean(0) for g in groups])
-    below = [build(x, g, p) for g, p in zip(groups, pivots)]
-    radii = np.array([b.away.max() if b.rows is not None else _norms(x[g] - p).max() for b, g, p in zip(below, groups, pivots)])
-    return Node(_norms(pivots - pivot), pivots=pivots, radii=radii, below=below)
-
-
-def search(root: Node, top: np.ndarray, x: np.ndarray, exact: np.ndarray, ids: np.ndarray, q: np.ndarray, own: int, k: int, counter: list[int] | None = None) -> list[tuple[int, int]]:
-    """The k best (score, id) for q, its own id left out: highest score, then smallest id. top: the root's pivot."""
+    near = ((centres**2).sum(1) - 2 * x[rows] @ centres.T).argmin(1)
+    return [rows[near == i] for i in range(len(centres)) if (near == i).any()]
+
+
+def search(tree: Tree, q: np.ndarray, own: int | None, k: int, counter: list[int] | None = None) -> list[tuple[int, int]]:
+    """The k best (score, id) for q, rows of its own id left out: highest score, then smallest id. counter: scores computed."""
     qf = q.astype(np.float64)
     length = float(np.sqrt(qf @ qf))
+    room = 1.0 + 1e-11 * length * tree.longest  # for rounding in bounds, which are computed in doubles
     best: list[tuple[int, int]] = []  # a heap of (score, -id)
     floor = -np.inf
-    queue: list[tuple[float, int, Node, float]] = [(-np.inf, 0, root, float(qf @ top))]
-    made = 0
+    queue: list[tuple[float, int, float]] = [(-np.inf, 0, float(tree.x[tree.pivot[0]] @ qf) if len(tree.ids) else 0.0)]
     while queue:
-        bound, _, node, at = heapq.heappop(queue)
+        bound, n, at = heapq.heappop(queue)
         if -bound < floor:
             break
-        if node.rows is not None:
-            maybe = node.rows[at + length * node.away + ROOM >= floor]
-            maybe = maybe[ids[maybe] != own]
-            if not len(maybe):
+        lo, hi = int(tree.lo[n]), int(tree.hi[n])
+        if tree.leaf[n]:
+            maybe = at + length * tree.away[lo:hi] + room >= floor
+            maybe &= tree.ids[lo:hi] != own
+            if not maybe.any():
                 continue
-            scores = exact[maybe] @ q
+            scores, ids = tree.scores(lo, hi, q, qf)[maybe], tree.ids[lo:hi][maybe]
             if counter is not None:
-                counter[0] += len(maybe)
+                counter[0] += len(ids)
             if len(best) == k:
                 keep = scores >= best[0][0]
-                scores, maybe = scores[keep], maybe[keep]
-            order = np.lexsort((ids[maybe], -scores))[:k]
-            for s, i in zip(scores[order].tolist(), ids[maybe[order]].tolist()):
+                scores, ids = scores[keep], ids[keep]
+            pick = np.lexsort((ids, -scores))[:k]
+            for s, i in zip(scores[pick].tolist(), ids[pick].tolist()):
                 if len(best) < k:
                     heapq.heappush(best, (s, -i))
                 elif (s, -i) > best[0]:
@@ -84,37 +140,55 @@ def search(root: Node, top: np.ndarray, x: np.ndarray, exact: np.ndarray, ids: n
             if len(best) == k:
                 floor = best[0][0]
             continue
-        cheap = np.flatnonzero(at + length * (node.away + node.radii) + ROOM >= floor)
-        inner = node.pivots[cheap] @ qf
-        upper = inner + length * node.radii[cheap] + ROOM
+        cheap = lo + np.flatnonzero(at + length * (tree.parent[lo:hi] + tree.radius[lo:hi]) + room >= floor)
+        inner = tree.x[tree.pivot[cheap]] @ qf
+        upper = inner + length * tree.radius[cheap] + room
         for j in np.flatnonzero(upper >= floor):
-            made += 1
-            heapq.heappush(queue, (-float(upper[j]), made, node.below[cheap[j]], float(inner[j])))
+            heapq.heappush(queue, (-float(upper[j]), int(cheap[j]), float(inner[j])))
     return sorted(((s, -i) for s, i in best), key=lambda t: (-t[0], t[1]))
 
 
-def _run(k: int):
-    columns = {"query_id": "int64", "vec_id": "int64", "score": "int64"}
+def _matrix(vectors: pa.ChunkedArray, size: int) -> np.ndarray:
+    lists = vectors.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), size)
+
+
+def _built(key: tuple, rows: pa.Table) -> pa.Table:
+    rows = rows.sort_by("id")
+    tree = build(_matrix(rows.column("v"), key[1].as_py()), rows.column("id").to_numpy())
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "size": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+
+def _block(key: tuple, rows: pa.Table) -> pa.Table:
+    asked = _matrix(rows.column("v"), key[1].as_py())
+    return pa.table({"size": pa.array([key[1].as_py()], pa.int32()), "asked": pa.array([pickle.dumps((rows.column("id").to_numpy(), asked))], pa.binary())})
+
 
-    def run(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not len(data) or not len(asked):
-            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in columns.items()})
-        data = data.sort_values("id", kind="stable")
-        exact, ids = np.array(data.v.tolist(), np.int64), data.id.to_numpy()
-        x = exact.astype(np.float64)
-        top = x.mean(0)
-        root = build(x, np.arange(len(x)), top)
-        out = [(qi, i, s) for qi, q in zip(asked.id.tolist(), np.array(asked.v.tolist(), np.int64)) for s, i in search(root, top, x, exact, ids, q, qi, k)]
-        return pd.DataFrame(out, columns=list(columns)).astype(columns)
+def _search(k: int):
+    @freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, tree = None, None
+        for b in batches:
+            for i in range(b.num_rows):
+                key = (b.column("shard")[i].as_py(), b.column("size")[i].as_py())
+                if key != have:
+                    have, tree = key, pickle.loads(b.column("tree")[i].as_py())
+                ids, asked = pickle.loads(b.column("asked")[i].as_py())
+                out = [(own, i, s) for own, q in zip(ids.tolist(), asked) for s, i in search(tree, q, own, k)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
 
     return run
 
 
 def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id, v: floor(scale * x) of each component. Rows without id or vector, or with a null or non-finite component, go."""
+    """id, v: floor(scale * x) of each component, size. Rows without id or vector, or with a null or non-finite component, go;
+    a component that is no 64-bit integer then is an error."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
     bad = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    return rows.where(F.col("id").isNotNull() & F.col("x").isNotNull() & ~bad).select("id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
+    rows = rows.where(F.col("id").isNotNull() & F.col("x").isNotNull() & ~bad)
+    large = F.exists("x", lambda c: F.abs(c * scale) >= 2.0**63)
+    return rows.select("id", F.when(large, F.raise_error(F.lit("a component is beyond 64 bits"))).otherwise(F.transform("x", lambda c: F.floor(c * scale))).alias("v"), F.size("x").alias("size"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
@@ -122,15 +196,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
 
     Candidates are all rows whose id is not the query's and whose vector is as long as the query's; fewer than k come back if
     there are fewer. Rows that repeat an id are candidates one by one, but tie as equals; a query id that repeats gives the best
-    over its vectors. Empty tables give no rows.
+    over its vectors. Empty tables give no rows. A score beyond 64 bits is an error.
     """
     data, asked = integer_vectors(vectors, id_col, vector_col, scale), integer_vectors(queries, id_col, vector_col, scale)
-    shards = max(1, -(-data.count() // SHARD))
-    blocks = max(1, -(-asked.count() // QUERIES))
-    data = data.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    keys = ["shard", "block", "size"]
-    data, asked = data.withColumn("size", F.size("v")), asked.withColumn("size", F.size("v"))
-    found = data.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_run(k), "query_id long, vec_id long, score long")
+    shards, blocks = max(1, -(-data.count() // SHARD)), max(1, -(-asked.count() // QUERIES))
+    dealt = data.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)))
+    trees = stored(dealt.groupBy("shard", "size").applyInArrow(_built, "shard long, size int, tree binary"), "trees")
+    packed = asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).groupBy("block", "size").applyInArrow(_block, "size int, asked binary")
+    # A stated query set in blocks: each block once to each shard that has vectors of its size.
+    sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    found = trees.join(sent, ["shard", "size"]).mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

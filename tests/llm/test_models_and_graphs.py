@@ -210,16 +210,45 @@ def test_top_k_of_a_query_id_that_repeats(spark, repeats):
     assert got == {(0, r, 13 - r, 4 * 256 * 256 * 99 * (13 - r)) for r in range(1, 6)}
 
 
-def test_search_leaves_computations_out():
+def test_search_leaves_computations_out(spark, small):
     rnd = np.random.default_rng(2)
-    exact = np.concatenate([rnd.integers(-5, 5, (2000, 8)) + c for c in rnd.integers(-400, 400, (20, 8))])
-    x, ids = exact.astype(float), np.arange(len(exact))
-    root, counter = mtree.build(x, ids, x.mean(0)), [0]
-    for q in range(0, len(exact), 4000):
-        found = mtree.search(root, x.mean(0), x, exact, ids, exact[q], q, 5, counter)
-        best = np.lexsort((ids, -(exact @ exact[q])))
-        assert [i for _, i in found] == [i for i in best if i != q][:5]
-    assert counter[0] < 0.5 * 10 * len(exact)
+    clustered = np.concatenate([rnd.integers(-5, 5, (2000, 8)) + c for c in rnd.integers(-400, 400, (20, 8))])
+    given = spark.read.parquet(f"{small}/embeddings.parquet").where("embedding is not null").collect()
+    given = np.floor(256 * np.array([r.embedding for r in given], np.float64)).astype(np.int64)
+    for name, exact, most in (("clustered", clustered, 0.5), ("given", given, 1.0)):
+        ids = np.arange(len(exact))
+        tree, counter = mtree.build(exact, ids), [0]
+        asked = range(0, len(exact), len(exact) // 10)
+        for q in asked:
+            found = mtree.search(tree, exact[q], q, 5, counter)
+            best = np.lexsort((ids, -(exact @ exact[q])))
+            assert [i for _, i in found] == [i for i in best if i != q][:5]
+        share = counter[0] / len(asked) / len(exact)
+        print(f"{name}: {share:.4f} of all scores computed")
+        assert share <= most
+
+
+def test_pages_hold_their_members():
+    exact = np.random.default_rng(3).integers(-99, 99, (3000, 5))
+    t = mtree.build(exact, np.arange(3000))
+    below = [None] * len(t.leaf)
+    for n in range(len(t.leaf) - 1, -1, -1):
+        below[n] = np.arange(t.lo[n], t.hi[n]) if t.leaf[n] else np.concatenate([below[c] for c in range(t.lo[n], t.hi[n])])
+        d = np.sqrt(((t.x[below[n]] - t.x[t.pivot[n]]) ** 2).sum(1))
+        assert t.pivot[n] in below[n] and d.max() == pytest.approx(t.radius[n])
+    assert sorted(below[0]) == list(range(3000)) and (exact[t.ids] == t.exact).all()
+
+
+@pytest.mark.parametrize("size", [1 << 20, 1 << 28, 1 << 31])
+def test_scores_of_large_integers_are_exact(size):
+    rnd = np.random.default_rng(5)
+    exact = rnd.integers(-size, size, (600, 4))
+    tree, q = mtree.build(exact, np.arange(600)), exact[0]
+    want = sorted(((-sum(int(a) * int(b) for a, b in zip(v, q)), i) for i, v in enumerate(exact) if i))[:5]
+    assert mtree.search(tree, q, 0, 5) == [(-s, i) for s, i in want]
+    big = np.full((3, 4), (1 << 62), np.int64)
+    with pytest.raises(OverflowError):
+        mtree.search(mtree.build(big, np.arange(3)), big[0], 0, 5)
 
 
 def test_components_of_chains_stars_and_loops(spark):
