@@ -5,24 +5,26 @@ length m, a shift table over blocks of three words says how far the search may j
 shift of 0 leads to the bucket of patterns with that last block, the first block is compared next, then all words' hashes,
 and the words themselves confirm. Texts are scanned in lanes of at most LANE words, all lanes of a batch in step.
 
-The patterns go to the tasks in passes of at most PASS_BYTES of item text each, whatever the benchmark's size; the passes are
-chained in the same tasks, so documents are read once and never shuffled.
+The patterns go to the tasks in passes of at most PASS_BYTES of item text each, whatever the benchmark's size: the driver reads
+one pass at a time and broadcasts it, and each worker makes its tables once. Documents are searched where they are read, never
+shuffled. With more than one pass, each writes the rows that it hits, and these are merged by row.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import ALPHANUMERIC, Words, mix, pieces, split
+from .bytewords import ALPHANUMERIC, Words, freed, mix, pieces, split
+from .stage import small_side, stored
 
 LANE = 512
-PASS_BYTES = 16 << 20
+PASS_BYTES = 4 << 20
 TABLE = 1 << 20
 
 
@@ -36,24 +38,24 @@ def _blocks(h: np.ndarray, size: int) -> np.ndarray:
 
 
 class Patterns:
-    """Distinct windows of m words each: their words, who has them, and the tables."""
-
-    def __init__(self, windows: dict[tuple[bytes, ...], list[int]], m: int):
-        self.m, self.block = m, min(3, m)
-        self.words = list(windows)
-        self.items = [np.array(sorted(set(v)), np.int64) for v in windows.values()]
-        every = [w for x in self.words for w in x]
-        h = split(pa.array([w.decode() for w in every]), ALPHANUMERIC).hashes().reshape(-1, m)
+    """All windows of m words of some items: where each begins among the items' words, and the tables. A window takes some thirty
+    bytes; its words stand in the items alone."""
+
+    def __init__(self, items: Words, h: np.ndarray, m: int, begin: np.ndarray):
+        """begin: the first words of the windows among the items' words, whose hashes are h."""
+        self.m, self.block, self.items, self.h = m, min(3, m), items, h
+        blocks = _blocks(h, self.block)
         self.shift = np.full(TABLE, m - self.block + 1, np.int16)
-        flat = _blocks(h.reshape(-1), self.block).reshape(-1, m)
         for j in range(self.block - 1, m):
-            np.minimum.at(self.shift, (flat[:, j] & np.uint64(TABLE - 1)).astype(np.int64), m - 1 - j)
-        order = np.argsort(flat[:, -1], kind="stable")
-        self.suffix, self.prefix, self.hash, self.order = flat[order, -1], flat[order, self.block - 1], h[order], order
-
-    def find(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """Last words of all occurrences, and which window each is of."""
-        m, none = self.m, (np.zeros(0, np.int64), [])
+            np.minimum.at(self.shift, (blocks[begin + j] & np.uint64(TABLE - 1)).astype(np.int64), m - 1 - j)
+        suffix = blocks[begin + m - 1]
+        order = np.argsort(suffix, kind="stable")
+        self.begin, self.suffix = begin[order], suffix[order]
+        self.prefix = blocks[self.begin + self.block - 1]
+
+    def find(self, w: Words, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last words of all occurrences, and which item each is of."""
+        m, none = self.m, (np.zeros(0, np.int64), np.zeros(0, np.int64))
         blocks = _blocks(h, self.block)
         shift = self.shift[(blocks & np.uint64(TABLE - 1)).astype(np.int64)]
         lo, hi = w.first[:-1] + m - 1, w.first[1:]
@@ -76,47 +78,84 @@ class Patterns:
         ends, pattern = ends[same], pattern[same]
         if not len(ends):
             return none
-        same = (h[ends[:, None] + np.arange(1 - m, 1)] == self.hash[pattern]).all(axis=1)
-        ends, pattern = ends[same], self.order[pattern[same]]
-        sure = [i for i, (e, p) in enumerate(zip(ends.tolist(), pattern.tolist())) if all(w.text(e - m + 1 + j) == x for j, x in enumerate(self.words[p]))]
-        return ends[sure], pattern[sure].tolist()
-
-
-def patterns(items: list[tuple[str, str | None]], window: int) -> tuple[list[Patterns], list[str]]:
-    """Of (item id, text) pairs: the patterns of each length, and the item ids that they point to."""
-    by_length: dict[int, dict[tuple[bytes, ...], list[int]]] = defaultdict(lambda: defaultdict(list))
-    w = split(pa.array([t for _, t in items], pa.string()), ALPHANUMERIC)
-    for i in range(len(items)):
-        words = [w.text(k) for k in range(w.first[i], w.first[i + 1])]
-        m = min(window, len(words))
-        for k in range(len(words) - m + 1 if m else 0):
-            by_length[m][tuple(words[k : k + m])].append(i)
-    return [Patterns(v, m) for m, v in by_length.items()], [k for k, _ in items]
-
-
-def _search(items: list[tuple[str, str | None]], window: int):
+        same = (h[ends[:, None] + np.arange(1 - m, 1)] == self.h[self.begin[pattern][:, None] + np.arange(m)]).all(axis=1)
+        ends, begin = ends[same], self.begin[pattern[same]]
+        sure = self._same_words(w, ends - m + 1, begin)
+        return ends[sure], self.items.doc[begin[sure]]
+
+    def _same_words(self, w: Words, at: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """Whether the m words of the text from `at` on are those of the window from `begin` on, byte by byte."""
+        same = np.ones(len(at), bool)
+        for j in range(self.m):
+            left, right = w.start[at + j], self.items.start[begin + j]
+            size = w.end[at + j] - left
+            same &= size == self.items.end[begin + j] - right
+            for k in range(int(size.max(initial=0))):
+                inside = np.flatnonzero(same & (size > k))
+                if not len(inside):
+                    break
+                same[inside] = w.data[left[inside] + k] == self.items.data[right[inside] + k]
+        return same
+
+
+def patterns(texts: list[str | None], window: int) -> list[Patterns]:
+    """The patterns of each length of the items' texts."""
+    w = split(pa.array(texts, pa.string()), ALPHANUMERIC)
+    h, n = w.hashes(), np.diff(w.first)
+    size = np.minimum(window, n)
+    left = np.repeat(w.first[1:], n) - np.arange(len(h))
+    size = np.repeat(size, n)
+    return [Patterns(w, h, int(m), np.flatnonzero((size == m) & (left >= m))) for m in np.unique(size)]
+
+
+_made: list = []
+
+
+def _of(items: Broadcast, window: int) -> tuple[list[Patterns], list[str]]:
+    """A pass's patterns and item ids, made once by each worker and kept until another pass comes."""
+    value = items.value
+    if not _made or _made[0] is not value or _made[1] != window:
+        _made[:] = [value, window, patterns([t for _, t in value], window), [k for k, _ in value]]
+    return _made[2], _made[3]
+
+
+def _search(items: Broadcast, window: int, hits_only: bool):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, names = patterns(items, window)
+        found, names = _of(items, window)
         for b in pieces(batches, 1 << 19):
             w = split(b.column("text"), ALPHANUMERIC)
             h, doc = w.hashes(), w.doc
-            ranges: list[list[int]] = [x or [] for x in b.column("ranges").to_pylist()]
-            have: list[set[str]] = [set(x or []) for x in b.column("items").to_pylist()]
+            ranges: list[list[int]] = [[] for _ in range(b.num_rows)]
+            have: list[set[str]] = [set() for _ in range(b.num_rows)]
             for p in found:
                 ends, which = p.find(w, h)
-                for e, k in zip(ends.tolist(), which):
+                for e, k in zip(ends.tolist(), which.tolist()):
                     d = doc[e]
                     at = e - p.m + 1 - int(w.first[d])
                     ranges[d] += [at, at + p.m]
-                    have[d].update(names[i] for i in p.items[k].tolist())
-            merged = [_merged(x) for x in ranges]
-            hit = [sum(x[1::2]) - sum(x[0::2]) for x in merged]
-            columns = [b.column("doc_id"), b.column("text"), pa.array(np.diff(w.first).astype(np.int64)), pa.array(hit, pa.int64()), pa.array(merged, pa.list_(pa.int64())), pa.array([sorted(x) for x in have], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "n_hit", "ranges", "items"])
+                    have[d].add(names[k])
+            keep = [i for i, x in enumerate(have) if x] if hits_only else range(b.num_rows)
+            merged = [_merged(ranges[i]) for i in keep]
+            rows = b.select(["doc_id", "row"]).take(pa.array(keep, pa.int64()))
+            columns = [*rows.columns, pa.array(np.diff(w.first).astype(np.int64)[list(keep)]), pa.array(merged, pa.list_(pa.int64())), pa.array([sorted(have[i]) for i in keep], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "n_words", "ranges", "items"])
 
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in pieces(batches, 1 << 19):
+        w = split(b.column("text"), ALPHANUMERIC)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(np.diff(w.first).astype(np.int64))], ["doc_id", "row", "n_words"])
+
+
+def _union(key: tuple, hits: pa.Table) -> pa.Table:
+    """All passes' ranges and items of one row; a row has one hit a pass at most."""
+    ranges = _merged([x for r in hits.column("ranges").to_pylist() for x in r])
+    return pa.table({"row": pa.array([key[0].as_py()], pa.string()), "ranges": pa.array([ranges], pa.list_(pa.int64())), "items": pa.array([sorted({x for r in hits.column("items").to_pylist() for x in r})], pa.list_(pa.string()))})
+
+
 def _merged(flat: list[int]) -> list[int]:
     """Begin, end, begin, end ... of the union of ranges."""
     if not flat:
@@ -138,12 +177,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     has the id ''. Rows of docs that repeat an id come back one by one; items that repeat an id count as one. Empty tables:
     no rows, or no hits. Documents aren't shuffled.
     """
+    spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     passes = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PASS_BYTES))
     items = items.withColumn("pass", F.pmod(F.xxhash64("id", "text"), F.lit(passes)))
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.array().cast("array<long>").alias("ranges"), F.array().cast("array<string>").alias("items"))
-    schema = "doc_id long, text string, n_words long, n_hit long, ranges array<long>, items array<string>"
-    for p in range(passes):
-        batch = [(r["id"], r["text"]) for r in items.where(F.col("pass") == p).collect()]
-        out = out.select("doc_id", "text", "ranges", "items").mapInArrow(_search(batch, window), schema)
+    # A row is told by a digest of its id and text: rows that share it have the same hits.
+    row = F.lit("") if passes == 1 else F.sha2(F.concat_ws("\x01", F.col(id_col).cast("string"), F.col(text_col)), 256)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row"))
+    schema = "doc_id long, row string, n_words long, ranges array<long>, items array<string>"
+
+    def searched(p: int) -> DataFrame:
+        texts = items.where(F.col("pass") == p).select("id", "text").collect()  # PASS_BYTES, about
+        return rows.mapInArrow(_search(spark.sparkContext.broadcast([(r["id"], r["text"]) for r in texts]), window, passes > 1), schema)
+
+    if passes == 1:
+        out = searched(0)
+    else:
+        hits = None
+        for p in range(passes):
+            some = stored(searched(p).select("row", "ranges", "items").dropDuplicates(["row"]), "hits")
+            hits = some if hits is None else hits.union(some)
+        hits = stored(hits.groupBy("row").applyInArrow(_union, "row string, ranges array<long>, items array<string>"), "hits")
+        out = rows.mapInArrow(_counted, "doc_id long, row string, n_words long").join(small_side(hits, 100_000), "row", "left")
+        out = out.withColumn("ranges", F.coalesce("ranges", F.array().cast("array<long>"))).withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    half = F.transform("ranges", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
+    out = out.withColumn("n_hit", F.aggregate(half, F.lit(0).cast("long"), lambda a, x: a + x))
     return out.select("doc_id", "n_words", "n_hit", "ranges", "items", (F.col("n_hit") > 0).alias("contaminated"))

@@ -243,6 +243,23 @@ def test_decontamination(spark, edge_docs, edge_texts, no_docs, monkeypatch):
     assert wu_manber.decontaminate(edge_docs, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_a_hundred_thousand_items_in_little_memory():
+    """Four passes' worth of items at once: their windows take tens of bytes each."""
+    import tracemalloc
+
+    rnd = np.random.default_rng(4)
+    words = np.array([f"w{i}" for i in range(5000)])
+    texts = [" ".join(words[rnd.integers(0, 5000, 25)]) for _ in range(100_000)]
+    tracemalloc.start()
+    found = wu_manber.patterns(texts, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1 and len(found[0].begin) == 1_600_000 and peak < 600 << 20
+    doc = bytewords.split(pa.array(["x y " + texts[77] + " z", "w1 w2"]), bytewords.ALPHANUMERIC)
+    ends, items = found[0].find(doc, doc.hashes())
+    assert ends.tolist() == list(range(11, 27)) and set(items.tolist()) == {77}
+
+
 PII_TEXTS = [
     "mail a.b+c@d-e.co.uk or x@y, then 10.0.0.255 and 300.1.1.1 and 1.2.3.4.5",
     "card 4111 1111 1111 1111 and 4111-1111-1111-1112; call +1 (415) 555-0132 or +12 3",
