@@ -7,8 +7,9 @@ transition weights, and hashed features of each word (the word, its beginnings a
 LONGEST words each; every word of every text is in one. Forward-backward marginals of all words give a document's expected
 number of toxic words and its most toxic one; a logistic curve over these, fitted on labelled documents, is the score.
 
-Fitting reads a bounded sample: at most SAMPLE labelled documents of either label, those of the smallest hashes, and of these
-at most SEQUENCES sentences of either kind. Scoring covers every whole text, without a shuffle.
+Fitting reads a bounded sample, by the parameters of `fit`: at most `sample` labelled documents of either label, those of the
+smallest hashes, and of their sentences about `sentences` with a toxic word and as many without. The word statistics for token
+labels take in all words of these documents. Scoring covers every whole text, without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,13 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import ALPHANUMERIC, Words, flat, mix, pieces, split
+from .bytewords import ALPHANUMERIC, Words, flat, freed, mix, pieces, split
 from .stage import stored
 
-SAMPLE, SEQUENCES, LONGEST, BUCKETS = 8000, 20000, 48, 1 << 18
+SAMPLE, SENTENCES, LONGEST, BUCKETS = 8000, 20000, 48, 1 << 18
 HEADS, TAILS = (4, 5, 6), (4,)
-#: Word statistics kept for token labels, at most.
-LEXICON = 20000
 
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n"]] = True
@@ -172,7 +171,22 @@ def _labelled(model: Model):
     return run
 
 
-def _examples(model: Model):
+def _kinds(model: Model):
+    """How many sentences have a toxic word and how many have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, 1 << 20):
+            w = split(b.column("text"), ALPHANUMERIC)
+            begin = sequences(w)
+            if len(begin):
+                y = model.labels(affixes(w)) & (b.column("toxic").to_numpy(zero_copy_only=False)[w.doc] == 1)
+                has = int((np.add.reduceat(y.astype(np.int64), begin) > 0).sum())
+                yield pa.RecordBatch.from_arrays([pa.array([has]), pa.array([len(begin) - has])], ["has", "rest"])
+
+    return run
+
+
+def _examples(model: Model, shares: tuple[float, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1 << 20):
             w = split(b.column("text"), ALPHANUMERIC)
@@ -182,8 +196,9 @@ def _examples(model: Model):
             y = model.labels(f) & (b.column("toxic").to_numpy(zero_copy_only=False)[w.doc] == 1)
             size = np.diff(np.append(begin, len(y)))
             has = np.add.reduceat(y.astype(np.int64), begin) > 0
-            # All sentences with a toxic word, and of the others one in 16 by their words.
-            keep = np.flatnonzero(has | (np.bitwise_xor.reduceat(f[:, 0], begin) % np.uint64(16) == 0))
+            # A sentence with a toxic word or without, with the share that the sample has of its kind, by a hash of its words.
+            place = mix(np.add.reduceat(f[:, 0], begin)) / 2.0**64
+            keep = np.flatnonzero(place < np.where(has, shares[1], shares[0]))
             bucket = (f & np.uint64(BUCKETS - 1)).astype(np.int32)
             out = [[has[i], bucket[begin[i] : begin[i] + size[i]].ravel(), y[begin[i] : begin[i] + size[i]].astype(np.int8)] for i in keep]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.bool_()), pa.array([x[1] for x in out], pa.list_(pa.int32())), pa.array([x[2] for x in out], pa.list_(pa.int8()))], ["has", "f", "y"])
@@ -192,19 +207,21 @@ def _examples(model: Model):
 
 
 def _marginals(model: Model, w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Every word's probability to be toxic; per text: (most toxic word's logit, log of 1 + expected toxic words)."""
+    """Every word's probability to be toxic; per text: (most toxic word's logit, log of 1 + expected toxic words, each
+    weighted by its own probability, so that thousands of unlikely ones stay little)."""
     p = forward_backward(model.energies(affixes(w)), sequences(w), model.transition)[0]
     n = len(w.first) - 1
     full = np.flatnonzero(np.diff(w.first))
     top, total = np.zeros(n), np.zeros(n)
     if len(full):
         top[full] = np.maximum.reduceat(p, w.first[full])
-        total[full] = np.add.reduceat(np.where(p > 0.05, p, 0), w.first[full])
+        total[full] = np.add.reduceat(p * p, w.first[full])
     top = np.clip(top, 1e-4, 1 - 1e-4)
     return p, np.stack([np.log(top / (1 - top)), np.log1p(total)], axis=1)
 
 
 def _scores(model: Model):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1 << 19):
             w = split(b.column("text"), ALPHANUMERIC)
@@ -239,8 +256,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, odds: float) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """docs: doc_id, text; labels: doc_id, toxic (0 or 1; an id with both counts as 1), training rows only. No toxic or no clean rows: a constant score."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sentences: int = SENTENCES) -> Model:
+    """docs: doc_id, text; labels: doc_id, toxic (0 or 1; an id with both counts as 1), training rows only.
+
+    sample: labelled documents of either label that are read, at most. sentences: sequences of either kind that train the field,
+    about. Rows of docs that repeat an id are all read, and count as one for the curve. No toxic or no clean rows: a constant
+    score. Null texts have no words; rows without an id are not used.
+    """
     known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     model = Model(np.zeros(0, np.uint64))
@@ -262,17 +284,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     total = F.col("bad") + F.col("good")
     gain = 2 * (F.col("bad") * F.log(F.col("bad") / (total * share)) + F.when(F.col("good") > 0, F.col("good") * F.log(F.col("good") / (total * (1 - share)))).otherwise(0.0))
     ratio = (F.col("bad") / bad_n) / ((F.col("good") + 0.5) / good_n)
-    strong = seen.where("bad >= 3").withColumn("gain", gain).where((ratio >= 6) & (F.col("gain") >= 22)).orderBy(F.desc("gain"), "h").limit(LEXICON)
+    strong = seen.where("bad >= 3").withColumn("gain", gain).where((ratio >= 6) & (F.col("gain") >= 22))  # words of 2 * sample documents
     model.lexicon = np.sort(np.array([r["h"] for r in strong.select("h").collect()], np.int64).view(np.uint64))
     mild = seen.where((F.col("good") >= 2) & (ratio < 6)).join(rows.mapInArrow(_labelled(model), "h long").distinct(), "h", "left_semi")
-    model.mild = np.sort(np.array([r["h"] for r in mild.select("h").limit(LEXICON).collect()], np.int64).view(np.uint64))
-    made = stored(rows.mapInArrow(_examples(model), "has boolean, f array<int>, y array<byte>"), "sentences")
-    got = []
-    for kind in ("has", "not has"):
-        some = made.where(kind)
-        part = min(1.0, SEQUENCES / max(1, some.count()))  # by a hash of the sentence: about SEQUENCES come to the driver
-        got.append(some.where(F.pmod(F.xxhash64("f"), F.lit(1_000_000)) < int(part * 1_000_000)).toArrow().combine_chunks())
-    if got[0].num_rows:
+    model.mild = np.sort(np.array([r["h"] for r in mild.select("h").collect()], np.int64).view(np.uint64))
+    kinds = rows.mapInArrow(_kinds(model), "has long, rest long").agg(F.sum("has").alias("has"), F.sum("rest").alias("rest")).first()
+    shares = tuple(min(1.0, sentences / max(1, kinds[x] or 0)) for x in ("rest", "has"))
+    made = rows.mapInArrow(_examples(model, shares), "has boolean, f array<int>, y array<byte>").orderBy(F.xxhash64("f"), "f")
+    got = [made.toArrow()]  # about 2 * sentences rows
+    if kinds["has"]:
         both = pa.concat_tables(got).combine_chunks()
         y = both.column("y").combine_chunks()
         y = y.chunk(0) if isinstance(y, pa.ChunkedArray) else y
@@ -281,7 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         size = y.value_lengths().to_numpy()
         features = f.flatten().to_numpy().reshape(-1, 1 + len(HEADS) + len(TAILS))
         train_field(features, y.flatten().to_numpy().astype(np.float64), np.cumsum(size) - size, model)
-    fitted = rows.mapInArrow(_scores(model), SCORED).select("doc_id", "top", "mass").join(F.broadcast(chosen), "doc_id").select("top", "mass", "toxic").collect()  # as many rows as chosen
+    fitted = rows.mapInArrow(_scores(model), SCORED).select("doc_id", "top", "mass").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.max("top").alias("top"), F.max("mass").alias("mass")).orderBy("doc_id").collect()  # a row for each chosen id
     x = np.array([[r["top"], r["mass"]] for r in fitted])
     model.curve = _logistic(x, np.array([r["toxic"] for r in fitted], float), counts[1] / counts[0])
     return model
