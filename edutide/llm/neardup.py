@@ -3,8 +3,9 @@
 Plan: whole texts -> distinct word shingles -> one fingerprint per set, so exact copies collapse before anything else ->
 minima of 128 hash functions per distinct set, of which two low bits are kept, packed in four longs -> 32 bands of four
 minima give buckets -> each set against the smallest of its bucket, by the collision-corrected estimate from bit counts, then
-on full sets -> connected components. Buckets that still hold several components make families; there, in blocks, all members
-of different components are tried in the same two ways -> connected components of all links.
+on full sets -> connected components. In buckets that still hold several components, the estimate is made for all pairs, and its
+links make families: texts that only share a bucket by chance or boilerplate stay out. In a family, in blocks of bounded bytes,
+all members of different components are confirmed on full sets -> connected components of all links.
 
 A pair of similarity 0.85 shares no bucket with probability (1 - 0.85^4)^32 = 6e-11, at 0.8 it is 5e-8. The estimate has a
 standard error of 0.037 there; the filter stands six of them below the threshold, so that it drops no true link in practice.
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import NOT_SPACE, mix, pieces, shingles, split
+from .bytewords import NOT_SPACE, freed, mix, pieces, shingles, split
 from .components import connected_components
 from .stage import stored
 
@@ -28,8 +29,8 @@ HASHES = BANDS * ROWS
 #: Low bits kept of each minimum, and longs that hold them.
 BITS = 2
 LONGS = HASHES * BITS // 64
-#: Members of a family that one task compares with as many others.
-BLOCK = 1024
+#: Members of a bucket, and members and shingles of a family, that one task compares with as many others, about.
+BUCKET, BLOCK, SHINGLES = 4096, 1024, 2 << 20
 
 _SEED = np.arange(1, 2 * HASHES + 1, dtype=np.uint64)
 _A, _B = mix(_SEED[:HASHES]) | np.uint64(1), mix(_SEED[HASHES:])
@@ -75,6 +76,7 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 
 def _signatures(k: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1 << 19, "_text"):
             h, off = distinct_shingles(b.column("_text"), k)
@@ -96,6 +98,7 @@ def _signatures(k: int):
 
 
 def _sets(k: int):
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 1 << 20, "_text"):
             h, off = distinct_shingles(b.column("_text"), k)
@@ -186,13 +189,61 @@ def _across(least: int, percent: int):
     return run
 
 
+def _similar(least: int, percent: int):
+    """bucket, i, j, block, id, n, sig, sorted by bucket, i and j -> for each such group a forest (u, v) that connects the members
+    which links of the estimate connect."""
+
+    def forest(block: np.ndarray, i: int, j: int, ids: np.ndarray, size: np.ndarray, sig: np.ndarray) -> list[tuple[int, int]]:
+        label, right, out = np.arange(len(ids)), np.flatnonzero(block == j), []
+        for a in np.flatnonzero(block == i):
+            some = right[label[right] != label[a]]
+            if i == j:
+                some = some[some > a]
+            some = some[np.minimum(size[some], size[a]) * 100 >= np.maximum(size[some], size[a]) * percent]
+            x = sig[some] ^ sig[a]
+            differ = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+            for b in some[HASHES - differ.astype(np.int64) >= least]:
+                if label[b] != label[a]:
+                    label[label == label[b]] = label[a]
+                    out.append((int(ids[a]), int(ids[b])))
+        return out
+
+    def made(rows: pa.Table) -> pa.RecordBatch:
+        """Of whole groups."""
+        key = [rows.column(c).to_numpy() for c in ("bucket", "i", "j")]
+        new = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in key], axis=0)]))
+        block, ids, size = (rows.column(c).to_numpy() for c in ("block", "id", "n"))
+        sig = _lists(rows.column("sig"), np.uint64)[0].reshape(len(ids), LONGS)
+        out = [e for a, b in zip(new, [*new[1:], len(ids)]) for e in forest(block[a:b], int(key[1][a]), int(key[2][a]), ids[a:b], size[a:b], sig[a:b])]
+        return pa.RecordBatch.from_arrays([pa.array([e[0] for e in out], pa.int64()), pa.array([e[1] for e in out], pa.int64())], ["u", "v"])
+
+    @freed
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = t if rest is None else pa.concat_tables([rest, t])
+            last = np.all([t.column(c).to_numpy() == t.column(c)[-1].as_py() for c in ("bucket", "i", "j")], axis=0)
+            done = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0  # the last group may go on in the next batch
+            if done:
+                yield made(t.slice(0, done))
+            rest = t.slice(done)
+        if rest is not None:
+            yield made(rest)
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """Per row of docs: id, n_shingles, component_id (smallest id that links reach, itself included), kept.
 
     Two texts are linked if 100 * shared >= percent * united distinct shingles; a text of fewer than `shingle` words has
     one shingle, all its words. Null or wordless texts: n_shingles 0, linked with nothing. Rows with a null id: a null
     component, kept. Rows that repeat an id come back one by one, each with the smallest component of any of the id's texts.
-    An empty table gives no rows. Other columns of docs are not read.
+    An empty table gives no rows. Other columns of docs are not read. Shingles are told apart by a 64-bit hash: two of a pair of
+    texts meet by chance about once in 1e13 pairs of a thousand words.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     sig = stored(rows.mapInArrow(_signatures(shingle), "id long, n long, f1 long, f2 long, sig array<long>, bands array<long>"), "signatures")
@@ -219,14 +270,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     links = stored(confirmed(hubs.select("a", "b")), "links")
     joined = stored(connected_components(links), "joined")
-    # Buckets whose members the hubs have not brought together make families, of which every pair of components is tried.
+    # Buckets whose members the hubs have not brought together: the estimate for all pairs, in blocks.
     placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi and n > 2").select("bucket")
-    families = connected_components(members.join(open_, "bucket", "left_semi").select(F.col("hub").alias("u"), F.col("id").alias("v")), "families").toDF("id", "family")
-    blocks = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    spread = families.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).join(joined.withColumnRenamed("node", "id"), "id", "left")
-    spread = spread.join(signs.select("id", "sig"), "id").join(full, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", F.coalesce("component", "id").alias("component"), "sig", "set")
+    open_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi and n > 2")
+    open_ = open_.select("bucket", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        """Rows with `blocks`: dealt into so many, and once for each pair of blocks that theirs is in."""
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+
+    inside = in_blocks(members.select("bucket", "id").join(open_, "bucket")).join(signs, "id").select("bucket", "i", "j", "block", "id", "n", "sig")
+    inside = inside.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    families = connected_components(inside.mapInArrow(_similar(least, percent), "u long, v long"), "families").toDF("id", "family").join(signs, "id")
+    blocks = families.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
+    spread = in_blocks(families.join(blocks, "family").join(joined.withColumnRenamed("node", "id"), "id", "left")).join(full, "id")
+    spread = spread.select("family", "i", "j", "block", "id", F.coalesce("component", "id").alias("component"), "sig", "set")
     more = stored(spread.groupBy("family", "i", "j").applyInArrow(_across(least, percent), "u long, v long"), "more-links")
     merged = connected_components(links.union(more)) if more.limit(1).count() else joined
 

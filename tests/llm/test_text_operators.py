@@ -71,8 +71,11 @@ def test_near_duplicates(edge_docs, edge_texts, k, percent):
             assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), comp[r.doc_id], comp[r.doc_id] == r.doc_id)
 
 
-def test_near_duplicate_chains_and_one_large_family(spark):
+@pytest.mark.parametrize("bucket, block", [(4096, 1024), (7, 16)])
+def test_near_duplicate_chains_and_one_large_family(spark, monkeypatch, bucket, block):
     """Copies whose neighbours are linked but not the ends, and many that share half: links must be those of brute force."""
+    monkeypatch.setattr(neardup, "BUCKET", bucket)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rnd = np.random.default_rng(3)
     base = [f"w{i}" for i in range(60)]
     texts = {}
