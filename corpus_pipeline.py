@@ -14,7 +14,8 @@ from edutide.llm.stage import small_side, stored, table
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number _row for each row, which is written, so that it stays the same."""
+    """docs with a number _row for each row, which is written, so that it stays the same. Rows that repeat an id, or have none,
+    are rows like others: none stands for another."""
     return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
