@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytewords import counted, distinct, flat, mix, pieces
+from .bytewords import counted, distinct, flat, freed, mix, pieces, release
 from .stage import parallelism, small_side, stored
 
 #: Bytes that UTF-8 never has: before the beginning and after the end of a text.
@@ -76,6 +76,19 @@ def _packed(values: np.ndarray) -> bytes:
     return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
+#: Log probabilities travel as steps of 1/2048, from 0 down to -31.99.
+STEP, STEPS = 1 / 2048, (1 << 16) - 1
+
+
+def _steps(lp: np.ndarray) -> bytes:
+    return pa.compress(np.minimum(np.round(-lp / STEP), STEPS).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unsteps(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 2 * n, codec="zstd", asbytes=True), np.uint8).reshape(2, n)
+    return np.ascontiguousarray(planes.T).view("<u2").ravel()
+
+
 def _unpacked(blob: bytes) -> np.ndarray:
     n = int.from_bytes(blob[:8], "little")
     planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
@@ -106,6 +119,7 @@ def _count(order: int, shards: int):
         rows = [(k, _packed(g[at]), _packed(c[at])) for k, at in _by_shard(g, shards)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["shard", "grams", "counts"])
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size, base = [], 0, 0
         for b in pieces(batches, WINDOW):
@@ -249,6 +263,7 @@ def _asked(order: int, shards: int):
         rows = [(k, _packed(g[at])) for k, at in _by_shard(g, shards)]
         return pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["block", "shard", "grams"])
 
+    @freed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have: dict[int, list[np.ndarray]] = {}
         base: dict[int, int] = {}
@@ -268,9 +283,9 @@ def _asked(order: int, shards: int):
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+def _blocks(batches: Iterator[pa.RecordBatch], size: int = WINDOW) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Pieces of rows that belong to one block."""
-    for b in pieces(batches, WINDOW):
+    for b in pieces(batches, size):
         of = b.column("block").to_numpy(zero_copy_only=False)
         for k in distinct(of).tolist():
             yield k, b if len(of) == 1 or (of == k).all() else b.filter(pa.array(of == k))
@@ -283,19 +298,20 @@ def _answer(model_order: int, cuts: dict[int, np.ndarray], pairs: np.ndarray):
         if table.num_rows:
             g, c = _unpacked(table.column("grams")[0].as_py()), _unpacked(table.column("counts")[0].as_py())
         every = distinct(np.concatenate([np.zeros(0, np.int64), *wanted]))
-        lp = log_probabilities(every, g, c, model_order, cuts, pairs).astype(np.float32)
-        answers = [pa.compress(lp[np.searchsorted(every, x)].tobytes(), codec="zstd", asbytes=True) for x in wanted]
+        lp = log_probabilities(every, g, c, model_order, cuts, pairs)
+        answers = [_steps(lp[np.searchsorted(every, x)]) for x in wanted]
         return pa.table({"block": asked.column("block"), "grams": asked.column("grams"), "answers": pa.array(answers, pa.binary())})
 
     return run
 
 
-_ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
+_ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
 
 
+@freed
 def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a batch that go to one block, as one compressed value: a shuffle then moves less than the stored table."""
-    for block, b in _blocks(batches):
+    for block, b in _blocks(batches, 8 << 20):
         rows = pa.table({"row": b.column("row"), "lang": b.column("lang").cast(pa.string()), "text": b.column("text").cast(pa.large_string())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rows.schema, options=_ZSTD) as out:
@@ -308,8 +324,8 @@ def _score(order: int):
         parts, values = [], []
         for x, y in zip(known.column("grams").to_pylist(), known.column("answers").to_pylist()):
             parts.append(_unpacked(x))
-            values.append(np.frombuffer(pa.decompress(y, 4 * len(parts[-1]), codec="zstd", asbytes=True), np.float32))
-        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.float32), *values])
+            values.append(_unsteps(y, len(parts[-1])))
+        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.uint16), *values])
         del parts, values
         by = np.argsort(g, kind="stable")
         g, lp = g[by], lp[by]
@@ -325,11 +341,13 @@ def _score(order: int):
                     at, there = _found(codes, g)
                     if not there.all():
                         raise RuntimeError("a block's rows are not those that asked: the input gave other rows when it was read again")
-                    total += np.bincount(text[near], lp[at], b.num_rows)
+                    total -= np.bincount(text[near], lp[at], b.num_rows) * STEP
                 sums.append(total)
                 sizes.append(grams.units)
                 ids.append(b.column("row"))
                 langs.append(b.column("lang").cast(pa.string()))
+        del g, lp
+        release()
         return pa.table({"row": pa.chunked_array(ids, pa.int64()), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate(sums), "units": np.concatenate(sizes)})
 
     return run
