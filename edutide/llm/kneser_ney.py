@@ -33,7 +33,7 @@ BLOCK_BYTES, SHARD_BYTES, TOGETHER = 48 << 20, 4 << 20, 256
 #: N-grams that are sorted at once.
 WINDOW = 1 << 20
 #: Distinct n-grams that a task holds before it hands them on.
-HELD = 6_000_000
+HELD = 3_000_000
 
 
 class Grams:
@@ -319,7 +319,7 @@ def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
 
-def _score(order: int):
+def _score(order: int, key: pa.DataType):
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
         parts, values = [], []
         for x, y in zip(known.column("grams").to_pylist(), known.column("answers").to_pylist()):
@@ -348,17 +348,18 @@ def _score(order: int):
                 langs.append(b.column("lang").cast(pa.string()))
         del g, lp
         release()
-        return pa.table({"row": pa.chunked_array(ids, pa.int64()), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate(sums), "units": np.concatenate(sizes)})
+        return pa.table({"row": pa.chunked_array(ids, key), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate(sums), "units": np.concatenate(sizes)})
 
     return run
 
 
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
-    """docs: row (long), lang, text. Returns row, lang, logp (sum over the whole text), units (bytes and the end). Null text: empty.
+    """docs: row (a long or a string), lang, text. Returns row, lang, logp (sum over the whole text), units (bytes and the end). Null text: empty.
 
     Rows of one part of an input file are a block, or several where it has more than BLOCK_BYTES of text; rows that don't come
     straight from a file are dealt into blocks by a hash.
     """
+    text_key = dict(docs.dtypes)["row"] == "string"
     place = F.struct(F.input_file_name(), F.input_file_block_start())
     rows = docs.select("row", "lang", "text", F.xxhash64(place).alias("place"))
     found = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.approx_count_distinct("place", 0.02).alias("places")).first()
@@ -371,7 +372,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     tables = model.tables.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1))))
     answers = asked.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_answer(model.order, model.cuts, model.pairs), "block long, grams binary, answers binary")
     bundles = dealt.mapInArrow(_bundled, "block long, rows binary")
-    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order), "row long, lang string, logp double, units long")
+    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order, pa.string() if text_key else pa.int64()), f"row {'string' if text_key else 'long'}, lang string, logp double, units long")
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 7, quantile: float = 0.995, prior: int = 100, least_held: int = 20, row_col: str | None = None) -> DataFrame:
@@ -382,10 +383,10 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", tex
     is the same mean after `prior` units of the trusted mean are mixed in, so that a text of a few words isn't rejected for
     chance; both are null-safe: a null text is empty and scores as its end alone. A language with fewer than `least_held`
     held-out trusted rows, or a null one, takes the threshold of all together; without any trusted text all is accepted.
-    Rows that repeat an id are scored one by one. An empty table gives no rows. row_col: a column of distinct numbers, which
-    then comes back as doc_id, so that each decision belongs to its row.
+    Rows that repeat an id are scored one by one. An empty table gives no rows. row_col: a column, long or string, that tells
+    rows apart (rows that share it are alike), which then comes back as doc_id, so that each decision belongs to its row.
     """
-    rows = docs.select(F.col(row_col or id_col).cast("long").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
+    rows = docs.select((F.col(row_col) if row_col else F.col(id_col).cast("long")).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
     ids = stored(trusted_ids.select(F.col("doc_id").cast("long").alias("row")).where("row is not null").distinct().withColumn("held", F.pmod(F.xxhash64("row", F.lit("fold")), F.lit(5)) == 0), "trusted")
     if row_col:
         ids = stored(rows.select("row", "id").join(small_side(ids.toDF("id", "held")), "id").select("row", "held"), "trusted-rows")

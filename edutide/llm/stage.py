@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edutide.sources.shared import stored
 
-__all__ = ["parallelism", "small_side", "stored", "table"]
+__all__ = ["parallelism", "row_digest", "small_side", "stored", "table"]
 
 #: Rows of (long, small value) up to which a side may be broadcast: as a hashed relation, about 64 bytes a row and so 32 MB.
 BROADCAST_ROWS = 500_000
@@ -22,5 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_digest(*columns: str) -> Column:
+    """A digest of these columns, the same for rows that are alike in them and for no others: each value stands behind its length."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("null;")) for c in columns]
+    return F.sha2(F.concat(*parts), 256)
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)

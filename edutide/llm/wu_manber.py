@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import ALPHANUMERIC, Words, freed, mix, pieces, split
-from .stage import small_side, stored
+from .stage import row_digest, small_side, stored
 
 LANE = 512
 PASS_BYTES = 4 << 20
@@ -169,6 +169,37 @@ def _merged(flat: list[int]) -> list[int]:
     return out
 
 
+class _passes:
+    """The benchmark, dealt into n passes."""
+
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str):
+        items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        self.n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PASS_BYTES))
+        self.items = items.withColumn("pass", F.pmod(F.xxhash64("id", "text"), F.lit(self.n)))
+
+    def search(self, rows: DataFrame, p: int, window: int, hits_only: bool) -> DataFrame:
+        """rows: doc_id, row, text."""
+        texts = self.items.where(F.col("pass") == p).select("id", "text").collect()  # PASS_BYTES, about
+        sent = rows.sparkSession.sparkContext.broadcast([(r["id"], r["text"]) for r in texts])
+        return rows.mapInArrow(_search(sent, window, hits_only), "doc_id long, row string, n_words long, ranges array<long>, items array<string>")
+
+    def hits(self, rows: DataFrame, window: int) -> DataFrame:
+        """row, ranges, items of the rows that any pass hits, a row once for each pass that does; written pass by pass."""
+        out = None
+        for p in range(self.n):
+            some = stored(self.search(rows, p, window, True).select("row", "ranges", "items").dropDuplicates(["row"]), "hits")
+            out = some if out is None else out.union(some)
+        return out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10) -> DataFrame:
+    """docs without the rows that hold a window of an item, as `decontaminate` finds them; all columns stay as they are. Nulls,
+    repeated ids and empty tables are as there: each row is judged by its own text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_digest(id_col, text_col).alias("row"))
+    gone = _passes(benchmark, item_col, item_text_col).hits(rows, window).select("row").distinct()
+    return docs.join(small_side(gone.toDF("_gone"), 100_000), row_digest(id_col, text_col) == F.col("_gone"), "left_anti")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit (words inside an occurrence of a window), ranges (their merged word ranges,
     begin and end in turn), items (sorted strings), contaminated (n_hit > 0).
@@ -177,26 +208,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     has the id ''. Rows of docs that repeat an id come back one by one; items that repeat an id count as one. Empty tables:
     no rows, or no hits. Documents aren't shuffled.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    passes = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PASS_BYTES))
-    items = items.withColumn("pass", F.pmod(F.xxhash64("id", "text"), F.lit(passes)))
-    # A row is told by a digest of its id and text: rows that share it have the same hits.
-    row = F.lit("") if passes == 1 else F.sha2(F.concat_ws("\x01", F.col(id_col).cast("string"), F.col(text_col)), 256)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row"))
-    schema = "doc_id long, row string, n_words long, ranges array<long>, items array<string>"
-
-    def searched(p: int) -> DataFrame:
-        texts = items.where(F.col("pass") == p).select("id", "text").collect()  # PASS_BYTES, about
-        return rows.mapInArrow(_search(spark.sparkContext.broadcast([(r["id"], r["text"]) for r in texts]), window, passes > 1), schema)
-
-    if passes == 1:
-        out = searched(0)
+    passes = _passes(benchmark, item_col, item_text_col)
+    # Beyond one pass a row is told by a digest of its id and text: rows that share it have the same hits.
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (F.lit("") if passes.n == 1 else row_digest(id_col, text_col)).alias("row"))
+    if passes.n == 1:
+        out = passes.search(rows, 0, window, False)
     else:
-        hits = None
-        for p in range(passes):
-            some = stored(searched(p).select("row", "ranges", "items").dropDuplicates(["row"]), "hits")
-            hits = some if hits is None else hits.union(some)
+        hits = passes.hits(rows, window)
         hits = stored(hits.groupBy("row").applyInArrow(_union, "row string, ranges array<long>, items array<string>"), "hits")
         out = rows.mapInArrow(_counted, "doc_id long, row string, n_words long").join(small_side(hits, 100_000), "row", "left")
         out = out.withColumn("ranges", F.coalesce("ranges", F.array().cast("array<long>"))).withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
