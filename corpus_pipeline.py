@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: five stages, each written as Parquet and read again by the next.
 
-Every stage but the last returns the columns of documents. Decisions are made and carried row by row: a stage that leaves
-rows out numbers its rows, writes them, and takes away the numbers that go, so that null and repeated ids stand for nothing.
+Every stage but the last returns the columns of documents. Decisions belong to rows, so that null and repeated ids stand for
+nothing: where a decision follows from a row's id, language and text, rows are told by a digest of these; where one of several
+equal rows stays, rows are numbered and written. Null texts count as empty and stay null. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edutide.llm import kneser_ney, neardup, packing, pii, queries, wu_manber
-from edutide.llm.stage import small_side, stored, table
+from edutide.llm.stage import row_digest, small_side, stored, table
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -26,10 +27,11 @@ def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model accepts."""
+    """Documents that the quality model accepts; without trusted text all. Rows that are alike go or stay together."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    rows = _numbered(docs)
-    return _without(rows, kneser_ney.quality(rows, trusted, row_col="_row").where("not accepted").select("doc_id"))
+    told = row_digest("doc_id", "lang", "text")
+    gone = kneser_ney.quality(docs.withColumn("_row", told), trusted, row_col="_row").where("not accepted").select(F.col("doc_id").alias("_gone"))
+    return docs.join(small_side(stored(gone.distinct(), "gone"), 100_000), told == F.col("_gone"), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +46,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    rows = _numbered(docs)
-    found = wu_manber.decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="_row")
-    return _without(rows, found.where("contaminated").select("doc_id"))
+    """Documents without a benchmark passage; without a benchmark all."""
+    return wu_manber.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind and n_chars as the text now is."""
+    """All documents, with personal data replaced by its kind and n_chars as the text now is; that of a null text stays."""
     out = pii.redact(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
@@ -59,7 +59,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their ids, in sequences of 2048."""
+    """The pieces of all documents, with their ids, in sequences of 2048; rows that repeat an id are packed one by one."""
     return packing.pack(docs, queries.tokenizer_path("word_bpe_49k.json"))
 
 
