@@ -49,12 +49,13 @@ class Tree:
             self.out.append((n.type, n.mode, n.start, n.last, n.ms, n.events, n.interactions))
 
     def _close(self, n: Node) -> None:
-        for child in n.below:
-            if child.open:
-                self._close(child)
+        for child in list(n.below):
+            self._close(child)
         if n.open:
             n.open = False
             self._emit(n)
+            if n.parent is not None:
+                n.parent.below.remove(n)
 
     def _push(self, type_: str, mode: str, ets: int, parent: Node | None) -> Node:
         n = Node(type_, mode, ets, parent, ets)

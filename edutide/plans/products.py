@@ -280,15 +280,15 @@ def m10(spark: SparkSession, d: str) -> DataFrame:
     return recommend.random_walk(edges, start, 2).select("learner", "node", F.round("r", 4).alias("r"))
 
 
-@query("m12_author_affinity", """WITH e AS (SELECT DISTINCT c_nationkey AS author, o_orderpriority || '-' || c_mktsegment || '-' || o_custkey % 7 AS thing FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 11 = 0),
+@query("m12_author_affinity", """WITH e AS (SELECT DISTINCT c_nationkey AS author, o_orderpriority || '-' || c_mktsegment || '-' || left(CAST(o_orderdate AS VARCHAR), 7) AS thing FROM orders JOIN customer ON c_custkey = o_custkey),
 a AS (SELECT count(DISTINCT author) AS authors FROM e), n AS (SELECT thing, count(*) AS n FROM e GROUP BY 1),
 r AS (SELECT x.thing AS x, y.thing AS y, count(*) AS both_ FROM e x JOIN e y ON x.author = y.author AND x.thing <> y.thing GROUP BY 1, 2),
 l AS (SELECT x, y, both_ * authors / (nx.n * ny.n) AS lift FROM r JOIN n nx ON nx.thing = x JOIN n ny ON ny.thing = y, a),
 s AS (SELECT e.author, y AS thing, round(sum(lift), 6) AS lift FROM e JOIN l ON l.x = e.thing WHERE NOT EXISTS (SELECT 1 FROM e z WHERE z.author = e.author AND z.thing = l.y) GROUP BY 1, 2)
 SELECT author, count(*) AS n, round(max(lift), 4) AS best FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY lift DESC, thing) AS rank FROM s) WHERE rank <= 5 GROUP BY 1""")
 def m12(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").where("o_orderkey % 11 = 0").join(read(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-    edges = o.select(F.col("c_nationkey").alias("author"), F.concat_ws("-", "o_orderpriority", "c_mktsegment", (F.col("o_custkey") % 7).cast("string")).alias("thing"))
+    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    edges = o.select(F.col("c_nationkey").alias("author"), F.concat_ws("-", "o_orderpriority", "c_mktsegment", F.left(F.col("o_orderdate").cast("string"), F.lit(7))).alias("thing")).distinct()
     return recommend.affinity(edges, 5).groupBy("author").agg(F.count("*").alias("n"), F.round(F.max("lift"), 4).alias("best"))
 
 

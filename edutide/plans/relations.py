@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edutide.functions.scalars import ratio
 from edutide.operators import joins, reports
 from edutide.sources import io
+from edutide.sources.shared import stored
 from edutide.sources.telemetry import TELEMETRY_SQL, read
 
 from .basics import events, registry
@@ -285,13 +286,16 @@ def a21(spark: SparkSession, d: str) -> DataFrame:
     return reports.pivoted(best, ["c_nationkey"], "c_mktsegment", "score", ["BUILDING", "MACHINERY"])
 
 
-@query("l1_sort_by_text", "SELECT o_orderkey, row_number() OVER (ORDER BY coalesce(CAST(o_custkey AS VARCHAR), ''), o_orderkey) AS place FROM orders WHERE o_orderstatus = 'P'")
+@query("l1_sort_by_text", "SELECT o_orderkey, row_number() OVER (ORDER BY coalesce(CAST(o_custkey AS VARCHAR), ''), o_orderkey) AS place FROM orders")
 def l1(spark: SparkSession, d: str) -> DataFrame:
     # A row's place in the global order, from a range partitioning: Spark's sort, without a window over everything.
-    rows = read(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey", F.coalesce(F.col("o_custkey").cast("string"), F.lit("")).alias("as_text"))
+    rows = read(spark, d, "orders").select("o_orderkey", F.coalesce(F.col("o_custkey").cast("string"), F.lit("")).alias("as_text"))
+    # It is written once, so that both uses below see the same parts.
     ordered = rows.repartitionByRange("as_text", "o_orderkey").sortWithinPartitions("as_text", "o_orderkey").withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id() % (1 << 33))
-    before = ordered.groupBy("part").agg(F.count("*").alias("n"))
-    offsets = before.alias("a").join(before.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    ordered = stored(ordered, "ordered")
+    # A row for each part: as many as the shuffle has partitions.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     return ordered.join(F.broadcast(offsets), "part").select("o_orderkey", (F.col("before") + F.col("at") + 1).alias("place"))
 
 

@@ -383,7 +383,7 @@ def u25(spark: SparkSession, d: str) -> DataFrame:
 
 @query("u26_daily_totals", f"WITH {PLAYS_SQL} SELECT period, CAST(sum(ms) AS BIGINT) AS total_ms, count(*) AS total_sessions FROM s GROUP BY 1")
 def u26(spark: SparkSession, d: str) -> DataFrame:
-    rows = summaries.workflow_usage(plays(spark, d), REGISTERED_TAGS).where("content = 'all' and user = 'all' and device = 'all' and tag = 'all'")
+    rows = all_cube(plays(spark, d), summaries.FIXED, [], summaries.usage_measures(), combos=[[]])
     return rows.groupBy("period").agg(F.sum("total_ms").alias("total_ms"), F.sum("total_sessions").alias("total_sessions"))
 
 
