@@ -154,9 +154,13 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, 1 << 20):
         w = split(b.column("text"), ALPHANUMERIC)
         f, doc, toxic = affixes(w), w.doc, b.column("toxic").to_numpy(zero_copy_only=False)
-        both = np.unique(np.stack([np.repeat(doc.astype(np.uint64), 1 + len(HEADS)), f[:, : 1 + len(HEADS)].ravel()], axis=1), axis=0)
-        h, at = np.unique(both[:, 1], return_inverse=True)
-        bad = np.bincount(at, toxic[both[:, 0].astype(np.int64)], len(h)).astype(np.int64)
+        every, of = f[:, : 1 + len(HEADS)].ravel(), np.repeat(doc, 1 + len(HEADS))
+        order = np.lexsort((every, of))
+        every, of = every[order], of[order]
+        new = np.ones(len(every), bool)  # the first of a text's equal ones
+        new[1:] = (every[1:] != every[:-1]) | (of[1:] != of[:-1])
+        h, at = np.unique(every[new], return_inverse=True)
+        bad = np.bincount(at, toxic[of[new]], len(h)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(bad), pa.array(np.bincount(at, minlength=len(h)).astype(np.int64) - bad)], ["h", "bad", "good"])
 
 
@@ -290,8 +294,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sentences: int
     model.mild = np.sort(np.array([r["h"] for r in mild.select("h").collect()], np.int64).view(np.uint64))
     kinds = rows.mapInArrow(_kinds(model), "has long, rest long").agg(F.sum("has").alias("has"), F.sum("rest").alias("rest")).first()
     shares = tuple(min(1.0, sentences / max(1, kinds[x] or 0)) for x in ("rest", "has"))
-    made = rows.mapInArrow(_examples(model, shares), "has boolean, f array<int>, y array<byte>").orderBy(F.xxhash64("f"), "f")
-    got = [made.toArrow()]  # about 2 * sentences rows
+    made = rows.mapInArrow(_examples(model, shares), "has boolean, f array<int>, y array<byte>").withColumn("place", F.xxhash64("f", "y"))
+    got = [made.toArrow().sort_by("place")]  # about 2 * sentences rows, in an order that no task decides
     if kinds["has"]:
         both = pa.concat_tables(got).combine_chunks()
         y = both.column("y").combine_chunks()
