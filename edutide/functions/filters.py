@@ -45,6 +45,7 @@ ALIASES = {
     "ts": "ts",
     "eventts": "ets",
     "gameId": "content",
+    "gameVersion": "content_ver",
     "userId": "uid",
     "sessionId": "sid",
     "telemetryVersion": "ver",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +76,32 @@ def validated(log: DataFrame, needed: list[str]) -> DataFrame:
     for c in reversed(needed):
         reason = F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""), f"missing {c}").otherwise(reason)
     return log.withColumn("reject", reason)
+
+
+def late_audit(events: DataFrame, day: Column, sync: Column, minus: int = 1, plus: int = 2, threshold: float = 1.0) -> DataFrame:
+    """T4: per event day, how many events were synced from `minus` days before it to `plus` days after it, and the share of
+    those outside, in percent. Events without a sync day are outside; those without an event day aren't counted."""
+    rows = events.select(day.alias("day"), F.coalesce(sync.between(F.date_sub(day, minus), F.date_add(day, plus)), F.lit(False)).alias("inside")).where("day IS NOT NULL")
+    out = rows.groupBy("day").agg(F.count("*").alias("events"), F.count_if("inside").alias("in_time"))
+    out = out.withColumn("percent", F.round((F.col("events") - F.col("in_time")) * 100 / F.col("events"), 2))
+    return out.withColumn("status", status(F.col("percent"), threshold))
+
+
+#: Audits by name. Each is a function of frames and parameters to a frame with a status.
+AUDITS: dict[str, Callable[..., DataFrame]] = {"stages": stage_audit, "producers": failed_by_producer, "stores": store_audit, "late": late_audit}
+
+
+def run_audits(configs: list[dict]) -> DataFrame:
+    """Runs audits in order of their priority; each config: name, audit (a name in AUDITS), priority, params, threshold.
+    Per audit one row: name, how many lines it checked, how many are RED, and its worst status. An unknown audit raises."""
+    unknown = sorted({c["audit"] for c in configs} - set(AUDITS))
+    if unknown or not configs:
+        raise ValueError(f"unknown audits: {unknown}" if unknown else "no audits")
+
+    def one(c: dict) -> DataFrame:
+        red, amber = F.count_if(F.col("status") == "RED"), F.count_if(F.col("status") == "AMBER")
+        worst = F.when(red > 0, "RED").when(amber > 0, "AMBER").otherwise("GREEN")
+        lines = AUDITS[c["audit"]](**c["params"], threshold=c.get("threshold", 1.0))
+        return lines.agg(F.lit(c["name"]).alias("name"), F.count("*").alias("checked"), red.alias("red"), worst.alias("status"))
+
+    return reduce(DataFrame.unionByName, [one(c) for c in sorted(configs, key=lambda c: c.get("priority", 0))])

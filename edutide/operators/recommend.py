@@ -54,6 +54,27 @@ def affinity(edges: DataFrame, top: int) -> DataFrame:
     return ranked(scored, "author", [F.desc("lift"), F.col("thing")], top)
 
 
+def facet_lift(edges: DataFrame) -> DataFrame:
+    """Of author-thing rows, repeated ones counted: the lift of each thing for each author."""
+    both = edges.groupBy("author", "thing").agg(F.count("*").alias("n"))
+    authors, things = both.groupBy("author").agg(F.sum("n").alias("na")), both.groupBy("thing").agg(F.sum("n").alias("nt"))
+    total = both.agg(F.sum("n").alias("total"))  # one row
+    rows = both.join(authors, "author").join(things, "thing").join(F.broadcast(total))
+    return rows.select("author", "thing", F.round(F.col("n") * F.col("total") / (F.col("na") * F.col("nt")), 6).alias("lift"))
+
+
+def combined_facets(facets: dict[str, DataFrame], first: int) -> DataFrame:
+    """Each author's first things of every facet by lift, in all combinations (at most first^facets an author), with the sum
+    of their lifts and a rank by it."""
+    out = None
+    for name, f in facets.items():
+        best = ranked(f, "author", [F.desc("lift"), F.col("thing")], first).select("author", F.col("thing").alias(name), F.col("lift").alias(f"_{name}"))
+        out = best if out is None else out.join(best, "author")
+    lift = sum((F.col(f"_{name}") for name in facets), F.lit(0.0))
+    out = out.select("author", *facets, F.round(lift, 6).alias("lift"))
+    return out.withColumn("rank", F.row_number().over(Window.partitionBy("author").orderBy(F.desc("lift"), *facets)))
+
+
 def training_frame(df: DataFrame, numeric: list[str], texts: list[str], target: Column) -> DataFrame:
     """M5: features and label (log1p of the target) of each row; hashing needs no pass for a vocabulary."""
     return FeatureHasher(inputCols=[*numeric, *texts], outputCol="features", numFeatures=256).transform(df.withColumn("label", F.log1p(target)))
@@ -65,9 +86,10 @@ def split(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataF
     return df.where(at), df.where(~at)
 
 
-def factorization(train: DataFrame, factors: int = 4, steps: int = 30):
-    """M6."""
-    return FMRegressor(factorSize=factors, maxIter=steps, stepSize=0.02, seed=7).fit(train)
+def factorization(train: DataFrame, factors: int = 4, steps: int = 60, step: float = 0.3):
+    """M6. The intercept starts at 0 and moves by about `step` at most in each of `steps`, so their product has to reach the
+    label's mean."""
+    return FMRegressor(factorSize=factors, maxIter=steps, stepSize=step, seed=7).fit(train)
 
 
 def fm_score(features: Column, intercept: float, linear: list[float], factors: list[list[float]]) -> Column:
@@ -184,6 +206,7 @@ def dense_topics(found: Column, slots: int = 50) -> Column:
 
 
 def corpus(df: DataFrame, key: str, parts: list[str]) -> DataFrame:
-    """One document per key and language: its parts, distinct and in order."""
-    each = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(*[F.col(p) for p in parts]))))), " ")
-    return df.groupBy(key, "lang").agg(each.alias("document"))
+    """One document per key and language: its parts, distinct and in order. Repeated parts go before any row of a key is
+    collected, so that a key's document is bounded by its vocabulary."""
+    each = df.select(key, "lang", F.explode(F.array(*parts)).alias("part")).where("part IS NOT NULL").distinct()
+    return each.groupBy(key, "lang").agg(F.array_join(F.array_sort(F.collect_list("part")), " ").alias("document"))

@@ -127,7 +127,7 @@ def p3(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("mid", F.date_format(time._ntz(F.col("ets") + time.DAY_OFFSET_MS), "yyyy-MM-dd HH:mm:ss").alias("local_time"))
 
 
-@query("p4_struct_to_map")
+@query("p4_struct_to_map", f"WITH {TELEMETRY_SQL} SELECT mid, CAST(json_object('uid', uid, 'eid', eid, 'content', content) AS VARCHAR) AS as_map FROM t")
 def p4(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("mid", F.to_json(F.create_map(F.lit("uid"), F.col("uid"), F.lit("eid"), F.col("eid"), F.lit("content"), F.col("content"))).alias("as_map"))
 

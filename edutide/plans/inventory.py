@@ -204,3 +204,25 @@ def t5(spark: SparkSession, d: str) -> DataFrame:
     for epoch in (0, 1, 2, 2):
         run(rows.where(F.col("mid") % 3 == epoch).drop("mid"), epoch)
     return spark.read.parquet(f"{path}/v2").drop("batches")
+
+
+@query("s3_file_list", ALL_ORDERS)
+def s3(spark: SparkSession, d: str) -> DataFrame:
+    """S3: a list of places, each scanned as JSON lines, as one frame."""
+    o = _orders(spark, d)
+    paths = [_folder(spark, f"list-{i}") for i in range(3)]
+    for i, path in enumerate(paths):
+        io.write_json_lines(o.where(F.col("o_orderkey") % 3 == i), path)
+    return io.json_events(spark, paths, ORDERS)
+
+
+@query("s4_empty_source", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def s4(spark: SparkSession, d: str) -> DataFrame:
+    """A product over a source of type none beside one with rows."""
+    return _orders(spark, d).unionByName(io.empty(spark, ORDERS)).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query("k1_console_sink", "SELECT count(*) AS n FROM orders")
+def k1(spark: SparkSession, d: str) -> DataFrame:
+    o = _orders(spark, d)
+    return spark.createDataFrame([(io.write_console(o, show=False),)], "n long")

@@ -155,6 +155,42 @@ def d3(spark: SparkSession, d: str) -> DataFrame:
     return quality.store_audit(e, e.where("event_id % 97 <> 0"), "day")
 
 
+LATE = "(SELECT CAST(ts AS DATE) AS day, CAST(ts AS DATE) + CAST(event_id % 7 - 2 AS INTEGER) AS synced, event_id % 50 = 0 AS unsynced FROM events)"
+LATE_SQL = f"""WITH r AS (SELECT day, NOT unsynced AND synced BETWEEN day - 1 AND day + 2 AS inside FROM {LATE}), x AS (SELECT CAST(day AS VARCHAR) AS day, count(*) AS events, count(*) FILTER (inside) AS in_time FROM r GROUP BY 1),
+y AS (SELECT *, round((events - in_time) * 100 / events, 2) AS percent FROM x) SELECT *, CASE WHEN percent <= 25 THEN 'GREEN' WHEN percent <= 25.5 THEN 'AMBER' ELSE 'RED' END AS status FROM y"""
+
+
+def _late(spark: SparkSession, d: str) -> dict:
+    """Events with a sync day of two days before to four days after their own; one of 50 has none."""
+    day = F.col("ts").cast("date")
+    synced = F.when(F.col("event_id") % 50 != 0, F.date_add(day, (F.col("event_id") % 7 - 2).cast("int")))
+    return {"events": read(spark, d, "events"), "day": day, "sync": synced, "minus": 1, "plus": 2}
+
+
+@query("t4_late_events", LATE_SQL)
+def t4(spark: SparkSession, d: str) -> DataFrame:
+    return quality.late_audit(**_late(spark, d), threshold=25.0).withColumn("day", F.col("day").cast("string"))
+
+
+def _x4_sql() -> str:
+    parts = {"stages": SQL["d1_stage_audit"], "producers": SQL["d2_failed_by_producer"], "stores": SQL["d3_store_audit"], "late": SQL["t4_late_events"]}
+    one = "SELECT '{}' AS name, count(*) AS checked, count(*) FILTER (status = 'RED') AS red, CASE WHEN count(*) FILTER (status = 'RED') > 0 THEN 'RED' WHEN count(*) FILTER (status = 'AMBER') > 0 THEN 'AMBER' ELSE 'GREEN' END AS status FROM ({})"
+    return " UNION ALL ".join(one.format(name, sql) for name, sql in parts.items())
+
+
+@query("x4_audits", _x4_sql())
+def x4(spark: SparkSession, d: str) -> DataFrame:
+    """Four audits by name from one list of configs."""
+    e, t = read(spark, d, "events").withColumn("day", F.col("ts").cast("date").cast("string")), events(spark, d)
+    counts = t.groupBy(F.col("eid").alias("stage")).agg(F.count("*").alias("n"))
+    return quality.run_audits([
+        {"name": "stages", "audit": "stages", "priority": 1, "params": {"counts": counts, "pairs": PAIRS}},
+        {"name": "producers", "audit": "producers", "priority": 2, "params": {"events": t, "failed": (F.col("eid") == "INTERRUPT") & (F.col("score") == 0), "producer": ["app", "channel"]}},
+        {"name": "stores", "audit": "stores", "priority": 3, "params": {"a": e, "b": e.where("event_id % 97 <> 0"), "day": "day"}},
+        {"name": "late", "audit": "late", "priority": 4, "params": _late(spark, d), "threshold": 25.0},
+    ])
+
+
 @query("d4_duplicates", f"WITH {TELEMETRY_SQL}, k AS (SELECT eid, did || '-' || k AS mid2, count(*) AS n FROM t WHERE eid NOT IN ('START') GROUP BY 1, 2) SELECT eid, CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, count(*) FILTER (n > 1) AS repeated_keys, round((sum(n) - count(*)) * 100 / sum(n), 2) AS percent FROM k GROUP BY 1")
 def d4(spark: SparkSession, d: str) -> DataFrame:
     return quality.duplicates(events(spark, d).withColumn("mid2", F.concat_ws("-", "did", "k")), "mid2", "eid", ["START"])
@@ -242,15 +278,31 @@ def m5(spark: SparkSession, d: str) -> DataFrame:
     return train.select("l_suppkey", "l_partkey", F.round("label", 6).alias("label"))
 
 
+def _scaled(spark: SparkSession, d: str) -> DataFrame:
+    """Device-content rows with centred and scaled features, and log1p of the quantity as the label."""
+    from pyspark.ml.feature import StandardScaler
+
+    rows = recommend.assembled(_frame(spark, d), ["disc", "n", "p_size"]).withColumn("label", F.log1p("q"))
+    return StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows).transform(rows).drop("features").withColumnRenamed("scaled", "features")
+
+
+@query("m6_factorization_training")
+def m6(spark: SparkSession, d: str) -> DataFrame:
+    """M6: trains a factorisation machine on four parts of five of the contents; its error on the rest beside that of the mean."""
+    train, test = recommend.split(_scaled(spark, d), "l_partkey")
+    model = recommend.factorization(train)
+    error = lambda c: F.round(F.sqrt(F.avg((F.col("label") - c) ** 2)), 6)
+    mean = F.broadcast(train.agg(F.avg("label").alias("mean")))  # one row
+    return model.transform(test).join(mean).agg(F.count("*").alias("rows"), error(F.col("prediction")).alias("rmse"), error(F.col("mean")).alias("rmse_of_mean"))
+
+
 @query("m7_factorization_scores")
 def m7(spark: SparkSession, d: str) -> DataFrame:
     """M6 and M7: a factorisation machine trained on device-content rows scores all of them by column arithmetic."""
-    from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import vector_to_array
 
-    rows = recommend.assembled(_frame(spark, d), ["disc", "n", "p_size"]).withColumn("label", F.log1p("q"))
-    rows = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows).transform(rows).drop("features").withColumnRenamed("scaled", "features")
-    model = recommend.factorization(recommend.split(rows, "l_partkey")[0], steps=10)
+    rows = _scaled(spark, d)
+    model = recommend.factorization(recommend.split(rows, "l_partkey")[0])
     score = recommend.fm_score(vector_to_array("features"), model.intercept, list(model.linear), model.factors.toArray().tolist())
     return recommend.ranked(rows.withColumn("score", F.round(score, 6)), "l_suppkey", [F.desc("score"), F.col("l_partkey")], 10).select("l_suppkey", "l_partkey", "score", "rank")
 
@@ -292,6 +344,20 @@ def m12(spark: SparkSession, d: str) -> DataFrame:
     return recommend.affinity(edges, 5).groupBy("author").agg(F.count("*").alias("n"), F.round(F.max("lift"), 4).alias("best"))
 
 
+FACETS = {"priority": "o_orderpriority", "segment": "c_mktsegment", "month": "left(CAST(o_orderdate AS VARCHAR), 7)"}
+_LIFTS = ", ".join(f"""{f} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY lift DESC, thing) AS place FROM (SELECT author, thing, round(n * CAST(sum(n) OVER () AS BIGINT) / (CAST(sum(n) OVER (PARTITION BY author) AS BIGINT) * CAST(sum(n) OVER (PARTITION BY thing) AS BIGINT)), 6) AS lift
+FROM (SELECT c_nationkey AS author, {sql} AS thing, count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1, 2))) WHERE place <= 3)""" for f, sql in FACETS.items())
+
+
+@query("l6_facet_combinations", f"""WITH {_LIFTS}, x AS (SELECT author, p.thing AS priority, s.thing AS segment, m.thing AS month, round(p.lift + s.lift + m.lift, 6) AS lift FROM priority p JOIN segment s USING (author) JOIN month m USING (author))
+SELECT *, CAST(row_number() OVER (PARTITION BY author ORDER BY lift DESC, priority, segment, month) AS INTEGER) AS rank FROM x""")
+def l6(spark: SparkSession, d: str) -> DataFrame:
+    """The first three priorities, segments and months of each author (nation), combined."""
+    o = read(spark, d, "orders").join(read(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
+    thing = {"priority": F.col("o_orderpriority"), "segment": F.col("c_mktsegment"), "month": F.left(F.col("o_orderdate").cast("string"), F.lit(7))}
+    return recommend.combined_facets({f: recommend.facet_lift(o.select(F.col("c_nationkey").alias("author"), c.alias("thing"))) for f, c in thing.items()}, 3)
+
+
 @query("m13_experiments", f"WITH {TELEMETRY_SQL}, p AS (SELECT DISTINCT did, channel, app FROM t) SELECT did, channel, x.name AS experiment FROM p JOIN (VALUES ('blue', 'ch0'), ('green', 'ch1')) x(name, channel) USING (channel)")
 def m13(spark: SparkSession, d: str) -> DataFrame:
     p = events(spark, d).select("did", "channel", "app").distinct()
@@ -362,10 +428,11 @@ def m20(spark: SparkSession, d: str) -> DataFrame:
     return similar_pairs(v, v.where("id % 50 = 7"), 1.0, 1).select("query", "id")
 
 
-@query("m21_corpus", "SELECT source, lang, md5(string_agg(c, ' ' ORDER BY c)) AS digest, count(*) AS n FROM (SELECT DISTINCT source, lang, CAST(n_chars AS VARCHAR) AS c FROM documents) GROUP BY 1, 2")
+@query("m21_corpus", "SELECT source, lang, md5(string_agg(w, ' ' ORDER BY w)) AS digest, count(*) AS n FROM (SELECT DISTINCT source, lang, unnest(string_split_regex(text, '[^A-Za-z]+')) AS w FROM documents) WHERE w <> '' GROUP BY 1, 2")
 def m21(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "documents").select("source", "lang", F.col("n_chars").cast("string").alias("c"))
-    return recommend.corpus(rows, "source", ["c"]).select("source", "lang", F.md5("document").alias("digest"), F.size(F.split("document", " ")).cast("long").alias("n"))
+    words = F.explode(F.split("text", "[^A-Za-z]+")).alias("word")
+    rows = read(spark, d, "documents").select("source", "lang", words).where("word <> ''")
+    return recommend.corpus(rows, "source", ["word"]).select("source", "lang", F.md5("document").alias("digest"), F.size(F.split("document", " ")).cast("long").alias("n"))
 
 
 @query("u22_creation_metrics", "SELECT p_type AS template, count(*) AS parts, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY 1")
@@ -425,16 +492,22 @@ def _streamed(spark: SparkSession, d: str, transform, mode: str = "append") -> D
     return spark.read.schema(result.schema).parquet(f"{out}/data")
 
 
-@query("t1_time_windows")
+@query("t1_time_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY 1, 2")
 def t1(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: windows.by_time(s, "1 hour", late="1 hour", keys=["event_type"]), "complete")
+    out = _streamed(spark, d, lambda s: windows.by_time(s, "1 hour", late="1 hour", keys=["event_type"]), "complete")
+    return out.select(F.col("start").cast("timestamp_ntz"), "event_type", "n", F.round("value", 2).alias("value"))
 
 
-@query("t2_session_windows")
+@query("t2_session_windows", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS i FROM g)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, i""")
 def t2(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: windows.by_session(s, "30 minutes"), "complete")
+    out = _streamed(spark, d, lambda s: windows.by_session(s, "30 minutes"), "complete")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz"), F.col("end").cast("timestamp_ntz"), "n")
 
 
 @query("t3_deduplicated", "SELECT event_id FROM events")
 def t3(spark: SparkSession, d: str) -> DataFrame:
-    return _streamed(spark, d, lambda s: windows.deduplicated(s.select("event_id", "ts"), "event_id").select("event_id"))
+    """Every event comes twice."""
+    twice = lambda s: s.select("event_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    return _streamed(spark, d, lambda s: windows.deduplicated(twice(s), "event_id").select("event_id"))

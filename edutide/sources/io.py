@@ -106,6 +106,15 @@ def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> Non
     as_json(df).write.mode("append").option("compression", compression).text(path)
 
 
+def write_console(df: DataFrame, show: bool = True, rows: int = 20) -> int:
+    """K1: prints the first rows as JSON lines, if asked, and the number of all; returns the number."""
+    if show:
+        as_json(df).show(rows, truncate=False)
+    n = df.count()
+    print(f"Total rows: {n}")
+    return n
+
+
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
     """K4: needs Spark's Kafka connector on the class path."""
     as_json(df).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()

@@ -214,3 +214,56 @@ def test_entry_imports_without_a_session():
 
     code = "import __spark_entry__ as e; assert len(e.queries()) > 200 and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
+
+
+def test_factorization_beats_the_mean_on_other_contents(spark, small):
+    from edutide.plans import products
+
+    row = products.QUERIES["m6_factorization_training"](spark, small).first()
+    assert row["rows"] > 0 and row["rmse"] < row["rmse_of_mean"]
+
+
+def test_modulus_by_crc32(spark, small):
+    import zlib
+
+    from edutide.plans import basics, products
+
+    chosen = basics.QUERIES["c12_modulus"](spark, small).collect()
+    assert {r["chosen"] for r in chosen} == {True, False} and all(r["chosen"] == (zlib.crc32(r["did"].encode()) % 3 == 0) for r in chosen)
+    users = {r[0] for r in basics.events(spark, small).select("uid").distinct().collect()}
+    assert {r[0] for r in products.QUERIES["m14_experiment_modulus"](spark, small).collect()} == {u for u in users if zlib.crc32(u.encode()) % 4 == 0}
+
+
+def test_late_events(spark):
+    df = spark.createDataFrame([("2024-01-05", "2024-01-04"), ("2024-01-05", "2024-01-07"), ("2024-01-05", "2024-01-08"), ("2024-01-05", None), (None, "2024-01-05")], "d string, s string")
+    out = quality.late_audit(df, F.to_date("d"), F.to_date("s")).collect()
+    assert [(r["events"], r["in_time"], r["percent"], r["status"]) for r in out] == [(4, 2, 50.0, "RED")]
+    assert quality.late_audit(df.limit(0), F.to_date("d"), F.to_date("s")).count() == 0
+
+
+def test_audits_by_name(spark):
+    a, b = spark.createDataFrame([("x",), ("x",)], "day string"), spark.createDataFrame([("x",), ("x",), ("y",)], "day string")
+    one = {"name": "mine", "audit": "stores", "priority": 2, "params": {"a": a, "b": b, "day": "day"}}
+    first = one | {"name": "empty", "priority": 1, "params": {"a": a.limit(0), "b": b.limit(0), "day": "day"}}
+    assert [tuple(r) for r in quality.run_audits([one, first]).collect()] == [("empty", 0, 0, "GREEN"), ("mine", 2, 1, "RED")]
+    with pytest.raises(ValueError, match="other"):
+        quality.run_audits([one | {"audit": "other"}])
+
+
+def test_console_prints_rows_and_their_number(spark, capfd):
+    df = spark.createDataFrame([(1,), (2,)], "a long")
+    assert io.write_console(df) == 2 and io.write_console(df.limit(0), show=False) == 0
+    assert "Total rows: 2" in capfd.readouterr().out
+
+
+def test_first_facets_are_combined(spark):
+    edges = spark.createDataFrame([("a", "x")] * 3 + [("a", "y"), ("b", "y"), (None, "x")], "author string, thing string")
+    lift = recommend.facet_lift(edges)
+    assert {(r["author"], r["thing"]): r["lift"] for r in lift.collect()} == {("a", "x"): 1.125, ("a", "y"): 0.75, ("b", "y"): 3.0}
+    out = recommend.combined_facets({"p": lift, "q": lift}, 2).where("author = 'a'").orderBy("rank")
+    assert [(r["p"], r["q"], r["lift"]) for r in out.collect()] == [("x", "x", 2.25), ("x", "y", 1.875), ("y", "x", 1.875), ("y", "y", 1.5)]
+
+
+def test_corpus_keeps_each_part_once(spark):
+    df = spark.createDataFrame([("k", "en", "b", "a"), ("k", "en", "a", None), (None, "en", "c", "c"), ("k", "en", None, None)], "k string, lang string, p string, q string")
+    assert {tuple(r) for r in recommend.corpus(df, "k", ["p", "q"]).collect()} == {("k", "en", "a b"), (None, "en", "c")}
