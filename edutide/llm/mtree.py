@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewords import freed
@@ -181,14 +181,14 @@ def _search(k: int):
     return run
 
 
-def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id, v: floor(scale * x) of each component, size. Rows without id or vector, or with a null or non-finite component, go;
-    a component that is no 64-bit integer then is an error."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
+def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int, also: dict[str, Column] | None = None) -> DataFrame:
+    """id, v: floor(scale * x) of each component, size, and the columns of `also`. Rows without vector, or with a null or non-finite
+    component, go; a component that is no 64-bit integer then is an error."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), *[c.alias(n) for n, c in (also or {}).items()])
     bad = F.exists("x", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    rows = rows.where(F.col("id").isNotNull() & F.col("x").isNotNull() & ~bad)
+    rows = rows.where(F.col("x").isNotNull() & ~bad)
     large = F.exists("x", lambda c: F.abs(c * scale) >= 2.0**63)
-    return rows.select("id", F.when(large, F.raise_error(F.lit("a component is beyond 64 bits"))).otherwise(F.transform("x", lambda c: F.floor(c * scale))).alias("v"), F.size("x").alias("size"))
+    return rows.select("id", F.when(large, F.raise_error(F.lit("a component is beyond 64 bits"))).otherwise(F.transform("x", lambda c: F.floor(c * scale))).alias("v"), F.size("x").alias("size"), *(also or {}))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
@@ -198,7 +198,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
     there are fewer. Rows that repeat an id are candidates one by one, but tie as equals; a query id that repeats gives the best
     over its vectors. Empty tables give no rows. A score beyond 64 bits is an error.
     """
-    data, asked = integer_vectors(vectors, id_col, vector_col, scale), integer_vectors(queries, id_col, vector_col, scale)
+    data, asked = (integer_vectors(v, id_col, vector_col, scale).where("id is not null") for v in (vectors, queries))
     shards, blocks = max(1, -(-data.count() // SHARD)), max(1, -(-asked.count() // QUERIES))
     dealt = data.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)))
     trees = stored(dealt.groupBy("shard", "size").applyInArrow(_built, "shard long, size int, tree binary"), "trees")

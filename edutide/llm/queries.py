@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, kneser_ney, mtree, neardup, packing, pii, redirects, tokens, toxicity, wu_manber
+from . import audit, chat, gnat, kneser_ney, mixing, mtree, neardup, packing, pii, redirects, tokens, toxicity, wu_manber
 from .stage import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -200,6 +200,90 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"), score.alias("score"), (F.size("spans") > 0).alias("personal"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies", "source")
+
+
+OP11_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS hash FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
+f AS (SELECT *, 3 * source_size / weight AS ratio, row_number() OVER o AS k,
+        (SELECT sum(source_size) FROM w) - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room,
+        (SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS share
+      FROM w WINDOW o AS (ORDER BY 3 * source_size / weight, source NULLS LAST)),
+l AS (SELECT CAST(arg_min(room, k) AS DOUBLE) AS room, arg_min(share, k) AS share FROM f WHERE CAST(room AS DOUBLE) / share <= ratio),
+g AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), l.room * weight / l.share) AS target FROM f, l),
+h AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole,
+        sum(size) OVER (PARTITION BY d.source ORDER BY hash, size, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN 2 * upto - size < 2 * (target - whole * source_size) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM h
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The orders one by one, each document by the first of its failed filters in the order.
+OP12_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{mixing.WORD}') AS ws FROM documents),
+m AS (SELECT text, min(doc_id) AS lo FROM t GROUP BY 1),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good, max(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    [CASE WHEN len(ws) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END,
+     CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]+', '', 'g')) > 2 * length(t.text) THEN 'C' END,
+     CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' END, CASE WHEN t.doc_id > lo THEN 'E' END] AS fails
+  FROM t JOIN m ON m.text = t.text LEFT JOIN l ON l.doc_id = t.doc_id),
+c AS (SELECT part, coalesce(array_to_string(fails, ''), '') AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT part, filter_order, step, filter_order[step] AS own, filter_order[1:step - 1] AS earlier FROM (SELECT DISTINCT part FROM c), o, (SELECT unnest(range(1, 6)) AS step)),
+r AS (
+  SELECT s.part, filter_order, step, own,
+    sum(CASE WHEN NOT hit AND NOT fit THEN n ELSE 0 END) AS kept, sum(CASE WHEN fit AND NOT hit THEN n ELSE 0 END) AS removed, sum(CASE WHEN fit AND hit THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails, sum(CASE WHEN fit AND NOT hit THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN fit AND NOT hit THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (SELECT s.*, c.* EXCLUDE (part), contains(fails, own) AS fit, earlier <> '' AND regexp_matches(fails, '[' || earlier || '-]') AS hit FROM s JOIN c USING (part)) s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def _assigned_sql(name: str, book: str) -> str:
+    return f"""{name} AS (
+  SELECT vec_id, part, p, arg_min(c.k, [dist, c.k]) AS k, min(dist) AS dist FROM (
+    SELECT v.vec_id, v.part, v.p, c.k, list_sum(list_transform(list_zip(v.p, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist FROM v JOIN {book} c USING (part)) c GROUP BY 1, 2, 3)"""
+
+
+def _updated_sql(name: str, assigned: str, book: str) -> str:
+    return f"""{name} AS (
+  SELECT b.part, b.k, coalesce(n.c, b.c) AS c FROM {book} b LEFT JOIN (
+    SELECT part, k, list(x ORDER BY i) AS c FROM (
+      SELECT part, k, i, CAST(floor(sum(p[i]) / count(*)) AS BIGINT) AS x FROM {assigned}, unnest(range(1, len(p) + 1)) AS r(i) GROUP BY 1, 2, 3) GROUP BY 1, 2) n USING (part, k))"""
+
+
+#: vec_id, which tells the rows of the given tables apart, stands for a row here.
+OP13_SQL = f"""
+WITH e AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT vec_id, part, x[part * len(x) // 16 + 1:(part + 1) * len(x) // 16] AS p FROM e, unnest(range(0, 16)) AS r(part)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM e QUALIFY k < 64),
+b0 AS (SELECT part, k, p AS c FROM v JOIN f USING (vec_id)),
+{_assigned_sql('a0', 'b0')}, {_updated_sql('b1', 'a0', 'b0')}, {_assigned_sql('a1', 'b1')}, {_updated_sql('b2', 'a1', 'b1')}, {_assigned_sql('a2', 'b2')},
+o AS (SELECT vec_id, string_agg(printf('%02x', k), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a2 GROUP BY 1)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, k)) FROM b2) AS codebooks_sha256
+FROM o JOIN e USING (vec_id)
+"""
+
+
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
@@ -212,8 +296,11 @@ def queries() -> dict:
         "op8_top_k": op8_top_k,
         "op9_url_filter": op9_url_filter,
         "op10_pii": op10_pii,
+        "op11_mixing": op11_mixing,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_near_duplicates": OP2_SQL, "op4_chat": OP4_SQL, "op7_decontamination": OP7_SQL, "op8_top_k": OP8_SQL, "op9_url_filter": OP9_SQL}
+    return {"op2_near_duplicates": OP2_SQL, "op4_chat": OP4_SQL, "op7_decontamination": OP7_SQL, "op8_top_k": OP8_SQL, "op9_url_filter": OP9_SQL, "op11_mixing": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_vector_codes": OP13_SQL}
