@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import counted, freed
-from .mixing import WORD
+from .mixing import words
 from .stage import small_side, stored
 
 FILTERS = "ABCDE"
@@ -125,7 +125,7 @@ def mask_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     """part, mask (bits of the filters that documents fail), n, good, toxic: all that any order of the filters needs."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text.alias("text"))
-    rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).withColumn("mask", fails(F.col("text"), F.col("words"))).drop("words")
+    rows = rows.withColumn("words", words(F.col("text"))).withColumn("mask", fails(F.col("text"), F.col("words"))).drop("words")
     rows = rows.withColumn("told", F.xxhash64("text")).withColumn("check", F.xxhash64(F.lit(1), "text"))
     flags = duplicate_flags(rows).withColumn("mask", F.col("mask") + F.when(F.col("repeated"), 16).otherwise(0))
     flags = flags.groupBy("doc_id", "part", "mask").agg(F.sum("n").alias("n"))
