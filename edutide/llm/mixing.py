@@ -74,7 +74,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
 
     Null texts have no words. A null source is one more source, the last. Rows that repeat an id with another text are documents
     of their own; of rows that are alike in id, text and source as many as fit are taken, no matter which. A source without
-    words has target 0. An empty table gives no rows. Other columns are not read.
+    words has target 0, and a document without words gets no copy beyond the whole ones. An empty table gives no rows. Other
+    columns are not read.
     """
     doc_id, text = F.col(id_col).cast("long"), F.col(text_col)
     rows = docs.select(doc_id.alias("doc_id"), F.size(words(F.coalesce(text, F.lit("")))).cast("long").alias("size"), F.col(source_col).cast("string").alias("source"), told(doc_id, text).alias("hash"))
@@ -101,10 +102,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
             decided = _on(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), bases, [])
     alike = rows.groupBy("source", "hash", "size", "doc_id").agg(F.count("*").alias("n"))
     alike = _on(alike, bases, []).withColumn("low", F.col("base") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(before.orderBy("hash", "size", "doc_id")), F.lit(0)))
-    taken = F.when(F.col("size") > 0, F.ceil((F.col("rest") - F.col("low")) / F.col("size") + 0.5) - 1).otherwise(0)
-    alike = alike.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("n"), taken)))
+    taken = F.when(F.col("size") > 0, F.ceil((F.col("rest") - F.col("low")) / F.col("size") + 0.5) - 1)
+    alike = alike.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("n"), F.coalesce(taken, F.lit(0)))))
     alike = alike.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).withColumn("extra", (F.col("i") <= F.col("taken")).cast("long"))
     for part in [*out[1:], alike.select(shown)]:
         out[0] = out[0].unionByName(part)
-    copies = F.col("whole") + F.col("extra")
+    copies = F.col("whole") + F.when(F.col("size") > 0, F.col("extra")).otherwise(0)
     return out[0].select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"), "source")
