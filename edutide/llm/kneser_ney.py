@@ -1,16 +1,17 @@
 """Quality by an interpolated modified Kneser-Ney n-gram model of trusted text (operator 1).
 
 The model's units are the bytes of UTF-8 text, so that an n-gram of up to seven is one exact integer. Everything is counted
-over all trusted rows. All n-grams of three bytes and more that an n-gram's probability needs (its suffixes and their
-contexts) share the two bytes before its last one. Tables are sharded by a hash of these two, so that counts of all orders
-and the joins with them are made inside a shard:
+over all trusted rows. All n-grams of four bytes and more that an n-gram's probability needs (its suffixes and their
+contexts) share the three bytes before its last one. Tables are sharded by a hash of these three, so that counts of these orders
+and the joins with them are made inside a shard; what the shards hold of three bytes is added up:
 
   trusted texts -> distinct n-grams of each task -> merged by shard -> counts of all orders, counts of counts.
   texts, in blocks of neighbouring rows -> each block's distinct n-grams -> joined with the counts by shard -> their log
   probabilities go back to the block, which sums them over each whole text.
 
-N-grams travel as compressed differences of sorted integers. Only the table of byte pairs (at most 258^2 rows, whatever the
-input) and four counts of counts an order come to the driver.
+A text has one mark before its beginning. The n-grams that would reach farther back are none: a byte near the beginning is
+judged by what stands between the mark and it. N-grams travel as compressed differences of sorted integers. Only the table of
+three bytes (at most 259^3 rows, whatever the input) and four counts of counts an order come to the driver.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from .bytewords import counted, distinct, flat, freed, mix, pieces, release
 from .stage import parallelism, small_side, stored
 
-#: Bytes that UTF-8 never has: before the beginning and after the end of a text.
-BEGIN, END = 0xFF, 0xFE
+#: Bytes that UTF-8 never has: before the beginning of a text, after its end, and where an n-gram has no more units.
+BEGIN, END, NONE = 0xFF, 0xFE, 0xFD
 #: Bytes of text in a scoring block and of trusted text to a shard, about; blocks that ask a shard in one task.
 BLOCK_BYTES, SHARD_BYTES, TOGETHER = 48 << 20, 4 << 20, 256
 #: N-grams that are sorted at once.
@@ -45,11 +46,12 @@ class Grams:
         size = n + order
         at = np.cumsum(size) - size
         self.order, self.units = order, n + 1
-        self.padded = np.full(int(size.sum()), BEGIN, np.uint8)
+        self.padded = np.full(int(size.sum()), NONE, np.uint8)
         self.keep = np.ones(len(self.padded), bool)
         if len(n):
             shift = np.repeat(np.arange(len(n)) * order + order - 1, n)
             self.padded[np.arange(len(data)) + shift] = data
+            self.padded[at + order - 2] = BEGIN
             self.padded[at + size - 1] = END
             self.keep[(at[:, None] + np.arange(order - 1)).ravel()] = False
         self.end = at + size
@@ -67,7 +69,7 @@ class Grams:
 
 
 def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(((g >> 8) & 0xFFFF).astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
+    return (mix(((g >> 8) & 0xFFFFFF).astype(np.uint64)) % np.uint64(shards)).astype(np.int32)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -76,17 +78,19 @@ def _packed(values: np.ndarray) -> bytes:
     return len(values).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-#: Log probabilities travel as steps of 1/2048, from 0 down to -31.99.
-STEP, STEPS = 1 / 2048, (1 << 16) - 1
+#: Log probabilities travel rounded to steps of 1/2048, as three bytes: down to -8191, where the least that a double's logarithm can be is -745.2.
+STEP = 1 / 2048
 
 
 def _steps(lp: np.ndarray) -> bytes:
-    return pa.compress(np.minimum(np.round(-lp / STEP), STEPS).astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True)
+    planes = np.round(-lp / STEP).astype("<u4").view(np.uint8).reshape(-1, 4).T[:3]
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
 def _unsteps(blob: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(blob, 2 * n, codec="zstd", asbytes=True), np.uint8).reshape(2, n)
-    return np.ascontiguousarray(planes.T).view("<u2").ravel()
+    planes = np.zeros((4, n), np.uint8)
+    planes[:3] = np.frombuffer(pa.decompress(blob, 3 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -138,19 +142,31 @@ def _count(order: int, shards: int):
     return run
 
 
+def shorter(g: np.ndarray, c: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams at the ends of given distinct (n+1)-grams, and their counts: distinct units to the left, but occurrences where
+    nothing can stand to the left, at the beginning of a text."""
+    low = g & ((1 << (8 * n)) - 1)
+    by = np.argsort(low, kind="stable")
+    low, c = low[by], c[by]
+    at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
+    if not len(low):
+        return low, c
+    types, g = np.diff(np.append(at, len(low))), low[at]
+    return g, np.where(np.isin(g >> (8 * (n - 1)), (BEGIN, NONE)), np.add.reduceat(c, at), types)
+
+
+def whole(g: np.ndarray, c: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of these that have n units."""
+    there = g >> (8 * (n - 1)) != NONE
+    return g[there], c[there]
+
+
 def orders(g: np.ndarray, c: np.ndarray, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """n-grams and counts of all orders from `order` down to 2: occurrences at the highest, below it distinct bytes to the left,
-    but occurrences again where nothing can stand to the left, at the beginning of a text."""
+    """n-grams and counts of all orders from `order` down to 3: occurrences at the highest, below it as `shorter` has them. Those
+    of fewer than n units are still among them."""
     out = {order: (g, c)}
-    for n in range(order - 1, 1, -1):
-        low = g & ((1 << (8 * n)) - 1)
-        by = np.argsort(low, kind="stable")
-        low, c = low[by], c[by]
-        at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]])) if len(low) else np.zeros(0, np.int64)
-        types = np.diff(np.append(at, len(low)))
-        g = low[at]
-        c = np.where(g >> (8 * (n - 1)) == BEGIN, np.add.reduceat(c, at), types) if len(low) else c
-        out[n] = (g, c)
+    for n in range(order - 1, 2, -1):
+        out[n] = shorter(*out[n + 1], n)
     return out
 
 
@@ -158,10 +174,10 @@ def _merge(order: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         g, c = _added([(_unpacked(x), _unpacked(y)) for x, y in zip(rows.column("grams").to_pylist(), rows.column("counts").to_pylist())])
         every = orders(g, c, order)
-        seen = [int((every[n][1] == i).sum()) for n in range(3, order + 1) for i in range(1, 5)]
+        seen = [int((whole(*every[n], n)[1] == i).sum()) for n in range(4, order + 1) for i in range(1, 5)]
         return pa.table({
             "shard": pa.array([key[0].as_py()], pa.int32()), "grams": pa.array([_packed(g)], pa.binary()), "counts": pa.array([_packed(c)], pa.binary()),
-            "seen": pa.array([seen], pa.list_(pa.int64())), "pairs": pa.array([every[2][0].tolist()], pa.list_(pa.int32())), "pair_counts": pa.array([every[2][1].tolist()], pa.list_(pa.int64())),
+            "seen": pa.array([seen], pa.list_(pa.int64())), "threes": pa.array([every[3][0].tolist()], pa.list_(pa.int32())), "three_counts": pa.array([every[3][1].tolist()], pa.list_(pa.int64())),
         })
 
     return run
@@ -186,35 +202,49 @@ def _shares(g: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np
     return (c - cut) / np.repeat(total, np.diff(np.append(at, len(h)))), h[at], np.add.reduceat(cut, at) / total
 
 
+def _counts_of_counts(c: np.ndarray) -> list[int]:
+    return [int((c == i).sum()) for i in range(1, 5)]
+
+
 @dataclass
-class Model:
-    """tables: a row a shard, with its n-grams and counts; cuts: discounts by order from 3 on; pairs: probability of the lower
-    byte of each of 2^16 pairs after the higher one."""
+class Low:
+    """Orders 1 to 3. pairs: probability of the lower byte of each of 2^16 pairs after the higher one; grams, share, contexts, left:
+    of order 3, as _shares has them."""
 
-    order: int
-    shards: int
-    tables: DataFrame
-    cuts: dict[int, np.ndarray]
     pairs: np.ndarray
+    grams: np.ndarray
+    share: np.ndarray
+    contexts: np.ndarray
+    left: np.ndarray
 
 
-def _pair_probabilities(g: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Interpolated probabilities of orders 2 and 1 over 257 units, the bytes and the end, for every pair."""
-    def seen(x: np.ndarray) -> list[int]:
-        return [int((x == i).sum()) for i in range(1, 5)]
-
-    one, types = counted(g & 0xFF)
+def low_orders(g: np.ndarray, c: np.ndarray) -> Low:
+    """From all n-grams of three units, sorted, and their counts; over 257 units, the bytes and the end."""
+    two, pairs = shorter(g, c, 2)
+    one, types = counted(two & 0xFF)
     p = np.full(256, 1 / 257)
     if len(one):
-        cut = discounts(seen(types))[np.minimum(types, 3) - 1]
+        cut = discounts(_counts_of_counts(types))[np.minimum(types, 3) - 1]
         p = p * cut.sum() / types.sum()
         p[one] += (types - cut) / types.sum()
     out = np.tile(p, 256)
-    w, h, left = _shares(g, c, discounts(seen(c)))
+    share, h, left = _shares(two, pairs, discounts(_counts_of_counts(pairs)))
     for x, b in zip(h.tolist(), left.tolist()):
         out[x << 8 : (x + 1) << 8] *= b
-    out[g] += w
-    return out
+    out[two] += share
+    g, c = whole(g, c, 3)
+    return Low(out, g, *_shares(g, c, discounts(_counts_of_counts(c))))
+
+
+@dataclass
+class Model:
+    """tables: a row a shard, with its n-grams and counts; cuts: discounts by order from 4 on; low: the orders below."""
+
+    order: int
+    shards: int
+    tables: DataFrame
+    cuts: dict[int, np.ndarray]
+    low: Low
 
 
 def train(trusted: DataFrame, order: int = 7) -> Model:
@@ -225,13 +255,13 @@ def train(trusted: DataFrame, order: int = 7) -> Model:
     size = trusted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = min(1 << 14, max(4 * parallelism(trusted.sparkSession), -(-size // SHARD_BYTES)))
     packed = trusted.select("text").mapInArrow(_count(order, shards), "shard int, grams binary, counts binary")
-    schema = "shard int, grams binary, counts binary, seen array<long>, pairs array<int>, pair_counts array<long>"
+    schema = "shard int, grams binary, counts binary, seen array<long>, threes array<int>, three_counts array<long>"
     tables = stored(packed.groupBy("shard").applyInArrow(_merge(order), schema), "ngrams")
-    sums = tables.agg(*[F.coalesce(F.sum(F.col("seen")[i]), F.lit(0)) for i in range(4 * (order - 2))]).first()
-    # At most 258^2 rows come to the driver.
-    pairs = tables.select(F.explode(F.arrays_zip("pairs", "pair_counts")).alias("x")).groupBy(F.col("x.pairs").alias("g")).agg(F.sum("x.pair_counts").alias("c")).orderBy("g").toArrow()
-    low = _pair_probabilities(pairs.column("g").to_numpy().astype(np.int64), pairs.column("c").to_numpy())
-    return Model(order, shards, tables.select("shard", "grams", "counts"), {n: discounts(list(sums[4 * (n - 3) : 4 * (n - 2)])) for n in range(3, order + 1)}, low)
+    sums = tables.agg(F.count("*"), *[F.coalesce(F.sum(F.col("seen")[i]), F.lit(0)) for i in range(4 * (order - 3))]).first()[1:]
+    # At most 259^3 rows come to the driver.
+    threes = tables.select(F.explode(F.arrays_zip("threes", "three_counts")).alias("x")).groupBy(F.col("x.threes").alias("g")).agg(F.sum("x.three_counts").alias("c")).orderBy("g").toArrow()
+    low = low_orders(threes.column("g").to_numpy().astype(np.int64), threes.column("c").to_numpy())
+    return Model(order, shards, tables.select("shard", "grams", "counts"), {n: discounts(list(sums[4 * (n - 4) : 4 * (n - 3)])) for n in range(4, order + 1)}, low)
 
 
 def _found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,18 +270,22 @@ def _found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, among[at] == values if len(among) else np.zeros(len(values), bool)
 
 
-def log_probabilities(asked: np.ndarray, g: np.ndarray, c: np.ndarray, order: int, cuts: dict[int, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+def _interpolated(p: np.ndarray, low: np.ndarray, grams: np.ndarray, share: np.ndarray, contexts: np.ndarray, left: np.ndarray) -> None:
+    """p of the order below becomes that of this one, in place."""
+    at, known = _found(low >> 8, contexts)
+    p[known] *= left[at[known]]
+    at, known = _found(low, grams)
+    p[known] += share[at[known]]
+
+
+def log_probabilities(asked: np.ndarray, g: np.ndarray, c: np.ndarray, order: int, cuts: dict[int, np.ndarray], low: Low) -> np.ndarray:
     """Natural logarithms, interpolated over all orders. g, c: counts of a shard that has all that `asked` needs."""
-    p = pairs[asked & 0xFFFF]
+    p = low.pairs[asked & 0xFFFF]
+    _interpolated(p, asked & 0xFFFFFF, low.grams, low.share, low.contexts, low.left)
     every = orders(g, c, order)
-    for n in range(3, order + 1):
-        grams, counts = every[n]
-        share, contexts, left = _shares(grams, counts, cuts[n])
-        low = asked & ((1 << (8 * n)) - 1)
-        at, known = _found(low >> 8, contexts)
-        p[known] *= left[at[known]]
-        at, known = _found(low, grams)
-        p[known] += share[at[known]]
+    for n in range(4, order + 1):
+        grams, counts = whole(*every[n], n)
+        _interpolated(p, asked & ((1 << (8 * n)) - 1), grams, *_shares(grams, counts, cuts[n]))
     return np.log(p)
 
 
@@ -291,14 +325,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], size: int = WINDOW) -> Iterator[t
             yield k, b if len(of) == 1 or (of == k).all() else b.filter(pa.array(of == k))
 
 
-def _answer(model_order: int, cuts: dict[int, np.ndarray], pairs: np.ndarray):
+def _answer(model_order: int, cuts: dict[int, np.ndarray], low: Low):
     def run(asked: pa.Table, table: pa.Table) -> pa.Table:
         wanted = [_unpacked(x) for x in asked.column("grams").to_pylist()]
         g = c = np.zeros(0, np.int64)
         if table.num_rows:
             g, c = _unpacked(table.column("grams")[0].as_py()), _unpacked(table.column("counts")[0].as_py())
         every = distinct(np.concatenate([np.zeros(0, np.int64), *wanted]))
-        lp = log_probabilities(every, g, c, model_order, cuts, pairs)
+        lp = log_probabilities(every, g, c, model_order, cuts, low)
         answers = [_steps(lp[np.searchsorted(every, x)]) for x in wanted]
         return pa.table({"block": asked.column("block"), "grams": asked.column("grams"), "answers": pa.array(answers, pa.binary())})
 
@@ -325,7 +359,7 @@ def _score(order: int, key: pa.DataType):
         for x, y in zip(known.column("grams").to_pylist(), known.column("answers").to_pylist()):
             parts.append(_unpacked(x))
             values.append(_unsteps(y, len(parts[-1])))
-        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.uint16), *values])
+        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.uint32), *values])
         del parts, values
         by = np.argsort(g, kind="stable")
         g, lp = g[by], lp[by]
@@ -370,7 +404,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     asked = dealt.select("block", "text").mapInArrow(_asked(model.order, model.shards), "block long, shard int, grams binary")
     asked = asked.withColumn("part", F.pmod("block", F.lit(together)).cast("int"))
     tables = model.tables.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1))))
-    answers = asked.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_answer(model.order, model.cuts, model.pairs), "block long, grams binary, answers binary")
+    answers = asked.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_answer(model.order, model.cuts, model.low), "block long, grams binary, answers binary")
     bundles = dealt.mapInArrow(_bundled, "block long, rows binary")
     return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order, pa.string() if text_key else pa.int64()), f"row {'string' if text_key else 'long'}, lang string, logp double, units long")
 

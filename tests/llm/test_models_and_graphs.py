@@ -15,14 +15,14 @@ from edutide.llm.bytewords import ALPHANUMERIC, split
 
 
 def plain_kneser_ney(trusted, order):
-    """byte -> probability function of an interpolated modified Kneser-Ney model, straight from its definition."""
-    seqs = [bytes([0xFF] * (order - 1)) + t.encode() + b"\xfe" for t in trusted]
-    raw = {n: Counter(s[i : i + n] for s in seqs for i in range(order - n, len(s) - n + 1)) for n in range(1, order + 1)}
+    """context and byte -> probability function of an interpolated modified Kneser-Ney model, straight from its definition. A text
+    has one mark before its beginning; an n-gram that starts with it has nothing to its left and so keeps its occurrences."""
+    seqs = [b"\xff" + t.encode() + b"\xfe" for t in trusted]
+    raw = {n: Counter(s[i : i + n] for s in seqs for i in range(len(s) - n + 1)) for n in range(1, order + 1)}
+    del raw[1][b"\xff"]
     counts = {order: raw[order]}
     for n in range(order - 1, 0, -1):
-        counts[n] = Counter(g[1:] for g in counts[n + 1])
-        if n > 1:
-            counts[n] = {g: raw[n][g] if g[0] == 0xFF else v for g, v in counts[n].items()}
+        counts[n] = Counter(g[1:] for g in counts[n + 1]) + Counter({g: v for g, v in raw[n].items() if g[0] == 0xFF})
     discounts = {}
     for n, c in counts.items():
         k = [0, *(1 + sum(v == i for v in c.values()) for i in range(1, 5))]
@@ -60,12 +60,56 @@ def test_perplexities_are_those_of_the_definition(spark, edge_texts, monkeypatch
     got = {r.row: r for r in kneser_ney.perplexities(docs, model).collect()}
     p = plain_kneser_ney(trusted, order)
     for i, t in enumerate(texts):
-        s = b"\xff" * (order - 1) + (t or "").encode() + b"\xfe"
-        want = sum(math.log(p(s[k : k + order])) for k in range(len(s) - order + 1))
-        assert got[i].units == len(s) - order + 1
+        s = b"\xff" + (t or "").encode() + b"\xfe"
+        want = sum(math.log(p(s[max(0, k + 1 - order) : k + 1])) for k in range(1, len(s)))
+        assert got[i].units == len(s) - 1
         assert got[i].logp == pytest.approx(want, rel=1e-4)
 
 
+def test_unlikely_bytes_are_not_cut_off(spark):
+    """Probabilities far below e^-32 arrive as they are."""
+    lp = np.log(np.array([0.5, 1.0, 1e-14, 1e-31, 5e-324]))
+    assert kneser_ney._unsteps(kneser_ney._steps(lp), len(lp)) * kneser_ney.STEP == pytest.approx(-lp, abs=kneser_ney.STEP)
+    few = [chr(x) + "a" * j + "b" for j in range(6) for x in range(0x21, 0x7F) if chr(x) not in "ab"]
+    many = spark.range(40_000).select(F.lit("xaaaaaab").alias("text"))
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in few], "text string").unionByName(many), 7)
+    got = kneser_ney.perplexities(spark.createDataFrame([(0, "en", "xaaaaaa\x01")], "row long, lang string, text string"), model).first()
+    p = plain_kneser_ney(few + ["xaaaaaab"] * 40_000, 7)
+    s = b"\xffxaaaaaa\x01\xfe"
+    each = [math.log(p(s[max(0, k - 6) : k + 1])) for k in range(1, len(s))]
+    assert min(each) < -33
+    assert got.logp == pytest.approx(sum(each), rel=1e-4)
+
+
+def test_thresholds_and_decisions_are_those_of_a_plain_version(spark):
+    rnd = np.random.default_rng(11)
+    words = {lang: ["".join(rnd.choice(list("abcdefgh" if lang == "en" else "stuvwxyz"), 3)) for _ in range(12)] for lang in ("en", "fr")}
+    rows = [(i, lang, " ".join(rnd.choice(words[lang], int(rnd.integers(2, 25))))) for i, lang in enumerate(rnd.choice(["en", "fr"], 260))]
+    rows += [(300 + i, None if i % 2 else "xx", "".join(chr(c) for c in rnd.integers(33, 120, 30))) for i in range(8)] + [(400, "en", None), (401, "fr", ""), (5, "en", "abc again 5"), (None, "fr", "stu")]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, lang string, text string, threshold double")
+    trusted = {i for i, _, _ in rows if i is not None and i < 220}
+    held = {r.i for r in spark.range(220).select(F.col("id").alias("i"), (F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(5)) == 0).alias("h")).collect() if r.h}
+    p = plain_kneser_ney([t or "" for i, _, t in rows if i in trusted - held], 5)
+    sums = []
+    for i, lang, t in rows:
+        s = b"\xff" + (t or "").encode() + b"\xfe"
+        sums.append((i, lang or "", sum(math.log(p(s[max(0, k - 4) : k + 1])) for k in range(1, len(s))), len(s) - 1))
+    inside = [x for x in sums if x[0] in held]
+    mean = -sum(x[2] for x in inside) / sum(x[3] for x in inside)
+    score = lambda x: math.exp((-x[2] + 100 * mean) / (x[3] + 100))
+    quantile = lambda xs: sorted(xs)[math.ceil(0.9 * len(xs)) - 1]
+    cuts = {lang: quantile([score(x) for x in inside if x[1] == lang]) for lang in ("en", "fr") if sum(x[1] == lang for x in inside) >= 20}
+    assert cuts
+    whole = quantile([score(x) for x in inside])
+    got = kneser_ney.quality(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long"), order=5, quantile=0.9).collect()
+    key = lambda r: (r[0] is None, r[0], round(r[2], 3))
+    have = sorted(((r.doc_id, r.lang, r.score, r.threshold, r.accepted) for r in got), key=key)
+    want = sorted(((x[0], x[1], score(x), cuts.get(x[1], whole)) for x in sums), key=key)
+    for h, w in zip(have, want, strict=True):
+        assert h[:2] == w[:2] and h[2:4] == pytest.approx(w[2:4], rel=1e-4)
+        assert h[4] == (w[2] <= w[3]) or abs(w[2] / w[3] - 1) < 1e-4
+
+
 def test_windows_of_a_long_text_are_its_ngrams(monkeypatch):
     import pyarrow as pa
 
@@ -73,7 +117,7 @@ def test_windows_of_a_long_text_are_its_ngrams(monkeypatch):
     texts = ["x" * 5 + "abc" * 100, None, "", "é" * 50, "z"]
     parts = list(kneser_ney.Grams(pa.array(texts, pa.string()), 4).windows())
     got = [(int(g), int(t)) for codes, of in parts for g, t in zip(codes, of)]
-    padded = [b"\xff" * 3 + (t or "").encode() + b"\xfe" for t in texts]
+    padded = [b"\xfd\xfd\xff" + (t or "").encode() + b"\xfe" for t in texts]
     assert got == [(int.from_bytes(s[k : k + 4], "big"), i) for i, s in enumerate(padded) for k in range(len(s) - 3)]
 
 
@@ -81,7 +125,7 @@ def test_probabilities_sum_to_one():
     for order in (2, 3):
         p = plain_kneser_ney(["abab", "abc", "bca"], order)
         for context in (b"a", b"b", b"\xff"):
-            assert sum(p(b"\xff" * (order - 2) + context + bytes([c])) for c in range(256)) == pytest.approx(1, abs=0.01)
+            assert sum(p((b"a" * (order - 2) if context != b"\xff" else b"") + context + bytes([c])) for c in range(256)) == pytest.approx(1, abs=0.01)
 
 
 def test_quality_keeps_clean_and_rejects_junk(spark, edge_docs, no_docs):
