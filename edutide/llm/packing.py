@@ -1,7 +1,8 @@
 """Packing of tokenised documents into fixed-length sequences (operator 3).
 
-Documents are dealt at random (by a hash of id, text and the task that read them) to tasks, and a task's share is cut into groups
-of about GROUP_BYTES of text as it comes. A task so holds one group, however often an id or a text repeats. Each group is packed
+Documents are dealt at random, by a hash that differs from row to row, to tasks and inside a task's share to groups of about
+GROUP_BYTES of text: the share is sorted by the hash and cut as it comes. A task so holds one group, however often an id or a text
+repeats, and a table read in the same parts gives the same groups. Each group is packed
 alone, by first-fit decreasing: what remains of a document after whole sequences are cut from it goes, longest first, into the first
 sequence with room, which a tournament tree over the sequences' free capacities finds in a logarithmic number of steps.
 Only the text is shuffled, once; no group depends on another.
@@ -114,7 +115,9 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tasks = max(2 * parallelism(docs.sparkSession), -(-size // TASK_BYTES)) if size > TASK_BYTES else 1
-    rows = rows.withColumn("deal", F.xxhash64("doc_id", "text", F.spark_partition_id())).repartition(tasks, "deal").drop("deal")
+    # No task has less than a group, which would only add open sequences.
+    tasks = max(1, min(size // group_bytes, max(2 * parallelism(docs.sparkSession), -(-size // TASK_BYTES))))
+    dealt = rows.withColumn("deal", F.xxhash64("doc_id", F.monotonically_increasing_id())).repartition(tasks, "deal")
+    rows = dealt.sortWithinPartitions("deal").drop("deal")
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
     return rows.mapInArrow(_pack(path, length, end_id, group_bytes), schema)
