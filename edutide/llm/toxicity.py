@@ -276,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sentences: int
     picked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     spark = docs.sparkSession
     chosen = spark.createDataFrame(picked[0].union(picked[1]).collect(), "doc_id long, toxic int")  # at most 2 * sample rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "sample")  # the one scan of docs
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     bad_n, good_n = n.get(1, 0), n.get(0, 0)
     if not bad_n or not good_n:
