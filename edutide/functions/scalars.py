@@ -21,9 +21,47 @@ def key_digest(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("##", *[p.cast("string") for p in parts]), 256)
 
 
+_WORD = 0xFFFFFFFF
+
+
+def _times(a: Column, b: int) -> Column:
+    """The low 32 bits of a product, of two unsigned 32-bit integers in longs, with no step beyond 64 bits."""
+    low, high = a.bitwiseAND(F.lit(0xFFFF)) * b, F.shiftrightunsigned(a, 16) * b
+    return (low + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(_WORD))
+
+
+def _turned(a: Column, n: int) -> Column:
+    return F.shiftleft(a, n).bitwiseAND(F.lit(_WORD)).bitwiseOR(F.shiftrightunsigned(a, 32 - n))
+
+
+#: The seed of a string's hash and the constants of 32-bit Murmur3.
+MURMUR_SEED, MURMUR_MIX, MURMUR_ADD, MURMUR_END = 0xF7CA7FD2, (0xCC9E2D51, 0x1B873593), 0xE6546B64, (0x85EBCA6B, 0xC2B2AE35)
+
+
+def string_hash(text: Column) -> Column:
+    """32-bit Murmur3 over a string's UTF-16 units, two at a time, as an unsigned number; null for null."""
+    points = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("long"))
+    pair = lambda p: F.array(F.lit(0xD800) + F.shiftrightunsigned(p - 0x10000, 10), F.lit(0xDC00) + (p - 0x10000).bitwiseAND(F.lit(0x3FF)))
+    units = F.flatten(F.transform(points, lambda p: F.when(p > 0xFFFF, pair(p)).otherwise(F.array(p))))
+    mixed = lambda h, d: h.bitwiseXOR(_times(_turned(_times(d, MURMUR_MIX[0]), 15), MURMUR_MIX[1]))
+    steps = F.transform(F.sequence(F.lit(0), F.lit(1) * F.floor(F.size(units) / 2).cast("int")), lambda i: F.struct(F.try_element_at(units, 2 * i + 1).alias("a"), F.try_element_at(units, 2 * i + 2).alias("b")))
+
+    def step(h: Column, d: Column) -> Column:
+        whole = (_times(_turned(mixed(h, F.shiftleft(d["a"], 16) + d["b"]), 13), 5) + MURMUR_ADD).bitwiseAND(F.lit(_WORD))
+        return F.when(d["b"].isNotNull(), whole).when(d["a"].isNotNull(), mixed(h, d["a"])).otherwise(h)
+
+    h = F.aggregate(steps, F.lit(MURMUR_SEED).cast("long"), step).bitwiseXOR(F.size(units).cast("long"))
+    h = _times(h.bitwiseXOR(F.shiftrightunsigned(h, 16)), MURMUR_END[0])
+    h = _times(h.bitwiseXOR(F.shiftrightunsigned(h, 13)), MURMUR_END[1])
+    return h.bitwiseXOR(F.shiftrightunsigned(h, 16))
+
+
 def in_modulus(key: Column, divisor: int) -> Column:
-    """Whether the key's hash is a multiple of the divisor."""
-    return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(divisor)) == 0
+    """Whether the key's hash is a multiple of the divisor (of its signed value, which is so when the signed remainder is 0)."""
+    if divisor <= 0:
+        return F.lit(False)
+    h = string_hash(key.cast("string"))
+    return F.coalesce((h - F.when(h >= 1 << 31, F.lit(1 << 32)).otherwise(0)) % divisor == 0, F.lit(False))
 
 
 def as_double(c: Column) -> Column:
@@ -36,6 +74,11 @@ def ratio(num: Column, den: Column, digits: int = 2) -> Column:
     return F.when(den == 0, 0.0).otherwise(F.round(num / den, digits))
 
 
+def exact_ratio(num: Column, den: Column) -> Column:
+    """A2: num / den of integers, rounded half up to two digits as the fraction is, not as a double near it is; 0 where den is 0."""
+    return F.when(den == 0, 0.0).otherwise(F.floor((200 * num + den) / (2 * den)) / 100)
+
+
 def per_minute(n: Column, seconds: Column, short_raw: bool = False) -> Column:
     """A2: interactions per minute, 0 without any or without time; short_raw: below a minute, the bare count."""
     rate = F.round(n / (seconds / 60), 2)

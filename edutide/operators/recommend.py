@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, FeatureHasher, HashingTF, QuantileDiscretizer, RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import IDF, CountVectorizer, FeatureHasher, HashingTF, QuantileDiscretizer, RegexTokenizer, VectorAssembler
 from pyspark.ml.regression import FMRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,27 +119,57 @@ def regressions(train: DataFrame, test: DataFrame) -> DataFrame:
     return train.sparkSession.createDataFrame(rows, "model string, rmse double, r2 double")
 
 
-def random_walk(edges: DataFrame, start: DataFrame, rounds: int = 5) -> DataFrame:
-    """Relevance per learner and node after some rounds over row-normalised weights; a node without edges keeps its own.
-    edges: learner, i, j, w; start: learner, node, r."""
-    total = edges.groupBy("learner", "i").agg(F.sum("w").alias("all_w"))
-    step = edges.join(total, ["learner", "i"]).select("learner", "i", "j", (F.col("w") / F.col("all_w")).alias("p"))
-    now = start
-    for _ in range(rounds):
-        moved = now.join(step, (now["learner"] == step["learner"]) & (now["node"] == step["i"]), "left").select(now["learner"], F.coalesce("j", "node").alias("node"), (F.col("r") * F.coalesce("p", F.lit(1.0))).alias("r"))
-        now = stored(moved.groupBy("learner", "node").agg(F.sum("r").alias("r")), "walk")
-    return now
-
-
 def similar_by_distance(edges: DataFrame, sources: DataFrame, cap: int = 6) -> DataFrame:
-    """1 - d / max(d) of nodes that are at most `cap` steps from each source, d by a frontier join a step. edges: u, v both ways."""
-    seen = frontier = sources.select(F.col("u").alias("source"), F.col("u").alias("node"), F.lit(0).alias("d"))
-    for d in range(1, cap + 1):
+    """Source, node, d, similarity 1 - d / m, where a distance of `cap` steps or more, or none, counts as cap, and m is the one
+    greatest distance of all pairs. d is found by a frontier join a step. edges: u, v both ways, over all nodes; sources: u.
+
+    Pairs that count as cap have similarity 0 and are not listed, so that what comes out grows with the nodes that are near. Only
+    where no pair is as far as that is m smaller, and then all pairs are listed.
+    """
+    nodes = edges.select("u").union(edges.select("v")).distinct().count()
+    seen = frontier = sources.distinct().select(F.col("u").alias("source"), F.col("u").alias("node"), F.lit(0).alias("d"))
+    for d in range(1, cap):
         nxt = frontier.join(edges, frontier["node"] == edges["u"]).select("source", F.col("v").alias("node")).distinct()
         frontier = stored(nxt.join(seen, ["source", "node"], "left_anti").withColumn("d", F.lit(d)), "frontier")
         seen = seen.unionByName(frontier)
-    most = F.max("d").over(Window.partitionBy("source"))
-    return seen.withColumn("similarity", F.when(most == 0, 1.0).otherwise(1 - F.col("d") / most))
+    found = seen.agg(F.count("*").alias("pairs"), F.max("d").alias("most")).first()
+    most = cap if found["pairs"] < nodes * sources.distinct().count() else max(found["most"] or 0, 1)
+    return seen.withColumn("similarity", 1 - F.col("d") / F.lit(most))
+
+
+def relevance(concepts: list[str], similar: DataFrame, learners: DataFrame, weights: tuple[float, float, float, float] = (0.33, 0.33, 0.33, 1.0), rounds: int = 5) -> DataFrame:
+    """Learner, concept, relevance after `rounds` steps over a weighted sum of four row-normalised matrices of concepts, from equal
+    relevance. similar: i, j, w; learners: learner, concept, proficiency, time (either may be null; concepts without a row, too).
+
+    Similarity: w, 0.001 where there is none. Proficiency: how far i is above j, 0.0001 where it is not. Time spent and boosted time
+    (1 where there is a proficiency above 0, else 0.01) have the same rows throughout: as relevance sums to 1, a step adds their
+    one row, so they stay vectors. Time 1/n where a learner has none in a concept. A learner's matrix never leaves its row:
+    there are as many concepts as a curriculum has, and the similarity matrix comes as one constant.
+    """
+    n, at = len(concepts), {c: i for i, c in enumerate(concepts)}
+    total = sum(weights)
+    by_similarity, by_proficiency, by_time, by_boost = (w / total for w in weights)
+    sim = [[0.001] * n for _ in range(n)]
+    for r in similar.where(F.col("i").isin(concepts) & F.col("j").isin(concepts)).collect():  # concepts squared at most
+        sim[at[r["i"]]][at[r["j"]]] = float(r["w"])
+    constant = F.array(*[F.array(*[F.lit(by_similarity * w / sum(row)) for w in row]) for row in sim])
+    zero = F.lit(0.0)
+    mine = lambda c, default: F.array(*[F.coalesce(F.try_element_at(c, F.lit(x)), F.lit(default)) for x in concepts])
+    maps = learners.where(F.col("concept").isin(concepts)).groupBy("learner").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("proficiency").isNotNull(), F.struct("concept", F.col("proficiency").cast("double"))))).alias("p"),
+        F.map_from_entries(F.collect_list(F.when(F.col("time").isNotNull(), F.struct("concept", F.col("time").cast("double"))))).alias("t"),
+    )
+    rows = maps.select("learner", mine(F.col("p"), 0.0).alias("p"), F.transform(mine(F.col("p"), -1.0), lambda x: F.when(x > 0, 1.0).otherwise(0.01)).alias("b"), mine(F.col("t"), 1.0 / n).alias("t"))
+    summed = lambda c: F.aggregate(c, zero, lambda a, x: a + x)
+    above = F.transform("p", lambda x: F.transform("p", lambda y: F.when(x - y > 0, x - y).otherwise(0.0001)))
+    rows = rows.withColumn("m", F.transform(above, lambda row: F.transform(row, lambda x: x * by_proficiency / summed(row))))
+    rows = rows.withColumn("m", F.zip_with("m", constant, lambda a, b: F.zip_with(a, b, lambda x, y: x + y)))
+    fixed = F.zip_with(F.transform("t", lambda x: x * by_time / summed(F.col("t"))), F.transform("b", lambda x: x * by_boost / summed(F.col("b"))), lambda x, y: x + y)
+    rows = rows.select("learner", "m", fixed.alias("v"), F.array(*[F.lit(1.0 / n)] * n).alias("r"))
+    for _ in range(rounds):
+        moved = F.aggregate(F.zip_with("r", "m", lambda x, row: F.transform(row, lambda w: x * w)), F.array(*[zero] * n), lambda a, row: F.zip_with(a, row, lambda x, y: x + y))
+        rows = rows.select("learner", "m", "v", F.zip_with(moved, F.col("v"), lambda x, y: x + y).alias("r"))
+    return rows.select("learner", F.posexplode("r").alias("_i", "relevance")).select("learner", F.element_at(F.array(*[F.lit(c) for c in concepts]), F.col("_i") + 1).alias("concept"), "relevance")
 
 
 def grade_coverage(rows: DataFrame, edges: DataFrame, grades: list[int]) -> DataFrame:
@@ -181,14 +211,6 @@ def term_vectors(df: DataFrame, text: str, size: int = 4096) -> DataFrame:
     return IDF(inputCol="_tf", outputCol="vector").fit(tf).transform(tf).drop("_w", "_tf")
 
 
-def topics(df: DataFrame, text: str, k: int = 4, vocabulary: int = 2000) -> PipelineModel:
-    """An online LDA over the most frequent words."""
-    from pyspark.ml.clustering import LDA
-
-    rows = df.withColumn("_w", words(F.col(text)))
-    return Pipeline(stages=[StopWordsRemover(inputCol="_w", outputCol="_v", stopWords=STOP_WORDS), CountVectorizer(inputCol="_v", outputCol="features", vocabSize=vocabulary), LDA(k=k, maxIter=5, seed=7, optimizer="online")]).fit(rows)
-
-
 def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(df)
 
@@ -202,7 +224,7 @@ def normalised(v: Column) -> Column:
 def dense_topics(found: Column, slots: int = 50) -> Column:
     """(topic, weight) pairs as an array with a place for each topic."""
     as_map = F.map_from_entries(found)
-    return F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: F.coalesce(F.element_at(as_map, i), F.lit(0.0)))
+    return F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: F.coalesce(F.try_element_at(as_map, i), F.lit(0.0)))
 
 
 def corpus(df: DataFrame, key: str, parts: list[str]) -> DataFrame:

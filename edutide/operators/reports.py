@@ -23,16 +23,16 @@ def with_totals(df: DataFrame, keys: list[str], totals: dict[str, str]) -> DataF
 
 
 def aggregate(kind: str, column: str | None, time: str) -> Column:
-    """A report's aggregation by name. First and last are by time."""
+    """A report's aggregation by name. First and last are by time, of equal times the smallest and the largest value."""
     simple = {"longSum": F.sum, "doubleSum": F.sum, "longMax": F.max, "doubleMax": F.max, "longMin": F.min, "doubleMin": F.min}
     if kind == "count":
         return F.count("*")
     if kind in simple:
         return simple[kind](column)
     if kind in ("longFirst", "doubleFirst"):
-        return F.min_by(column, time)
+        return F.min_by(column, F.struct(time, column))
     if kind in ("longLast", "doubleLast"):
-        return F.max_by(column, time)
+        return F.max_by(column, F.struct(time, column))
     if kind in ("hyperUnique", "cardinality"):
         return F.hll_sketch_estimate(F.hll_sketch_agg(F.col(column)))
     if kind == "thetaSketch":
@@ -124,16 +124,6 @@ def batch_stats(rows: DataFrame, batch: str) -> DataFrame:
     return rows.groupBy(batch).agg(F.count_distinct("userid").alias("participants"), F.count_distinct(F.when(F.col("progress") == 100, F.col("userid"))).alias("completed"), F.count("*").alias("enrolments"))
 
 
-def extract(df: DataFrame, kind: str, time: str) -> DataFrame:
-    """Of a filtered extract: rows per event id, first and last time."""
-    return df.groupBy(kind).agg(F.count("*").alias("rows"), F.min(time).alias("first_ms"), F.max(time).alias("last_ms"))
-
-
-def manifest(parts: DataFrame, kind: str) -> DataFrame:
-    """One row: files, rows, first and last time of all parts."""
-    return parts.agg(F.count(kind).alias("files"), F.sum("rows").alias("rows"), F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"))
-
-
 def descend(nodes: DataFrame, depth: int) -> DataFrame:
     """Nodes (id, parent) with their level and root, from the roots down, `depth` levels at most."""
     level = nodes.where("parent is null").select("id", "parent", F.col("id").alias("root"), F.lit(0).alias("level"))

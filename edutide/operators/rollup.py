@@ -22,19 +22,11 @@ def _merged(c: str, how: str) -> Column:
     return {"sum": F.sum, "min": F.min, "max": F.max, "sketch": F.hll_union_agg}[how](c)
 
 
-def merge(new: DataFrame, stored: DataFrame | None, keys: list[str], how: dict[str, str], batch: str | None = None) -> DataFrame:
-    """Stored facts with new ones added: full outer by a union and one aggregate. batch: with a name, facts carry the
-    set of batches that are in them, and a batch that is already in is left out, so that a repeated run changes nothing."""
-    if batch is not None:
-        new = new.withColumn("batches", F.array(F.lit(batch)))
-        if stored is not None:
-            done = stored.where(F.array_contains("batches", batch)).limit(1)
-            new = new.where(F.lit(not done.count()))
+def merge(new: DataFrame, stored: DataFrame | None, keys: list[str], how: dict[str, str]) -> DataFrame:
+    """Stored facts with new ones added: full outer by a union and one aggregate. That a batch is added once is the concern of
+    the table (sources/versioned.py), which has a ledger of its batches."""
     rows = new if stored is None else stored.select(*new.columns).unionByName(new)
-    aggs = [_merged(c, h).alias(c) for c, h in how.items()]
-    if batch is not None:
-        aggs.append(F.array_distinct(F.flatten(F.collect_set("batches"))).alias("batches"))
-    return rows.groupBy(*keys).agg(*aggs)
+    return rows.groupBy(*keys).agg(*[_merged(c, h).alias(c) for c, h in how.items()])
 
 
 def start_of_period(current: DataFrame, stored: DataFrame | None, keys: list[str], values: list[str], as_of_ms: int) -> DataFrame:

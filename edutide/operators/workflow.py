@@ -1,15 +1,16 @@
 """The workflow tree (Z8): nested START/END nodes of a device, their time counted in every node above.
 
-A window pre-pass numbers break segments: rows after a long pause. What is open is closed there, but the same nodes go on, so
-segments depend on each other; the stack machine therefore runs over a key's segments in order, row by row, and keeps only the
-open nodes. Its input is a key's rows, sorted by Spark.
+Whether a node is open depends on all rows of its device before, so a stack machine goes through a key's rows in order. Spark brings the
+keys together and sorts them, with their rows in order of time, spilling as it needs; a task streams through its keys in Arrow
+batches and holds the open nodes of one key alone. Nodes leave as they close, and those that are alike in all are made one after that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 NODES = "did string, channel string, app string, type string, mode string, start_ms long, end_ms long, time_ms long, events long, interactions long"
@@ -127,24 +128,56 @@ class Tree:
                 self.root = self._push("app", "", ets, None)
             self._add(eid, ets, gap)
 
+    def taken(self) -> list[tuple]:
+        """The nodes closed since it was last asked."""
+        out, self.out = self.out, []
+        return out
+
     def end(self) -> list[tuple]:
         if self.at is not None and self.at.open:
             self._close(self.at)
         if self.root is not None and self.root.open:
             self._close(self.root)
-        return sorted(set(self.out))
-
-
-def workflow(df: DataFrame, type_col: str = "content", mode_col: str = "page", idle_s: int = 600, break_min: int = 30) -> DataFrame:
-    """Per closed node with time: keys, type, mode, start and end, time_ms, events, interactions; exact duplicates once."""
-    keys = ["did", "channel", "app"]
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        tree = Tree(idle_s * 1000, break_min * 60_000)
-        rows = rows.sort_values(["ets", "mid"], kind="stable")
-        for eid, ets, type_, mode in zip(rows.eid, rows.ets, rows.type, rows["mode"]):
-            tree.row(eid, int(ets), type_, mode)
-        return pd.DataFrame([(*key, *x) for x in tree.end()], columns=[c.split()[0] for c in NODES.split(", ")])
-
-    rows = df.where(~df["eid"].isin(*SKIPPED)).selectExpr(*keys, "mid", "ets", "eid", f"coalesce({type_col}, '') AS type", f"coalesce({mode_col}, '') AS mode")
-    return rows.groupBy(*keys).applyInPandas(run, NODES)
+        return self.taken()
+
+
+KEYS = ["did", "channel", "app"]
+_STRINGS = [*KEYS, "type", "mode"]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in NODES.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string() if n in _STRINGS else pa.int64()) for i, n in enumerate(names)], names)
+
+
+def _streamed(idle_ms: int, break_ms: int, held: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+        tree, ready = None, []
+        for b in batches:
+            columns = [b.column(c).to_pylist() for c in [*KEYS, "eid", "ets", "type", "mode"]]
+            for *key, eid, ets, type_, mode in zip(*columns):
+                if tuple(key) != now or tree is None:
+                    if tree is not None:
+                        ready += [(*now, *x) for x in tree.end()]
+                    now, tree = tuple(key), Tree(idle_ms, break_ms)
+                tree.row(eid, ets, type_, mode)
+                if len(tree.out) >= held:
+                    ready += [(*now, *x) for x in tree.taken()]
+                if len(ready) >= held:
+                    yield _batch(ready)
+                    ready = []
+        if tree is not None:
+            ready += [(*now, *x) for x in tree.end()]
+        if ready:
+            yield _batch(ready)
+
+    return run
+
+
+def workflow(df: DataFrame, type_col: str = "content", mode_col: str = "page", idle_s: int = 600, break_min: int = 30, held: int = 1024) -> DataFrame:
+    """Per closed node with time: keys, type, mode, start and end, time_ms, events, interactions; exact duplicates once. Null types and
+    modes are empty. held: closed nodes that a task keeps before it hands them on."""
+    rows = df.where(~df["eid"].isin(*SKIPPED)).selectExpr(*KEYS, "mid", "ets", "eid", f"coalesce({type_col}, '') AS type", f"coalesce({mode_col}, '') AS mode")
+    ordered = rows.repartition(*KEYS).sortWithinPartitions(*KEYS, "ets", "mid")
+    return ordered.mapInArrow(_streamed(idle_s * 1000, break_min * 60_000, held), NODES).distinct()

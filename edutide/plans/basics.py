@@ -116,12 +116,6 @@ def p1(spark: SparkSession, d: str) -> DataFrame:
     return io.csv_fields(events(spark, d), "mid,uid,tags")
 
 
-@query("p2_flatten", "SELECT event_id AS \"event.id\", CAST(json_extract_string(props, '$.k') AS BIGINT) AS \"props.k\", event_type AS kind FROM events")
-def p2(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "events").select(F.struct(F.col("event_id").alias("id")).alias("event"), F.from_json("props", "k long").alias("props"), "event_type", "value")
-    return io.flatten(rows, hidden=("value",), renamed={"event_type": "kind"})
-
-
 @query("p3_time_of_millis", f"WITH {TELEMETRY_SQL} SELECT mid, strftime(epoch_ms(ets + 19800000), '%Y-%m-%d %H:%M:%S') AS local_time FROM t")
 def p3(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("mid", F.date_format(time._ntz(F.col("ets") + time.DAY_OFFSET_MS), "yyyy-MM-dd HH:mm:ss").alias("local_time"))
@@ -182,10 +176,9 @@ def c7(spark: SparkSession, d: str) -> DataFrame:
     return days.select("day", time.day_period_end_ms(F.col("day")).alias("end_ms"))
 
 
-@query("c8_age", "SELECT o_orderkey, CAST(date_diff('month', CAST(o_orderdate AS DATE), DATE '2010-01-01') // 12 AS INTEGER) AS age FROM orders WHERE day(o_orderdate) = 1")
+@query("c8_age", "SELECT o_orderkey, CAST(date_sub('year', CAST(o_orderdate AS DATE), DATE '2010-02-28') AS INTEGER) AS age FROM orders")
 def c8(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "orders").where(F.dayofmonth("o_orderdate") == 1)
-    return rows.select("o_orderkey", time.age(F.col("o_orderdate").cast("date"), F.lit("2010-01-01").cast("date")).alias("age"))
+    return read(spark, d, "orders").select("o_orderkey", time.age(F.col("o_orderdate").cast("date"), F.lit("2010-02-28").cast("date")).alias("age"))
 
 
 @query("c9_as_double", "SELECT event_id, coalesce(try_cast(CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(value AS VARCHAR) END AS DOUBLE), 0) AS spent FROM events")
@@ -220,10 +213,9 @@ def c14(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("mid", F.array_join(scalars.known_tags(F.col("tags"), REGISTERED_TAGS), ",").alias("known"))
 
 
-@query("c15_labels", "SELECT l_orderkey, l_linenumber, '''' || CAST(l_quantity AS BIGINT) || '/50''' AS score, CAST(CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS VARCHAR) || '%' AS percent FROM lineitem WHERE l_linenumber = 1")
+@query("c15_labels", "SELECT l_orderkey, l_linenumber, '''' || CAST(l_quantity AS BIGINT) || '/50''' AS score, CAST(CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS VARCHAR) || '%' AS percent FROM lineitem")
 def c15(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "lineitem").where("l_linenumber = 1")
-    return rows.select("l_orderkey", "l_linenumber", scalars.quoted_score(F.col("l_quantity"), F.lit(50)).alias("score"), F.concat(F.floor(F.col("l_discount") * 100 + 0.5).cast("string"), F.lit("%")).alias("percent"))
+    return read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", scalars.quoted_score(F.col("l_quantity"), F.lit(50)).alias("score"), F.concat(F.floor(F.col("l_discount") * 100 + 0.5).cast("string"), F.lit("%")).alias("percent"))
 
 
 @query("c16_clamp_percent", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 0 WHEN o_totalprice / 2000 > 100 THEN 100 ELSE CAST(trunc(o_totalprice / 2000) AS INTEGER) END AS percent FROM orders")

@@ -83,13 +83,6 @@ def k5(spark: SparkSession, d: str) -> DataFrame:
     return io.published(spark, folder, "orders")
 
 
-@query("k8_partitioned_report", ALL_ORDERS + " WHERE o_orderpriority = '2-HIGH'")
-def k8(spark: SparkSession, d: str) -> DataFrame:
-    path = _folder(spark, "report")
-    io.write_report(_orders(spark, d), path, ["o_orderpriority"])
-    return io.csv(spark, f"{path}/_o_orderpriority=2-HIGH", ORDERS)
-
-
 @query("k9_keyed_views", "SELECT o_orderkey, o_orderpriority FROM orders")
 def k9(spark: SparkSession, d: str) -> DataFrame:
     path = _folder(spark, "views")
@@ -192,20 +185,6 @@ def x3(spark: SparkSession, d: str) -> DataFrame:
     return io.flatten(events(spark, d).select("mid", "ets", "eid"), renamed={"ets": "seconds"}, mapped=mapped)
 
 
-@query("t5_incremental_merge", f"""WITH {TELEMETRY_SQL} SELECT app, count(*) AS events, max(ets) AS last_ms FROM t GROUP BY 1""")
-def t5(spark: SparkSession, d: str) -> DataFrame:
-    """T5: the micro-batch merge, run over three batches of the events, the last one twice."""
-    from edutide.streaming.windows import merge_batches
-
-    path = _folder(spark, "facts")
-    how = {"events": "sum", "last_ms": "max"}
-    run = merge_batches(path, lambda new, old, batch: rollup.merge(new, old, ["app"], how, batch))
-    rows = events(spark, d).select("app", F.lit(1).cast("long").alias("events"), F.col("ets").alias("last_ms"), "mid")
-    for epoch in (0, 1, 2, 2):
-        run(rows.where(F.col("mid") % 3 == epoch).drop("mid"), epoch)
-    return spark.read.parquet(f"{path}/v2").drop("batches")
-
-
 @query("s3_file_list", ALL_ORDERS)
 def s3(spark: SparkSession, d: str) -> DataFrame:
     """S3: a list of places, each scanned as JSON lines, as one frame."""
@@ -225,4 +204,4 @@ def s4(spark: SparkSession, d: str) -> DataFrame:
 @query("k1_console_sink", "SELECT count(*) AS n FROM orders")
 def k1(spark: SparkSession, d: str) -> DataFrame:
     o = _orders(spark, d)
-    return spark.createDataFrame([(io.write_console(o, show=False),)], "n long")
+    return spark.createDataFrame([(io.write_console(o),)], "n long")

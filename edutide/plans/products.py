@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edutide.functions import scalars
 from edutide.functions.time import millis
-from edutide.operators import quality, recommend, reports, rollup
+from edutide.operators import quality, recommend, reports, rollup, vectors
 from edutide.operators.joins import similar_pairs
 from edutide.sources import io
-from edutide.sources.shared import shared_folder
 from edutide.sources.telemetry import TELEMETRY_SQL, read
-from edutide.streaming import windows
 
 from .basics import events, registry
 
@@ -63,18 +59,6 @@ def r4(spark: SparkSession, d: str) -> DataFrame:
     return reports.group_report(rows, q)
 
 
-@query("r5_extract", f"WITH {TELEMETRY_SQL} SELECT eid, count(*) AS rows, min(ets) AS first_ms, max(ets) AS last_ms FROM t WHERE channel = 'ch2' GROUP BY 1")
-def r5(spark: SparkSession, d: str) -> DataFrame:
-    from edutide.functions.filters import export_filters, where_all
-
-    return reports.extract(where_all(events(spark, d), export_filters({"channel": "ch2"})), "eid", "ets")
-
-
-@query("r6_manifest", f"WITH {TELEMETRY_SQL}, e AS (SELECT eid, count(*) AS rows, min(ets) AS first_ms, max(ets) AS last_ms FROM t GROUP BY 1) SELECT count(*) AS files, CAST(sum(rows) AS BIGINT) AS rows, min(first_ms) AS first_ms, max(last_ms) AS last_ms FROM e")
-def r6(spark: SparkSession, d: str) -> DataFrame:
-    return reports.manifest(reports.extract(events(spark, d), "eid", "ets"), "eid")
-
-
 NODES = """n AS (SELECT 'r' || r_regionkey AS id, NULL AS parent FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey FROM nation UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders)"""
 
 
@@ -319,17 +303,32 @@ def m9(spark: SparkSession, d: str) -> DataFrame:
     return recommend.regressions(*recommend.split(rows, "l_partkey"))
 
 
-@query("m10_relevance_walk", f"""WITH RECURSIVE {TELEMETRY_SQL}, e AS (SELECT uid AS learner, page AS i, 'p' || ((k + 3) % 7) AS j, CAST(sum(score + 1) AS DOUBLE) AS w FROM t GROUP BY 1, 2, 3),
-p AS (SELECT learner, i, j, w / sum(w) OVER (PARTITION BY learner, i) AS p FROM e),
-r0 AS (SELECT DISTINCT learner, i AS node, 1.0 AS r FROM e),
-r1 AS (SELECT r0.learner, coalesce(j, node) AS node, sum(r * coalesce(p, 1)) AS r FROM r0 LEFT JOIN p ON p.learner = r0.learner AND p.i = node GROUP BY 1, 2),
-r2 AS (SELECT r1.learner, coalesce(j, node) AS node, sum(r * coalesce(p, 1)) AS r FROM r1 LEFT JOIN p ON p.learner = r1.learner AND p.i = node GROUP BY 1, 2)
-SELECT learner, node, round(CAST(r AS DOUBLE), 4) AS r FROM r2""")
+CONCEPTS = [f"p{i}" for i in range(7)]
+_N = len(CONCEPTS)
+
+
+def _m10_sql(rounds: int) -> str:
+    total = 0.33 * 3 + 1.0
+    steps = ", ".join(f"""r{k} AS (SELECT r.learner, m.j AS c, sum(r.r * m.m) + max(v.v) AS r FROM r{k - 1} r JOIN m ON m.learner = r.learner AND m.i = r.c JOIN v ON v.learner = r.learner AND v.c = m.j GROUP BY 1, 2)""" for k in range(1, rounds + 1))
+    return f"""WITH {TELEMETRY_SQL}, c AS (SELECT 'p' || i AS c FROM range(0, {_N}) r(i)), u AS (SELECT DISTINCT uid AS learner FROM t WHERE page IS NOT NULL), uc AS (SELECT learner, c FROM u, c),
+s0 AS (SELECT page AS i, 'p' || ((k + 3) % 7) AS j, CAST(sum(score + 1) AS DOUBLE) AS w FROM t GROUP BY 1, 2), s1 AS (SELECT a.c AS i, b.c AS j, coalesce(w, 0.001) AS w FROM c a CROSS JOIN c b LEFT JOIN s0 ON s0.i = a.c AND s0.j = b.c),
+s AS (SELECT i, j, {0.33 / total} * w / sum(w) OVER (PARTITION BY i) AS w FROM s1),
+x AS (SELECT uid AS learner, page AS c, CASE WHEN count(*) FILTER (eid = 'INTERACT') > 0 THEN CAST(sum(score) FILTER (eid = 'INTERACT') AS DOUBLE) / count(*) FILTER (eid = 'INTERACT') END AS p, CASE WHEN count(*) FILTER (eid <> 'INTERACT') > 0 THEN CAST(sum(k) FILTER (eid <> 'INTERACT') AS DOUBLE) END AS ts FROM t GROUP BY 1, 2),
+y AS (SELECT learner, c, coalesce(p, 0) AS p, CASE WHEN p > 0 THEN 1.0 ELSE 0.01 END AS b, coalesce(ts, 1.0 / {_N}) AS ts FROM uc LEFT JOIN x USING (learner, c)),
+v AS (SELECT learner, c, {0.33 / total} * ts / sum(ts) OVER (PARTITION BY learner) + {1.0 / total} * b / sum(b) OVER (PARTITION BY learner) AS v FROM y),
+q AS (SELECT a.learner, a.c AS i, b.c AS j, CASE WHEN a.p > b.p THEN a.p - b.p ELSE 0.0001 END AS q FROM y a JOIN y b USING (learner)),
+m AS (SELECT learner, i, j, {0.33 / total} * q / sum(q) OVER (PARTITION BY learner, i) + w AS m FROM q JOIN s USING (i, j)),
+r0 AS (SELECT learner, c, 1.0 / {_N} AS r FROM uc), {steps} SELECT learner, c AS concept, round(r, 6) AS relevance FROM r{rounds}"""
+
+
+@query("m10_relevance_walk", _m10_sql(5))
 def m10(spark: SparkSession, d: str) -> DataFrame:
     t = events(spark, d)
-    edges = t.groupBy(F.col("uid").alias("learner"), F.col("page").alias("i"), F.concat(F.lit("p"), (F.col("k") + 3) % 7).alias("j")).agg(F.sum(F.col("score") + 1).cast("double").alias("w"))
-    start = edges.select("learner", F.col("i").alias("node")).distinct().withColumn("r", F.lit(1.0))
-    return recommend.random_walk(edges, start, 2).select("learner", "node", F.round("r", 4).alias("r"))
+    similar = t.groupBy(F.col("page").alias("i"), F.concat(F.lit("p"), (F.col("k") + 3) % 7).alias("j")).agg(F.sum(F.col("score") + 1).cast("double").alias("w"))
+    asked, spent = F.col("eid") == "INTERACT", F.col("eid") != "INTERACT"
+    proficiency = F.sum(F.when(asked, F.col("score"))).cast("double") / F.nullif(F.count(F.when(asked, 1)), F.lit(0))
+    learners = t.groupBy(F.col("uid").alias("learner"), F.col("page").alias("concept")).agg(proficiency.alias("proficiency"), F.sum(F.when(spent, F.col("k"))).cast("double").alias("time"))
+    return recommend.relevance(CONCEPTS, similar, learners).select("learner", "concept", F.round("relevance", 6).alias("relevance"))
 
 
 @query("m12_author_affinity", """WITH e AS (SELECT DISTINCT c_nationkey AS author, o_orderpriority || '-' || c_mktsegment || '-' || left(CAST(o_orderdate AS VARCHAR), 7) AS thing FROM orders JOIN customer ON c_custkey = o_custkey),
@@ -370,12 +369,14 @@ def m14(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("uid").distinct().where(scalars.in_modulus(F.col("uid"), 4))
 
 
-@query("m15_concept_similarity", """WITH RECURSIVE e AS (SELECT CAST(n_nationkey AS BIGINT) AS u, CAST((n_nationkey + n_regionkey + 1) % 25 AS BIGINT) AS v FROM nation), b AS (SELECT u, v FROM e WHERE u <> v UNION SELECT v, u FROM e WHERE u <> v),
-w(source, node, d) AS (SELECT DISTINCT u, u, 0 FROM b UNION SELECT w.source, b.v, w.d + 1 FROM w JOIN b ON b.u = w.node WHERE w.d < 6), m AS (SELECT source, node, min(d) AS d FROM w GROUP BY 1, 2)
-SELECT source, node, CAST(d AS INTEGER) AS d, round(1 - d / max(d) OVER (PARTITION BY source), 4) AS similarity FROM m""")
+@query("m15_concept_similarity", """WITH RECURSIVE e AS (SELECT c_custkey AS u, lead(c_custkey) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS v FROM customer), b AS (SELECT u, v FROM e WHERE v IS NOT NULL UNION SELECT v, u FROM e WHERE v IS NOT NULL),
+w(source, node, d) AS (SELECT DISTINCT u, u, 0 FROM b UNION SELECT w.source, b.v, w.d + 1 FROM w JOIN b ON b.u = w.node WHERE w.d < 5), m AS (SELECT source, node, min(d) AS d FROM w GROUP BY 1, 2),
+n AS (SELECT count(DISTINCT u) AS n FROM b), x AS (SELECT CASE WHEN (SELECT count(*) FROM m) < n * n THEN 6 ELSE (SELECT max(d) FROM m) END AS most FROM n)
+SELECT source, node, CAST(d AS INTEGER) AS d, round(1 - d / most, 4) AS similarity FROM m, x""")
 def m15(spark: SparkSession, d: str) -> DataFrame:
-    n = read(spark, d, "nation")
-    e = n.select(F.col("n_nationkey").cast("long").alias("u"), ((F.col("n_nationkey") + F.col("n_regionkey") + 1) % 25).cast("long").alias("v")).where("u != v")
+    """Customers, each linked with the next one of its nation."""
+    nxt = F.lead("c_custkey").over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
+    e = read(spark, d, "customer").select(F.col("c_custkey").alias("u"), nxt.alias("v")).where("v is not null")
     both = e.union(e.select("v", "u")).distinct()
     return recommend.similar_by_distance(both, both.select("u").distinct()).select("source", "node", "d", F.round("similarity", 4).alias("similarity"))
 
@@ -428,6 +429,35 @@ def m20(spark: SparkSession, d: str) -> DataFrame:
     return similar_pairs(v, v.where("id % 50 = 7"), 1.0, 1).select("query", "id")
 
 
+def _spaces(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """All documents as vectors: by latent semantic analysis, by topics, by the mean of their words."""
+    rows = vectors.bags(read(spark, d, "documents"), "doc_id", "text").rows
+    return {
+        "lsa": vectors.lsa(rows).transform(rows),
+        "topics": vectors.topic_vectors(vectors.topics(rows), rows),
+        "words": vectors.mean_vectors(vectors.word_means(rows), rows),
+    }
+
+
+@query("m19_document_vectors")
+def m19_spaces(spark: SparkSession, d: str) -> DataFrame:
+    out = None
+    for name, space in _spaces(spark, d).items():
+        part = space.select("id", F.lit(name).alias("space"), "vector")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("m20_nearest_documents")
+def m20_spaces(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest other document in each space, for each document whose id is divisible by 50."""
+    asked, out = read(spark, d, "documents").where("doc_id % 50 = 0").select(F.col("doc_id").alias("id")), None
+    for name, space in _spaces(spark, d).items():
+        part = vectors.nearest(space, asked).select("query", F.lit(name).alias("space"), "id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("m21_corpus", "SELECT source, lang, md5(string_agg(w, ' ' ORDER BY w)) AS digest, count(*) AS n FROM (SELECT DISTINCT source, lang, unnest(string_split_regex(text, '[^A-Za-z]+')) AS w FROM documents) WHERE w <> '' GROUP BY 1, 2")
 def m21(spark: SparkSession, d: str) -> DataFrame:
     words = F.explode(F.split("text", "[^A-Za-z]+")).alias("word")
@@ -460,13 +490,6 @@ def u29(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("per_unit", scalars.integer_average(F.col("contents"), F.col("units")))
 
 
-@query("x2_custom_aggregate", "SELECT event_type, round(sqrt(sum(value * value) / count(*)), 4) AS rms FROM events GROUP BY 1")
-def x2(spark: SparkSession, d: str) -> DataFrame:
-    """A custom aggregate from initial value, merge and finish, kept in the JVM: a sum per group of a mapped value."""
-    out = read(spark, d, "events").groupBy("event_type").agg(F.sum(F.col("value") * F.col("value")).alias("s"), F.count("*").alias("n"))
-    return out.select("event_type", F.round(F.sqrt(F.col("s") / F.col("n")), 4).alias("rms"))
-
-
 @query("x5_rows_through_function", "SELECT event_id, upper(event_type) || ':' || event_id AS line FROM events")
 def x5(spark: SparkSession, d: str) -> DataFrame:
     def run(batches):
@@ -474,40 +497,3 @@ def x5(spark: SparkSession, d: str) -> DataFrame:
             yield b.assign(line=b.event_type.str.upper() + ":" + b.event_id.astype(str))[["event_id", "line"]]
 
     return read(spark, d, "events").select("event_id", "event_type").mapInPandas(run, "event_id long, line string")
-
-
-def _streamed(spark: SparkSession, d: str, transform, mode: str = "append") -> DataFrame:
-    """Runs a streaming transformation over the events file to its end, into Parquet in the shared folder. Aggregates by window
-    need the mode "complete": in "append" windows that the watermark hasn't passed when the stream stops are never written."""
-    out = f"{shared_folder(spark)}/edutide/stream-{uuid.uuid4().hex}"
-    source = spark.readStream.schema(read(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    result = transform(source.withColumn("ts", F.col("ts").cast("timestamp")))
-    sink = result.writeStream.option("checkpointLocation", f"{out}/checkpoint").outputMode(mode).trigger(availableNow=True)
-    if mode == "complete":
-        spark.createDataFrame([], result.schema).write.parquet(f"{out}/data")
-        run = sink.foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{out}/data")).start()
-    else:
-        run = sink.format("parquet").option("path", f"{out}/data").start()
-    run.awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{out}/data")
-
-
-@query("t1_time_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY 1, 2")
-def t1(spark: SparkSession, d: str) -> DataFrame:
-    out = _streamed(spark, d, lambda s: windows.by_time(s, "1 hour", late="1 hour", keys=["event_type"]), "complete")
-    return out.select(F.col("start").cast("timestamp_ntz"), "event_type", "n", F.round("value", 2).alias("value"))
-
-
-@query("t2_session_windows", """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
-s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS i FROM g)
-SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, i""")
-def t2(spark: SparkSession, d: str) -> DataFrame:
-    out = _streamed(spark, d, lambda s: windows.by_session(s, "30 minutes"), "complete")
-    return out.select("user_id", F.col("start").cast("timestamp_ntz"), F.col("end").cast("timestamp_ntz"), "n")
-
-
-@query("t3_deduplicated", "SELECT event_id FROM events")
-def t3(spark: SparkSession, d: str) -> DataFrame:
-    """Every event comes twice."""
-    twice = lambda s: s.select("event_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
-    return _streamed(spark, d, lambda s: windows.deduplicated(twice(s), "event_id").select("event_id"))

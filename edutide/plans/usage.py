@@ -47,10 +47,6 @@ def cube_sql(source: str, dims: list[str], measures: str, fixed: str = FIXED, co
     return " UNION ALL ".join(f"({p})" for p in parts)
 
 
-def _no_floats(df: DataFrame) -> DataFrame:
-    return df.drop("avg_ts_session", "avg_interactions_min")
-
-
 @query("a6_all_cube", f"WITH {PLAYS_SQL}, " + "x AS (" + cube_sql("s", ["uid", "content"], MEASURES) + ") SELECT * FROM x")
 def a6(spark: SparkSession, d: str) -> DataFrame:
     return all_cube(plays(spark, d), summaries.FIXED, ["uid", "content"], summaries.usage_measures(), registered=REGISTERED_TAGS)
@@ -68,12 +64,12 @@ def _g1_sql() -> str:
             uniq = ", ".join(f"{'0' if x in c else f'count(DISTINCT {col[x]})'} AS unique_{x}s" for x in dims)
             keys = ", ".join([FIXED, *[col[x] for x in c], *(["tag"] if tag else [])])
             parts.append(f"(SELECT {FIXED}, {shown}, {'tag' if tag else chr(39) + 'all' + chr(39)} AS tag, {MEASURES}, {uniq} FROM {rows} GROUP BY {keys})")
-    return f"WITH {PLAYS_SQL}, x AS ({' UNION ALL '.join(parts)}) SELECT * FROM x"
+    return f"WITH {PLAYS_SQL}, x AS ({' UNION ALL '.join(parts)}) SELECT *, {AVERAGES} FROM x"
 
 
 @query("g1_workflow_usage", _g1_sql())
 def g1(spark: SparkSession, d: str) -> DataFrame:
-    return _no_floats(summaries.workflow_usage(plays(spark, d), REGISTERED_TAGS))
+    return summaries.workflow_usage(plays(spark, d), REGISTERED_TAGS)
 
 
 @query("g2_user_content_usage", f"WITH {PLAYS_SQL}, x AS ({cube_sql('s', ['uid', 'content'], MEASURES, tag_combos=[['uid'], ['content'], []])}) SELECT *, {AVERAGES} FROM x")
@@ -242,38 +238,6 @@ def g26(spark: SparkSession, d: str) -> DataFrame:
 ROLLED = f"""r AS (SELECT *, unnest([{{'kind': 'DAY', 'period': {DAY}}}, {{'kind': 'WEEK', 'period': CAST(isoyear(epoch_ms(ets)) * 1000 + 700 + week(epoch_ms(ets)) AS INTEGER)}},
   {{'kind': 'MONTH', 'period': CAST(strftime(epoch_ms(ets + 19800000), '%Y%m') AS INTEGER)}}, {{'kind': 'CUMULATIVE', 'period': 0}}]) AS p FROM f)"""
 
-#: Facts: keys and measures of each roll-up: name -> (keys, {measure: (Spark column, SQL, merge)}).
-FACTS = {
-    "u4_workflow_fact": (["app", "channel", "content"], {"total_ms": ("ms", "ms", "sum"), "sessions": ("one", "one", "sum"), "first_ms": ("ets", "ets", "min"), "last_ms": ("ets", "ets", "max")}),
-    "u6_content_fact": (["content"], {"total_ms": ("ms", "ms", "sum"), "sessions": ("one", "one", "sum"), "interactions": ("interactions", "interactions", "sum")}),
-    "u9_launch_fact": (["app"], {"launches": ("one", "one", "sum"), "total_ms": ("ms", "ms", "sum")}),
-    "u11_author_fact": (["uid"], {"sessions": ("one", "one", "sum"), "total_ms": ("ms", "ms", "sum")}),
-    "u12_editor_fact": (["content", "app"], {"total_ms": ("ms", "ms", "sum"), "changes": ("interactions", "interactions", "sum")}),
-    "u13_textbook_fact": (["content", "channel"], {"total_ms": ("ms", "ms", "sum"), "sessions": ("one", "one", "sum"), "events": ("n_events", "n_events", "sum")}),
-}
-
-
-def _fact(name: str):
-    keys, measures = FACTS[name]
-
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        """New facts of each half, rolled up and merged in two batches; the second batch is sent twice and counts once."""
-        rows = plays(spark, d).withColumn("one", F.lit(1).cast("long")).withColumn("ets", F.col("start_ms"))
-        rows = rows.select("ets", "period", *keys, *[F.col(c).alias(m) for m, (c, _, _) in measures.items()])
-        how = {m: h for m, (_, _, h) in measures.items()}
-        whole = ["kind", "period", *keys]
-        a, b = (rollup.rollup(rows.where(w).drop("period"), keys, how) for w in ("period < 20240115", "period >= 20240115"))
-        stored = rollup.merge(a, None, whole, how, "a")
-        return rollup.merge(b, rollup.merge(b, stored, whole, how, "b"), whole, how, "b").drop("batches")
-
-    return run
-
-
-for _name, (_keys, _measures) in FACTS.items():
-    _agg = ", ".join(f"CAST({h}({s}) AS BIGINT) AS {m}" for m, (_, s, h) in _measures.items())
-    query(_name, f"WITH {PLAYS_SQL}, f AS (SELECT * EXCLUDE (period), start_ms AS ets, 1 AS one FROM s), {ROLLED} SELECT p.kind AS kind, p.period AS period, {', '.join(_keys)}, {_agg} FROM r GROUP BY ALL")(_fact(_name))
-
-
 @query("u1_rollup_merge", f"""WITH f AS (SELECT o_custkey, epoch_us(o_orderdate) // 1000 AS ets, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders), {ROLLED}
 SELECT p.kind AS kind, p.period AS period, o_custkey, CAST(sum(cents) AS BIGINT) AS cents, count(*) AS orders, min(ets) AS first_ms, max(ets) AS last_ms FROM r GROUP BY 1, 2, 3""")
 def u1(spark: SparkSession, d: str) -> DataFrame:
@@ -286,37 +250,6 @@ def u1(spark: SparkSession, d: str) -> DataFrame:
     return rollup.merge(new, old, ["kind", "period", "o_custkey"], how)
 
 
-@query("u5_usage_sketches")
-def u5(spark: SparkSession, d: str) -> DataFrame:
-    """User sketches by app and period, merged over days: within a few percent of the exact count, and never decreasing."""
-    t = events(spark, d)
-    day = t.groupBy("app", F.floor(F.col("ets") / 86400000).alias("day")).agg(F.hll_sketch_agg("uid").alias("users"), F.min("ets").alias("ets"))
-    out = rollup.rollup(day, ["app"], {"users": "sketch"})
-    return out.select("kind", "period", "app", F.hll_sketch_estimate("users").alias("users"))
-
-
-@query("u7_popularity_fact", f"""WITH {TELEMETRY_SQL}, f AS (SELECT content, ets, CAST(k % 5 + 1 AS BIGINT) AS rating FROM t WHERE eid = 'INTERACT'), {ROLLED}
-SELECT p.kind AS kind, p.period AS period, content, CAST(sum(rating) AS BIGINT) AS rating_sum, count(*) AS ratings, round(sum(rating) / count(*), 2) AS avg_rating FROM r GROUP BY 1, 2, 3""")
-def u7(spark: SparkSession, d: str) -> DataFrame:
-    from edutide.functions.scalars import ratio
-
-    rows = events(spark, d).where("eid = 'INTERACT'").select("content", "ets", (F.col("k") % 5 + 1).alias("rating_sum"), F.lit(1).cast("long").alias("ratings"))
-    return rollup.rollup(rows, ["content"], {"rating_sum": "sum", "ratings": "sum"}).withColumn("avg_rating", ratio(F.col("rating_sum"), F.col("ratings")))
-
-
-@query("u8_item_fact", f"""WITH {TELEMETRY_SQL}, f AS (SELECT 'q' || k AS item, ets, score FROM t WHERE eid IN ('INTERACT', 'END')), {ROLLED}
-SELECT p.kind AS kind, p.period AS period, item, count(*) AS total, CAST(sum(CAST(score > 0 AS INTEGER)) AS BIGINT) AS correct FROM r GROUP BY 1, 2, 3""")
-def u8(spark: SparkSession, d: str) -> DataFrame:
-    rows = summaries.items(events(spark, d)).select("item", "ets", F.lit(1).cast("long").alias("total"), F.col("pass").cast("long").alias("correct"))
-    return rollup.rollup(rows, ["item"], {"total": "sum", "correct": "sum"})
-
-
-@query("u10_app_fact", f"WITH {TELEMETRY_SQL}, f AS (SELECT app, uid, ets FROM t), {ROLLED} SELECT p.kind AS kind, p.period AS period, app, count(*) AS events, count(DISTINCT uid) AS users FROM r GROUP BY 1, 2, 3")
-def u10(spark: SparkSession, d: str) -> DataFrame:
-    each = rollup.rollup(events(spark, d).select("app", "uid", "ets", F.lit(1).cast("long").alias("events")), ["app", "uid"], {"events": "sum"})
-    return each.groupBy("kind", "period", "app").agg(F.sum("events").alias("events"), F.count("*").alias("users"))
-
-
 @query("u14_code_fact", f"""WITH {TELEMETRY_SQL}, x AS (SELECT content AS code, count(*) AS scans, min(ets) AS first_ms, max(ets) AS last_ms FROM t WHERE eid = 'INTERACT' GROUP BY 1)
 SELECT *, CASE WHEN (last_ms - first_ms) // 86400000 = 0 THEN scans ELSE scans // ((last_ms - first_ms) // 86400000) END AS per_day FROM x""")
 def u14(spark: SparkSession, d: str) -> DataFrame:

@@ -1,13 +1,23 @@
-"""Structured Streaming forms: time windows, session windows, deduplication, incremental fact merges."""
+"""Structured Streaming forms: time windows, session windows, START/END sessions, deduplication, incremental tables.
+
+State is bounded by the watermark: windows and sessions that it has passed leave the store. Tables that a stream keeps up are changed by
+foreachBatch through a VersionedTable: a micro-batch rewrites only the partitions that it touches, and one that comes again after
+a restart changes nothing.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from edutide.sources.versioned import VersionedTable
+
+#: Values in state with timers need this store.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def by_time(events: DataFrame, duration: str, slide: str | None = None, late: str = "10 minutes", keys: list[str] | None = None) -> DataFrame:
@@ -21,33 +31,71 @@ def by_session(events: DataFrame, gap: str, late: str = "10 minutes", key: str =
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap).alias("w"), key).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
-def start_end_sessions(events: DataFrame, key: str = "user_id", timeout_ms: int = 1_800_000) -> DataFrame:
-    """Sessions cut at START and END rows, across micro-batches; what is open when the watermark passes ends by itself."""
-
-    def run(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, first = state.get if state.exists else (0, 0)
-        out = []
-        if state.hasTimedOut:
-            out = [(n, first)] if n else []
-            state.remove()
+class StartEnd(StatefulProcessor):
+    """Sessions of a key from a START row to an END row. A START closes what is open before it, an END closes after it, and so does a
+    pause longer than timeout_ms: at the next row, or by a timer once the watermark is past it. In state: rows, first and last time,
+    and the timer. A micro-batch's rows of a key are put in order of time; across micro-batches they must come in order."""
+
+    def __init__(self, key: str, kind: str, tie: str, start: str, end: str, timeout_ms: int):
+        self.names, self.kinds, self.timeout = (key, kind, tie), (start, end), timeout_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "n long, first_ms long, last_ms long, timer_ms long")
+
+    def _rows(self, key: tuple, closed: list[tuple]) -> pd.DataFrame:
+        name = self.names[0]
+        out = pd.DataFrame(closed, columns=["n", "first_ms", "last_ms", "closed_by"]).astype({"n": "int64", "first_ms": "int64", "last_ms": "int64", "closed_by": "str"})
+        out.insert(0, name, pd.Series([key[0]] * len(out), dtype="int64"))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, first, last, timer = self.open.get() if self.open.exists() else (0, 0, 0, 0)
+        _, kind, tie = self.names
+        start, end = self.kinds
+        batch = pd.concat(list(rows)).sort_values(["ts", tie])
+        closed = []
+        times = batch.ts.astype("datetime64[us]").astype("int64") // 1000
+        for what, ms in zip(batch[kind], times.tolist()):
+            if n and ms - last > self.timeout:
+                closed.append((n, first, last, "pause"))
+                n = 0
+            if n and what == start:
+                closed.append((n, first, last, "start"))
+                n = 0
+            first, last, n = (first if n else ms), ms, n + 1
+            if what == end:
+                closed.append((n, first, last, "end"))
+                n = 0
+        if timer:
+            self.handle.deleteTimer(timer)
+        if n:
+            # One more millisecond: a row just `timeout` later still belongs here.
+            timer = last + self.timeout + 1
+            self.handle.registerTimer(timer)
+            self.open.update((n, first, last, timer))
         else:
-            rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-            for kind, ts in zip(rows.event_type, rows.ts):
-                ms = int(ts.value // 1_000_000)
-                if kind == "signup" and n:
-                    out.append((n, first))
-                    n = 0
-                first = first if n else ms
-                n += 1
-                if kind == "purchase":
-                    out.append((n, first))
-                    n = 0
-            state.update((n, first))
-            state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), int(rows.ts.max().value // 1_000_000)) + timeout_ms)
-        yield pd.DataFrame({key: [group[0]] * len(out), "n": [x for x, _ in out], "first_ms": [x for _, x in out]}).astype({key: "int64", "n": "int64", "first_ms": "int64"})
-
-    rows = events.withWatermark("ts", "10 minutes").select(key, "ts", "event_id", "event_type")
-    return rows.groupBy(key).applyInPandasWithState(run, f"{key} long, n long, first_ms long", "n long, first long", "append", GroupStateTimeout.EventTimeTimeout)
+            self.open.clear()
+        yield self._rows(key, closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        closed = []
+        if self.open.exists():
+            n, first, last, _ = self.open.get()
+            closed.append((n, first, last, "pause"))
+            self.open.clear()
+        yield self._rows(key, closed)
+
+    def close(self) -> None:
+        pass
+
+
+def start_end_sessions(events: DataFrame, key: str = "user_id", kind: str = "event_type", tie: str = "event_id", start: str = "signup", end: str = "purchase", timeout_ms: int = 1_800_000, late: str = "10 minutes") -> DataFrame:
+    """Key (a long), n, first_ms, last_ms, closed_by (start, end or pause) of each session; append mode. The session needs the
+    state store ROCKSDB."""
+    rows = events.withWatermark("ts", late).select(key, "ts", tie, kind)
+    schema = f"{key} long, n long, first_ms long, last_ms long, closed_by string"
+    return rows.groupBy(key).transformWithStateInPandas(StartEnd(key, kind, tie, start, end, timeout_ms), schema, "Append", "EventTime")
 
 
 def deduplicated(events: DataFrame, key: str, late: str = "10 minutes") -> DataFrame:
@@ -55,13 +103,39 @@ def deduplicated(events: DataFrame, key: str, late: str = "10 minutes") -> DataF
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def merge_batches(path: str, merge: Callable[[DataFrame, DataFrame | None, str], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """T5: a foreachBatch function: each micro-batch is merged into the newest version of a Parquet table under `path`.
-    A repeated batch writes the same version again, so that a restart changes nothing."""
+def replaced(new: DataFrame, old: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows of new, and those of old with other keys."""
+    if old is None:
+        return new
+    rows = old.select(*new.columns).withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    rest = [c for c in new.columns if c not in keys]
+    out = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_new").alias("_r")) if rest else rows.select(*keys).distinct()
+    return out.select(*keys, *[F.col("_r")[c].alias(c) for c in rest]).select(*new.columns)
+
+
+def upsert(table: VersionedTable, keys: list[str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch in update mode: rows of a micro-batch replace those of the table by keys, in the partitions that they touch."""
 
     def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/v{epoch - 1}") if epoch else None
-        merge(batch, old, f"batch-{epoch}").write.mode("overwrite").parquet(f"{path}/v{epoch}")
+        kept = batch.persist()
+        try:
+            if not kept.isEmpty():
+                table.apply(f"epoch-{epoch}", kept, lambda new, old: replaced(new, old, keys))
+        finally:
+            kept.unpersist()
 
     return run
+
+
+def incremental(add: Callable[[str, DataFrame], object]) -> Callable[[DataFrame, int], None]:
+    """T5, for foreachBatch: add(batch name, rows), by which a batch that is in already changes nothing."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        add(f"epoch-{epoch}", batch)
+
+    return run
+
+
+def heartbeat(like: DataFrame, values: dict[str, object]) -> DataFrame:
+    """One row of nulls but for these values, which moves a watermark on without being anyone's row."""
+    return like.sparkSession.createDataFrame([Row(**{c: values.get(c) for c in like.columns})], like.schema)

@@ -3,9 +3,9 @@
 import duckdb
 import pytest
 
-from edutide.plans import basics, inventory, products, relations, sequences, usage
+from edutide.plans import basics, facts, inventory, layout, products, relations, sequences, streams, usage
 
-PARTS = (basics, sequences, relations, usage, products, inventory)
+PARTS = (basics, sequences, relations, usage, facts, products, inventory, layout, streams)
 QUERIES = {n: q for p in PARTS for n, q in p.QUERIES.items()}
 SQL = {n: s for p in PARTS for n, s in p.SQL.items()}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
