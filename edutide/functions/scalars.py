@@ -24,14 +24,23 @@ def key_digest(*parts: Column) -> Column:
 _WORD = 0xFFFFFFFF
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _times(a: Column, b: int) -> Column:
     """The low 32 bits of a product, of two unsigned 32-bit integers in longs, with no step beyond 64 bits."""
-    low, high = a.bitwiseAND(F.lit(0xFFFF)) * b, F.shiftrightunsigned(a, 16) * b
-    return (low + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(_WORD))
+    high = lambda a: (F.shiftrightunsigned(a, 16) * b).bitwiseAND(F.lit(0xFFFF))
+    return _let(a, lambda a: (a.bitwiseAND(F.lit(0xFFFF)) * b + F.shiftleft(high(a), 16)).bitwiseAND(F.lit(_WORD)))
 
 
 def _turned(a: Column, n: int) -> Column:
-    return F.shiftleft(a, n).bitwiseAND(F.lit(_WORD)).bitwiseOR(F.shiftrightunsigned(a, 32 - n))
+    return _let(a, lambda a: F.shiftleft(a, n).bitwiseAND(F.lit(_WORD)).bitwiseOR(F.shiftrightunsigned(a, 32 - n)))
+
+
+def _folded(a: Column, n: int) -> Column:
+    return _let(a, lambda a: a.bitwiseXOR(F.shiftrightunsigned(a, n)))
 
 
 #: The seed of a string's hash and the constants of 32-bit Murmur3.
@@ -51,17 +60,15 @@ def string_hash(text: Column) -> Column:
         return F.when(d["b"].isNotNull(), whole).when(d["a"].isNotNull(), mixed(h, d["a"])).otherwise(h)
 
     h = F.aggregate(steps, F.lit(MURMUR_SEED).cast("long"), step).bitwiseXOR(F.size(units).cast("long"))
-    h = _times(h.bitwiseXOR(F.shiftrightunsigned(h, 16)), MURMUR_END[0])
-    h = _times(h.bitwiseXOR(F.shiftrightunsigned(h, 13)), MURMUR_END[1])
-    return h.bitwiseXOR(F.shiftrightunsigned(h, 16))
+    return _folded(_times(_folded(_times(_folded(h, 16), MURMUR_END[0]), 13), MURMUR_END[1]), 16)
 
 
 def in_modulus(key: Column, divisor: int) -> Column:
     """Whether the key's hash is a multiple of the divisor (of its signed value, which is so when the signed remainder is 0)."""
     if divisor <= 0:
         return F.lit(False)
-    h = string_hash(key.cast("string"))
-    return F.coalesce((h - F.when(h >= 1 << 31, F.lit(1 << 32)).otherwise(0)) % divisor == 0, F.lit(False))
+    signed = _let(string_hash(key.cast("string")), lambda h: h - F.when(h >= 1 << 31, F.lit(1 << 32)).otherwise(0))
+    return F.coalesce(signed % divisor == 0, F.lit(False))
 
 
 def as_double(c: Column) -> Column:

@@ -48,7 +48,7 @@ def bits_set(state: Column) -> Column:
 def inserted(values: DataFrame, keys: list[str], value: str, bits: Column, old: DataFrame | None, name: str) -> DataFrame:
     """Per keys: name, the values counted so far, and name_bits, the state; of old facts (with these columns) and new values.
 
-    Null values are none. bits: the size of a key's filter, of its columns."""
+    Null values are none. bits: the size of a key's filter, of its columns. old is read several times, and so should be a table."""
     state = f"{name}_bits"
     new = values.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_value")).distinct().withColumn("_at", positions(F.col("_value"), bits))
     if old is not None:

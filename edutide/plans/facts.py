@@ -202,7 +202,7 @@ def a4(spark: SparkSession, d: str) -> DataFrame:
     keys = ["kind", "period", "channel"]
     rows, state = facts.by_period(events(spark, d), ["channel", "uid", "mid"], kinds=PERIODS), None
     for i in (0, 1, 1):
-        state = bloom.inserted(rows.where(F.col("mid") % 2 == i), keys, "uid", bloom.size_of(F.col("kind")), state, "users")
+        state = stored(bloom.inserted(rows.where(F.col("mid") % 2 == i), keys, "uid", bloom.size_of(F.col("kind")), state, "users"), "state")
     return shown(state, ["users"])
 
 

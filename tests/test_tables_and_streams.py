@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from edutide.functions import scalars
 from edutide.operators import aggregate, bloom, facts, joins, ordering, products, recommend, workflow
 from edutide.sources import files, layout, variants
+from edutide.sources.shared import stored
 from edutide.sources.versioned import VersionedTable
 from edutide.streaming import windows
 
@@ -42,7 +43,7 @@ def test_bloom_states_merge_in_any_order_and_twice(spark):
     def state(order):
         out = None
         for b in order:
-            out = bloom.inserted(df.where(F.col("batch") == b), ["k", "kind"], "v", bloom.size_of(F.col("kind")), out, "n")
+            out = stored(bloom.inserted(df.where(F.col("batch") == b), ["k", "kind"], "v", bloom.size_of(F.col("kind")), out, "n"), "state")
         return {(r.k, r.kind): (r.n, {b: bytes(x) for b, x in r.n_bits.items()}, r.bits) for r in out.withColumn("bits", bloom.bits_set(F.col("n_bits"))).collect()}
 
     one = state([0, 1, 2])
