@@ -93,9 +93,9 @@ def _unsteps(blob: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:8], "little")
-    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+def _unpacked(blob: bytes | pa.Buffer) -> np.ndarray:
+    n = int.from_bytes(memoryview(blob)[:8], "little")
+    planes = np.frombuffer(pa.decompress(memoryview(blob)[8:], 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
 
 
@@ -353,34 +353,44 @@ def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "rows"])
 
 
-def _score(order: int, key: pa.DataType):
+def _answers(known: pa.Table, shards: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By shard: a block's n-grams, sorted, and their log probabilities in steps. Each shard is sorted alone, so that little is held twice."""
+    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for x, y in zip(known.column("grams"), known.column("answers")):
+        g = _unpacked(x.as_buffer())
+        if len(g):
+            parts.setdefault(int(shard_of(g[:1], shards)[0]), []).append((g, _unsteps(y.as_buffer(), len(g))))
+    out = {}
+    for k in list(parts):
+        own = parts.pop(k)
+        g, lp = own[0] if len(own) == 1 else (np.concatenate([x[i] for x in own]) for i in range(2))
+        by = np.argsort(g, kind="stable") if len(own) > 1 else None
+        out[k] = (g, lp) if by is None else (g[by], lp[by])
+    return out
+
+
+def _score(order: int, shards: int, key: pa.DataType):
     def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        parts, values = [], []
-        for x, y in zip(known.column("grams").to_pylist(), known.column("answers").to_pylist()):
-            parts.append(_unpacked(x))
-            values.append(_unsteps(y, len(parts[-1])))
-        g, lp = np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([np.zeros(0, np.uint32), *values])
-        del parts, values
-        by = np.argsort(g, kind="stable")
-        g, lp = g[by], lp[by]
-        del by
+        have = _answers(known, shards)
         ids, langs, sums, sizes = [], [], [np.zeros(0)], [np.zeros(0, np.int64)]
         for blob in texts.column("rows"):
             for b in pieces(pa.ipc.open_stream(blob.as_buffer()), WINDOW):
                 grams = Grams(b.column("text"), order)
                 total = np.zeros(b.num_rows)
                 for codes, text in grams.windows():
-                    near = np.argsort(codes)  # sorted values are found in the order of memory
-                    codes = codes[near]
-                    at, there = _found(codes, g)
-                    if not there.all():
-                        raise RuntimeError("a block's rows are not those that asked: the input gave other rows when it was read again")
-                    total -= np.bincount(text[near], lp[at], b.num_rows) * STEP
+                    found = np.zeros(len(codes), np.uint32)
+                    for k, at in _by_shard(codes, shards):
+                        g, lp = have.get(k, (codes[:0], found[:0]))
+                        place, there = _found(codes[at], g)
+                        if not there.all():
+                            raise RuntimeError("a block's rows are not those that asked: the input gave other rows when it was read again")
+                        found[at] = lp[place]
+                    total -= np.bincount(text, found, b.num_rows) * STEP
                 sums.append(total)
                 sizes.append(grams.units)
                 ids.append(b.column("row"))
                 langs.append(b.column("lang").cast(pa.string()))
-        del g, lp
+        have.clear()
         release()
         return pa.table({"row": pa.chunked_array(ids, key), "lang": pa.chunked_array(langs, pa.string()), "logp": np.concatenate(sums), "units": np.concatenate(sizes)})
 
@@ -406,7 +416,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     tables = model.tables.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(together - 1))))
     answers = asked.groupBy("shard", "part").cogroup(tables.groupBy("shard", "part")).applyInArrow(_answer(model.order, model.cuts, model.low), "block long, grams binary, answers binary")
     bundles = dealt.mapInArrow(_bundled, "block long, rows binary")
-    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order, pa.string() if text_key else pa.int64()), f"row {'string' if text_key else 'long'}, lang string, logp double, units long")
+    return bundles.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(model.order, model.shards, pa.string() if text_key else pa.int64()), f"row {'string' if text_key else 'long'}, lang string, logp double, units long")
 
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 7, quantile: float = 0.995, prior: int = 100, least_held: int = 20, row_col: str | None = None) -> DataFrame:
