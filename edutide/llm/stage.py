@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from edutide.sources.shared import stored
 
-__all__ = ["parallelism", "row_digest", "small_side", "stored", "table"]
+__all__ = ["free_name", "parallelism", "row_digest", "small_side", "stored", "table"]
 
 #: Rows of (long, small value) up to which a side may be broadcast: as a hashed relation, about 64 bytes a row and so 32 MB.
 BROADCAST_ROWS = 500_000
@@ -18,6 +18,14 @@ def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, behind as many underscores as it takes for no column of df to have it (names are told without case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

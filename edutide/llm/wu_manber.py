@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import ALPHANUMERIC, Words, freed, mix, pieces, split
-from .stage import row_digest, small_side, stored
+from .stage import free_name, row_digest, small_side, stored
 
 LANE = 512
 PASS_BYTES = 4 << 20
@@ -197,7 +197,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     repeated ids and empty tables are as there: each row is judged by its own text."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_digest(id_col, text_col).alias("row"))
     gone = _passes(benchmark, item_col, item_text_col).hits(rows, window).select("row").distinct()
-    return docs.join(small_side(gone.toDF("_gone"), 100_000), row_digest(id_col, text_col) == F.col("_gone"), "left_anti")
+    name = free_name(docs, "_gone")
+    return docs.join(small_side(gone.toDF(name), 100_000), row_digest(id_col, text_col) == F.col(name), "left_anti")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10) -> DataFrame:

@@ -69,6 +69,28 @@ def test_stages_keep_columns_and_survive_edge_cases(spark, small, edge_docs, no_
     assert corpus_pipeline.STAGES[1][1](spark, edge_docs, small).groupBy("doc_id").count().where("count > 1").count() == 0
 
 
+def test_all_stages_in_turn_on_clashing_columns_and_empty_tables(spark, small, edge_docs, tmp_path):
+    """Columns of names that stages use themselves, in both cases, and every other table empty or not."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    clashing = edge_docs.withColumnsRenamed({"n_shingles": "_row", "score": "_GONE"}).withColumn("__row", edge_docs["doc_id"]).withColumn("row", edge_docs["text"])
+    kept = {}
+    for folder in (small, str(tmp_path)):
+        docs = clashing
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, folder)
+            if name == "packing":
+                kept[folder] = (docs.count(), out.select("doc_id", "start").where("start = 0").count())
+            else:
+                assert out.columns == clashing.columns, name
+                assert {r["_row"] for r in out.select("_row").collect()} <= {7}
+                docs = out
+        no = clashing.limit(0)
+        for name, stage in corpus_pipeline.STAGES:
+            assert stage(spark, no, folder).count() == 0, name
+    assert all(n == pieces > 0 for n, pieces in kept.values()) and kept[str(tmp_path)][0] >= kept[small][0]
+
+
 def test_decisions_belong_to_rows(spark, small):
     bench = max((r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect() if r.text), key=len)
     docs = spark.read.parquet(f"{small}/documents.parquet")

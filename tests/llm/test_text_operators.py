@@ -206,6 +206,21 @@ def test_packing_of_one_id_and_of_none(spark, monkeypatch):
     assert max(sizes.values()) <= 64 and len(sizes) < 1.1 * sum(sizes.values()) / 64
 
 
+def test_groups_are_random_and_the_same_again(spark, small):
+    """Several tasks and groups, none of them neighbouring rows of the table, at any size; little padding."""
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    runs = [sorted(map(tuple, packing.pack(docs, path, length=256, group_bytes=1 << 16).drop("ids").collect())) for _ in range(2)]
+    assert runs[0] == runs[1]
+    docs_of = {}
+    for doc_id, *_, sequence, _ in runs[0]:
+        docs_of.setdefault(sequence // packing.STRIDE, set()).add(doc_id)
+    assert len(docs_of) >= 3
+    top = max(r[0] for r in runs[0])
+    for own in docs_of.values():
+        assert max(own) - min(own) > top / 2 and len(own) < (top + 1) / 2
+
+
 def test_first_fit_decreasing_is_the_plain_one():
     sizes = np.random.default_rng(2).integers(1, 65, 300)
     free, want = [], {}
