@@ -11,38 +11,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edutide.llm import kneser_ney, neardup, packing, pii, queries, wu_manber
-from edutide.llm.stage import row_digest, small_side, stored, table
+from edutide.llm.stage import free_name, row_digest, small_side, stored, table
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number _row for each row, which is written, so that it stays the same. Rows that repeat an id, or have none,
-    are rows like others: none stands for another."""
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row, which is written, so that it stays the same, and that column's name, which no other has. Rows
+    that repeat an id, or have none, are rows like others: none stands for another."""
+    name = free_name(docs, "_row")
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
 
 
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(rows: DataFrame, number: str, gone: DataFrame) -> DataFrame:
     """Numbered rows but for those of `gone` (one column of numbers), with all other columns in their order."""
-    gone = small_side(stored(gone.toDF("_gone"), "gone"))
-    return rows.join(gone, rows["_row"] == gone["_gone"], "left_anti").drop("_row")
+    name = free_name(rows, "_gone")
+    gone = small_side(stored(gone.toDF(name), "gone"))
+    return rows.join(gone, rows[number] == gone[name], "left_anti").drop(number)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality model accepts; without trusted text all. Rows that are alike go or stay together."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     told = row_digest("doc_id", "lang", "text")
-    gone = kneser_ney.quality(docs.withColumn("_row", told), trusted, row_col="_row").where("not accepted").select(F.col("doc_id").alias("_gone"))
-    return docs.join(small_side(stored(gone.distinct(), "gone"), 100_000), told == F.col("_gone"), "left_anti")
+    row, name = free_name(docs, "_row"), free_name(docs, "_gone")
+    gone = kneser_ney.quality(docs.withColumn(row, told), trusted, row_col=row).where("not accepted").select(F.col("doc_id").alias(name))
+    return docs.join(small_side(stored(gone.distinct(), "gone"), 100_000), told == F.col(name), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: that with the smallest id, a null id last. Rows without words all stay."""
-    rows = _numbered(docs)
-    found = stored(neardup.near_duplicates(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id", "kept"), "duplicates")
+    rows, number = _numbered(docs)
+    found = stored(neardup.near_duplicates(rows, id_col=number).select(F.col("doc_id").alias("_row"), "component_id", "kept"), "duplicates")
     groups = small_side(found.where("not kept").select("component_id").distinct())
     members = stored(found.join(groups, "component_id").select("_row", "component_id"), "members")
-    members = rows.select("_row", "doc_id").join(small_side(members), "_row").withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
+    members = rows.select(F.col(number).alias("_row"), "doc_id").join(small_side(members), "_row").withColumn("place", F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))
     first = members.groupBy("component_id").agg(F.min("place")["_row"].alias("_first"))
-    return _without(rows, members.join(first, "component_id").where("_row != _first").select("_row"))
+    return _without(rows, number, members.join(first, "component_id").where("_row != _first").select("_row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
