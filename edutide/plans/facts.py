@@ -65,8 +65,8 @@ VALUES = {"users": "uid", "contents": "content", "devices": "did"}
 
 
 def _exact(num: str, den: str):
-    """A ratio of integer columns, exactly rounded, and the same as SQL."""
-    return exact_ratio(F.expr(num), F.expr(den)), f"CASE WHEN {den} = 0 THEN 0 ELSE floor((200 * ({num}) + ({den})) / (2 * ({den}))) / 100 END"
+    """A function that gives a ratio of integer columns, exactly rounded, and the same as SQL. Columns need a session, so they come later."""
+    return lambda: exact_ratio(F.expr(num), F.expr(den)), f"CASE WHEN {den} = 0 THEN 0 ELSE floor((200 * ({num}) + ({den})) / (2 * ({den}))) / 100 END"
 
 
 def _avg(ms: str, n: str):
@@ -118,7 +118,7 @@ def _fact(name: str):
         kept = table(spark, name)
         for batch, part in (("early", SPLIT), ("late", f"not ({SPLIT})"), ("late", f"not ({SPLIT})")):
             kind.add(kept, batch, rows.where(part))
-        return shown(kept.read(), distinct).withColumns({n: c for n, (c, _) in ratios.items()})
+        return shown(kept.read(), distinct).withColumns({n: c() for n, (c, _) in ratios.items()})
 
     return run
 
@@ -154,7 +154,7 @@ def u12(spark: SparkSession, d: str) -> DataFrame:
     kept = table(spark, "u12")
     for batch, part in (("early", SPLIT), ("late", f"not ({SPLIT})")):
         kind.add(kept, batch, day.where(part))
-    return kept.read().withColumns({"avg_ts_session": _avg("total_ms", "sessions")[0], "avg_interactions_min": RATE[0], "sessions_user": _per("sessions", "users")[0]})
+    return kept.read().withColumns({"avg_ts_session": _avg("total_ms", "sessions")[0](), "avg_interactions_min": RATE[0](), "sessions_user": _per("sessions", "users")[0]()})
 
 
 @query("u7_popularity_fact", f"""WITH {TELEMETRY_SQL}, f AS (SELECT content, ets, CASE WHEN eid = 'INTERACT' THEN CAST(k % 5 + 1 AS BIGINT) END AS rating, CASE WHEN eid = 'INTERACT' THEN page || ':' || (k % 5 + 1) END AS comment, CAST(eid = 'INTERRUPT' AND score = 0 AS BIGINT) AS dl, CAST(eid = 'INTERRUPT' AND score > 0 AS BIGINT) AS sl FROM t WHERE eid IN ('INTERACT', 'INTERRUPT')),
@@ -244,7 +244,7 @@ def v2_views(spark: SparkSession, d: str) -> DataFrame:
         found = made.join(windows, ["kind", "period"]).groupBy("window", *keys).agg(*[F.sum(c).alias(c) for c in kind.measures])
         part = found.select(F.lit(name).alias("fact"), "window", F.concat_ws("/", *keys).alias("key"), *kind.measures)
         out = part if out is None else out.unionByName(part)
-    return out.withColumn("avg_ts_session", _avg("total_ms", "sessions")[0])
+    return out.withColumn("avg_ts_session", _avg("total_ms", "sessions")[0]())
 
 
 @query("v4_popularity_metrics", f"""WITH {TELEMETRY_SQL} SELECT {DAY} AS period, count(*) FILTER (eid = 'INTERACT') AS ratings, CASE WHEN count(*) FILTER (eid = 'INTERACT') = 0 THEN 0 ELSE round(sum(k % 5 + 1) FILTER (eid = 'INTERACT') / count(*) FILTER (eid = 'INTERACT'), 2) END AS avg_rating,
