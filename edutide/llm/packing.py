@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from .bytewords import flat, freed, pieces
 from .stage import parallelism
-from .units import units
+from .units import dropped, units
 
 GROUP_BYTES = 2 << 20
 #: Bytes of text for a task, about.
-TASK_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
 #: Sequences of a task have ids from its number * STRIDE on.
 STRIDE = 1 << 32
 
@@ -102,6 +102,7 @@ def _pack(path: str, length: int, end_id: int, group_bytes: int):
                 group, size = [], 0
         if group:
             yield _packed(group, path, length, end_id, first)
+        dropped(path)
 
     return run
 

@@ -180,3 +180,8 @@ def units(path: str) -> Units:
     if path not in _made:
         _made[path] = Units(path)
     return _made[path]
+
+
+def dropped(path: str) -> None:
+    """Give up this worker's encoder for a file, where what comes next needs its memory more."""
+    _made.pop(path, None)
