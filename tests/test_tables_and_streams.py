@@ -445,5 +445,8 @@ def test_not_root_leaves_out_what_its_sql_does(spark, tmp_path):
 
     spark.createDataFrame([(i, f"c{i}", i % 3) for i in (1, 2, 3, 999_999, 1_000_000, 1_000_001)] + [(4, "c4", None)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
     spark.createDataFrame([(i, i % 3) for i in range(1, 30)] + [(99, None)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    c, s = spark.read.parquet(f"{tmp_path}/customer.parquet").withColumnRenamed("c_nationkey", "n"), spark.read.parquet(f"{tmp_path}/supplier.parquet").withColumnRenamed("s_nationkey", "n")
+    kinds = [sorted((r.c_custkey, r.s_suppkey) for r in joins.dealt_join(c, s, "n", "c_custkey", 4, most).collect()) for most in (0, 100)]
+    assert kinds[0] == kinds[1] == sorted((a, b) for a in (1, 2, 3, 999_999, 1_000_000, 1_000_001) for b in range(1, 30) if a % 3 == b % 3)
     got = sorted(tuple(r) for r in relations.QUERIES["j5_not_root"](spark, str(tmp_path)).collect())
     assert got == sorted((c, s) for c in (1, 2, 3, 999_999) for s in range(1, 30) if c % 3 == s % 3 and c != s)
