@@ -197,11 +197,19 @@ def durations(log: DataFrame, key: str, ms: str) -> DataFrame:
     return log.groupBy(key).agg(F.count("*").alias("count"), F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"), F.sum(ms).alias("sum_ms")).withColumn("avg_ms", ratio(F.col("sum_ms"), F.col("count"))).drop("sum_ms")
 
 
-def snapshot(edges: DataFrame, usage: DataFrame) -> DataFrame:
-    """Contents, live ones, their creation and their active users, at four levels: all, author, partner, both."""
-    joined = edges.join(usage, "content", "left")
-    measures = [F.count_distinct("content").alias("contents"), F.count_distinct(F.when(F.col("status") == "Live", F.col("content"))).alias("live"), F.sum("created_ms").alias("creation_ms"), F.sum(F.coalesce("plays", F.lit(0))).alias("plays")]
-    return all_cube(joined, [], ["author", "partner"], measures).drop("tag")
+def snapshot(edges: DataFrame, usage: DataFrame, parts: int = 0) -> DataFrame:
+    """Contents, live ones, their creation and their active users, at four levels: all, author, partner, both. Rows are dealt by
+    content into `parts` (the session's number, if not given); there a level's rows of a content become one, so that contents
+    are counted without being brought together."""
+    parts = parts or int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = edges.repartition(parts, "content").join(usage.repartition(parts, "content"), "content", "left").where("author is not null and author != '' and partner is not null and partner != ''")
+    level = lambda i, author, partner: F.struct(F.lit(i).alias("level"), author.alias("author"), partner.alias("partner"))
+    author, partner, every = F.col("author"), F.col("partner"), F.lit("all")
+    levels = F.explode(F.array(level(0, author, partner), level(1, author, every), level(2, every, partner), level(3, every, every)))
+    each = rows.select("content", (F.col("status") == "Live").alias("live"), "created_ms", F.coalesce("plays", F.lit(0)).alias("plays"), levels.alias("l")).select("content", "live", "created_ms", "plays", "l.*")
+    one = each.groupBy("level", "author", "partner", "content").agg(F.max("live").alias("live"), F.sum("created_ms").alias("creation_ms"), F.sum("plays").alias("plays"))
+    measures = [F.count("content").alias("contents"), F.count(F.when(F.col("live"), F.col("content"))).alias("live"), F.sum("creation_ms").alias("creation_ms"), F.sum("plays").alias("plays")]
+    return one.groupBy("level", "author", "partner").agg(*measures).drop("level")
 
 
 def coverage(units: DataFrame) -> DataFrame:

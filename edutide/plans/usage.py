@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edutide.functions.time import last_days, period
 from edutide.operators import metrics, rollup, sessions, summaries
 from edutide.operators.cube import all_cube
+from edutide.sources.shared import parts_of
 from edutide.sources.telemetry import REGISTERED_TAGS, TELEMETRY_SQL, read
 
 from .basics import events, registry
@@ -230,9 +231,11 @@ u AS (SELECT l_partkey AS content, count(*) AS plays FROM lineitem GROUP BY 1),
 x AS (""" + cube_sql("j", ["author", "partner"], "count(DISTINCT content) AS contents, count(DISTINCT CASE WHEN status = 'Live' THEN content END) AS live, CAST(sum(created_ms) AS BIGINT) AS creation_ms, CAST(sum(coalesce(plays, 0)) AS BIGINT) AS plays", fixed="", tags=False) + ") SELECT * EXCLUDE (tag) FROM x")
 def g26(spark: SparkSession, d: str) -> DataFrame:
     li, p, s = (read(spark, d, t) for t in ("lineitem", "part", "supplier"))
-    edges = li.select("l_partkey", "l_suppkey").distinct().join(p, F.col("p_partkey") == F.col("l_partkey")).join(s, F.col("s_suppkey") == F.col("l_suppkey"))
+    parts = parts_of(li.count(), spark)
+    li = li.select("l_partkey", "l_suppkey").repartition(parts, "l_partkey")
+    edges = li.distinct().join(p, F.col("p_partkey") == F.col("l_partkey")).join(s, F.col("s_suppkey") == F.col("l_suppkey"))
     edges = edges.select(F.col("l_partkey").alias("content"), F.concat(F.lit("s"), "l_suppkey").alias("author"), F.concat(F.lit("n"), "s_nationkey").alias("partner"), F.when(F.col("p_size") > 10, "Live").otherwise("Draft").alias("status"), F.col("p_size").cast("long").alias("created_ms"))
-    return summaries.snapshot(edges, li.groupBy(F.col("l_partkey").alias("content")).agg(F.count("*").alias("plays")))
+    return summaries.snapshot(edges, li.groupBy(F.col("l_partkey").alias("content")).agg(F.count("*").alias("plays")), parts)
 
 
 ROLLED = f"""r AS (SELECT *, unnest([{{'kind': 'DAY', 'period': {DAY}}}, {{'kind': 'WEEK', 'period': CAST(isoyear(epoch_ms(ets)) * 1000 + 700 + week(epoch_ms(ets)) AS INTEGER)}},
