@@ -8,14 +8,16 @@ a restart changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta, timezone
 
-import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from edutide.sources.versioned import VersionedTable
 
+EPOCH, MICROSECOND = datetime(1970, 1, 1, tzinfo=timezone.utc), timedelta(microseconds=1)
+
 #: Values in state with timers need this store.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -33,69 +35,77 @@ def by_session(events: DataFrame, gap: str, late: str = "10 minutes", key: str =
 
 class StartEnd(StatefulProcessor):
     """Sessions of a key from a START row to an END row. A START closes what is open before it, an END closes after it, and so does a
-    pause longer than timeout_ms: at the next row, or by a timer once the watermark is past it. In state: rows, first and last time,
-    and the timer. A micro-batch's rows of a key are put in order of time; across micro-batches they must come in order."""
+    pause longer than timeout_ms: at the next row, or by a timer once the watermark is past it. Keys are dealt into buckets, so that
+    state is read and written once for many keys and not in several calls for each. In a bucket's state: rows, first and last time of
+    each open session, and the timer of the earliest one. A micro-batch's rows are put in order of time; across micro-batches they must
+    come in order."""
 
     def __init__(self, key: str, kind: str, tie: str, start: str, end: str, timeout_ms: int):
         self.names, self.kinds, self.timeout = (key, kind, tie), (start, end), timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "n long, first_ms long, last_ms long, timer_ms long")
-
-    def _rows(self, key: tuple, closed: list[tuple]) -> pd.DataFrame:
-        name = self.names[0]
-        out = pd.DataFrame(closed, columns=["n", "first_ms", "last_ms", "closed_by"]).astype({"n": "int64", "first_ms": "int64", "last_ms": "int64", "closed_by": "str"})
-        out.insert(0, name, pd.Series([key[0]] * len(out), dtype="int64"))
-        return out
+        self.open = handle.getValueState("open", "keys array<long>, n array<long>, first_ms array<long>, last_ms array<long>, timer_ms long")
+        self.session = Row(self.names[0], "n", "first_ms", "last_ms", "closed_by")
+
+    def _open(self) -> tuple[dict, int]:
+        """Key -> rows, first and last time of the bucket's open sessions; and its timer, or 0."""
+        found = self.open.get()
+        return ({}, 0) if not found else ({k: s for k, *s in zip(*found[:4])}, found[4])
+
+    def _keep(self, open_: dict, timer: int, fired: bool = False) -> None:
+        # One more millisecond: a row just `timeout` later still belongs to its session.
+        due = min(last for _, _, last in open_.values()) + self.timeout + 1 if open_ else 0
+        if timer and timer != due and not fired:
+            self.handle.deleteTimer(timer)
+        if due and timer != due:
+            self.handle.registerTimer(due)
+        if open_:
+            self.open.update((list(open_), *(list(c) for c in zip(*open_.values())), due))
+        elif timer:
+            self.open.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, first, last, timer = self.open.get() if self.open.exists() else (0, 0, 0, 0)
-        _, kind, tie = self.names
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        open_, timer = self._open()
+        name, kind, tie = self.names
         start, end = self.kinds
-        batch = pd.concat(list(rows)).sort_values(["ts", tie])
+        batch = [((r["ts"] - EPOCH) // MICROSECOND, r[tie] is None, r[tie], r[name], r[kind]) for r in rows]
+        batch.sort(key=lambda r: r[:3])
         closed = []
-        times = batch.ts.astype("datetime64[us]").astype("int64") // 1000
-        for what, ms in zip(batch[kind], times.tolist()):
+        for us, _, _, who, what in batch:
+            ms = us // 1000
+            n, first, last = open_.get(who, (0, 0, 0))
             if n and ms - last > self.timeout:
-                closed.append((n, first, last, "pause"))
+                closed.append((who, n, first, last, "pause"))
                 n = 0
             if n and what == start:
-                closed.append((n, first, last, "start"))
+                closed.append((who, n, first, last, "start"))
                 n = 0
-            first, last, n = (first if n else ms), ms, n + 1
+            open_[who] = (n + 1, first if n else ms, ms)
             if what == end:
-                closed.append((n, first, last, "end"))
-                n = 0
-        if timer:
-            self.handle.deleteTimer(timer)
-        if n:
-            # One more millisecond: a row just `timeout` later still belongs here.
-            timer = last + self.timeout + 1
-            self.handle.registerTimer(timer)
-            self.open.update((n, first, last, timer))
-        else:
-            self.open.clear()
-        yield self._rows(key, closed)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        closed = []
-        if self.open.exists():
-            n, first, last, _ = self.open.get()
-            closed.append((n, first, last, "pause"))
-            self.open.clear()
-        yield self._rows(key, closed)
+                closed.append((who, *open_.pop(who), "end"))
+        self._keep(open_, timer)
+        return iter([self.session(*s) for s in closed])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        open_, timer = self._open()
+        passed = timerValues.getCurrentWatermarkInMs() - self.timeout
+        closed = [(who, *s) for who, s in open_.items() if s[2] < passed]
+        self._keep({who: s for who, s in open_.items() if s[2] >= passed}, timer, fired=True)
+        for s in closed:
+            yield self.session(*s, "pause")
 
     def close(self) -> None:
         pass
 
 
-def start_end_sessions(events: DataFrame, key: str = "user_id", kind: str = "event_type", tie: str = "event_id", start: str = "signup", end: str = "purchase", timeout_ms: int = 1_800_000, late: str = "10 minutes") -> DataFrame:
+def start_end_sessions(events: DataFrame, key: str = "user_id", kind: str = "event_type", tie: str = "event_id", start: str = "signup", end: str = "purchase", timeout_ms: int = 1_800_000, late: str = "10 minutes", buckets: int = 256) -> DataFrame:
     """Key (a long), n, first_ms, last_ms, closed_by (start, end or pause) of each session; append mode. The session needs the
-    state store ROCKSDB."""
-    rows = events.withWatermark("ts", late).select(key, "ts", tie, kind)
+    state store ROCKSDB. A task holds a bucket's rows of a micro-batch and its open sessions, so buckets should grow with keys; a
+    stream keeps the number that it began with."""
+    rows = events.withWatermark("ts", late).select(F.pmod(F.hash(key), F.lit(buckets)).alias("_bucket"), key, "ts", tie, kind)
     schema = f"{key} long, n long, first_ms long, last_ms long, closed_by string"
-    return rows.groupBy(key).transformWithStateInPandas(StartEnd(key, kind, tie, start, end, timeout_ms), schema, "Append", "EventTime")
+    return rows.groupBy("_bucket").transformWithState(StartEnd(key, kind, tie, start, end, timeout_ms), schema, "Append", "EventTime")
 
 
 def deduplicated(events: DataFrame, key: str, late: str = "10 minutes") -> DataFrame:
