@@ -41,13 +41,45 @@ def with_ratios(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_ts_session", ratio(s, F.col("total_sessions"))).withColumn("avg_interactions_min", per_minute(F.col("total_interactions"), s))
 
 
+#: How sums and extremes of parts become those of the whole.
+MERGED = {"total_ms": F.sum, "total_sessions": F.sum, "total_interactions": F.sum, "first_ms": F.min, "last_ms": F.max}
+
+
 def workflow_usage(s: DataFrame, registered: list[str]) -> DataFrame:
-    """G1: eight combinations of content, user and device, untagged and per tag; distincts where the dimension is 'all'."""
+    """G1: eight combinations of content, user and device, untagged and per tag; distincts where the dimension is 'all'.
+
+    Rows are dealt once, by period and user. There the four combinations with a user are made in place, each from the one with
+    all three; the others come from sums by content and device. A row of a finer combination stands for one distinct value
+    of a coarser one, so that distinct values are counted by flags of first rows and no row is spread for them."""
+    known = F.array_intersect("tags", F.array(*[F.lit(t) for t in registered]).cast("array<string>"))
     named = s.withColumnRenamed("uid", "user").withColumnRenamed("did", "device")
-    named = named.withColumn("u_", F.col("user")).withColumn("c_", F.col("content")).withColumn("d_", F.col("device"))
-    out = all_cube(named, FIXED, ["content", "user", "device"], [*usage_measures(), F.count_distinct("u_").alias("u"), F.count_distinct("c_").alias("c"), F.count_distinct("d_").alias("d")], registered=registered)
-    for dim, n in (("user", "u"), ("content", "c"), ("device", "d")):
-        out = out.withColumn(f"unique_{dim}s", F.when(F.col(dim) == "all", F.col(n)).otherwise(0)).drop(n)
+    named = named.where(" and ".join(f"{d} is not null and {d} != ''" for d in ("content", "user", "device")))
+    named = named.select(*FIXED, "content", "user", "device", F.coalesce(known, F.array().cast("array<string>")).alias("known"), "ms", "interactions", "start_ms", "end_ms")
+    # Null stands for all tags until the end, so that no tag is mistaken for it.
+    tags = F.concat(F.array(F.lit(None).cast("string")), "known")
+    dealt = named.repartition(*FIXED, "user").withColumn("tag", F.explode(tags))
+    keys = [*FIXED, "tag"]
+    each = dealt.groupBy(*keys, "content", "user", "device").agg(*usage_measures())
+    # Each ranking is of rows that one task has already.
+    first = lambda by, order: (F.row_number().over(Window.partitionBy(*keys, *by).orderBy(*order)) == 1).cast("long")
+    each = each.withColumn("of_cu", first(["user", "content"], ["device"])).withColumn("of_u", first(["user"], ["content", "device"])).withColumn("of_ud", first(["user", "device"], ["content"]))
+
+    def rolled(rows: DataFrame, dims: list[str], **counts: Column) -> DataFrame:
+        merged = [how(c).alias(c) for c, how in MERGED.items()]
+        return rows.groupBy(*keys, *dims).agg(*merged, *[c.alias(n) for n, c in counts.items()])
+
+    one, of = F.count("*"), {c: F.sum(c) for c in ("of_cu", "of_u", "of_ud")}
+    pairs = rolled(each, ["content", "device"], users=one, **of)  # with what its users are in coarser combinations
+    places = F.count_distinct("content"), F.count_distinct("device")
+    parts = [
+        each, rolled(each, ["content", "user"], devices=one), rolled(each, ["user", "device"], contents=one), rolled(each, ["user"], contents=of["of_cu"], devices=of["of_ud"]),
+        pairs, rolled(pairs, ["content"], users=of["of_cu"], devices=one), rolled(pairs, ["device"], users=of["of_ud"], contents=one), rolled(pairs, [], users=of["of_u"], contents=places[0], devices=places[1]),
+    ]
+    out = None
+    for part in parts:
+        value = lambda c, default: F.col(c) if c in part.columns else F.lit(default)  # noqa: B023, E731
+        part = part.select(*FIXED, *[value(d, "all").alias(d) for d in ("content", "user", "device")], F.coalesce("tag", F.lit("all")).alias("tag"), *MERGED, *[value(f"{d}s", 0).cast("long").alias(f"unique_{d}s") for d in ("user", "content", "device")])
+        out = part if out is None else out.unionByName(part)
     return with_ratios(out)
 
 

@@ -1,6 +1,7 @@
 """Edge rules on small frames made by hand."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,30 @@ def test_cube_tells_all_from_values_and_leaves_out_empty_ones(spark):
     assert got == {("all", "all", "all"): 2, ("u1", "all", "all"): 2, ("all", "c1", "all"): 1, ("all", "c2", "all"): 1, ("u1", "c1", "all"): 1, ("u1", "c2", "all"): 1, ("all", "all", "t0"): 1, ("u1", "all", "t0"): 1, ("all", "c1", "t0"): 1, ("u1", "c1", "t0"): 1}
 
 
+def test_workflow_usage_counts_distinct_values_without_spreading_rows(spark):
+    rnd = random.Random(5)
+    pick = lambda *values: rnd.choice(values)
+    data = [(20240101 + rnd.randint(0, 1), "app", pick(None, "ch"), pick("c1", "c2", "all", "", None), pick("u1", "u2", "u3", None), pick("d1", "d2", "all"), pick(["t0", "t0"], ["all", "t9"], ["t0", "all"], [], None), rnd.randint(0, 9), rnd.randint(0, 3), i, i + rnd.randint(0, 5)) for i in range(300)]
+    s = spark.createDataFrame(data, "period int, app string, channel string, content string, uid string, did string, tags array<string>, ms long, interactions long, start_ms long, end_ms long")
+    out = summaries.workflow_usage(s, ["t0", "all"])
+    groups: dict = {}
+    for period, app, channel, c, u, d, tags, *measures in data:
+        if c and u and d:
+            for tag in [(False, "all"), *[(True, t) for t in sorted(set(tags or []) & {"t0", "all"})]]:
+                for real in cube.subsets([0, 1, 2]):
+                    groups.setdefault((period, app, channel, *[v if i in real else "all" for i, v in enumerate((c, u, d))], tag, tuple(real)), []).append(((c, u, d), measures))
+    want = []
+    for (*key, tag, real), rows in groups.items():
+        distinct = [0 if i in real else len({r[0][i] for r in rows}) for i in range(3)]
+        m = list(zip(*[r[1] for r in rows]))
+        want.append((*key, tag[1], sum(m[0]), len(rows), sum(m[1]), min(m[2]), max(m[3]), distinct[1], distinct[0], distinct[2]))
+    columns = ["period", "app", "channel", "content", "user", "device", "tag", "total_ms", "total_sessions", "total_interactions", "first_ms", "last_ms", "unique_users", "unique_contents", "unique_devices"]
+    got = [tuple(r) for r in out.select(*columns).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    # Rows are spread for the distinct pairs of content and device alone.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Expand") <= 1
+
+
 def test_merge_in_two_runs_is_one_run(spark):
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], "k string, n long")
     one = rollup.merge(rows, None, ["k"], {"n": "sum"})
