@@ -31,34 +31,62 @@ def by_period(rows: DataFrame, columns: list[str], ms: str = "ets", kinds: tuple
 @dataclass
 class Facts:
     """keys; measures: column -> sum, min, max or list (of an array column, a distinct union); distinct: name -> column whose distinct
-    values are counted. Rows have a time in milliseconds, `ets`."""
+    values are counted; totals: key -> the value under which each row counts once more. Rows have a time in milliseconds, `ets`."""
 
     keys: list[str]
     measures: dict[str, str]
     distinct: dict[str, str] = field(default_factory=dict)
     kinds: tuple[str, ...] = PERIODS
+    totals: dict[str, str] = field(default_factory=dict)
+
+    def _summed(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.groupBy(*keys).agg(*[_merged(c, how).alias(c) for c, how in self.measures.items()])
 
     def merge(self, rows: DataFrame, old: DataFrame | None) -> DataFrame:
         """rows: of by_period; old: facts. Facts of all their keys."""
         whole = ["kind", "period", *self.keys]
-        sums = rows.groupBy(*whole).agg(*[_merged(c, how).alias(c) for c, how in self.measures.items()])
+        return self._with_old(rows, {name: rows.select(*whole, F.col(value).alias("_v")) for name, value in self.distinct.items()}, old)
+
+    def _with_old(self, rows: DataFrame, values: dict[str, DataFrame], old: DataFrame | None) -> DataFrame:
+        """rows: of the measures; values: name -> rows of the values to count, _v."""
+        whole = ["kind", "period", *self.keys]
+        sums = self._summed(rows, whole)
         if old is not None:
-            sums = sums.unionByName(old.select(*whole, *self.measures)).groupBy(*whole).agg(*[_merged(c, how).alias(c) for c, how in self.measures.items()])
-        for name, value in self.distinct.items():
-            counted = bloom.inserted(rows.select(*whole, F.col(value).alias("_v")), whole, "_v", bloom.size_of(F.col("kind")), old, name)
+            sums = self._summed(sums.unionByName(old.select(*whole, *self.measures)), whole)
+        for name in self.distinct:
+            counted = bloom.inserted(values[name], whole, "_v", bloom.size_of(F.col("kind")), old, name)
             counted = counted.withColumnsRenamed({k: f"_{k}" for k in whole})
             sums = sums.join(counted, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in whole], "left").drop(*[f"_{k}" for k in whole])
             sums = sums.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
             sums = sums.withColumn(f"{name}_bits", F.coalesce(f"{name}_bits", F.create_map().cast("map<bigint,binary>")))
         return sums
 
+    def _spread(self, rows: DataFrame, columns: list[str]) -> DataFrame:
+        """kind and period before these columns, a row for each kind of period and, of a key with a total, for that as well."""
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("period")) for k in self.kinds]))
+        rows = rows.select(each.alias("_p"), *columns).select("_p.kind", "_p.period", *columns)
+        for key, total in self.totals.items():
+            if key in columns:
+                rows = rows.withColumn(key, F.explode(F.array(F.col(key), F.lit(total))))
+        return rows
+
     def add(self, table: VersionedTable, batch: str, rows: DataFrame) -> bool:
-        """Rolls rows up into the table, unless the batch is in already."""
+        """Rolls rows up into the table, unless the batch is in already.
+
+        Rows are stored with their periods and spread over them late: sums when they are summed by all periods at once, values when
+        each is there once and, with all that it has, in one partition, where it is counted once for a period without a shuffle."""
         if batch in table.batches():
             return False
+        periods = [f"_{k}" for k in self.kinds]
         wanted = list(dict.fromkeys([*self.keys, *self.measures, *self.distinct.values()]))
-        each = stored(by_period(rows, wanted, kinds=self.kinds), "batch")
-        return table.apply(batch, each, self.merge)
+        each = stored(rows.select(*[period(F.col("ets"), k).alias(f"_{k}") for k in self.kinds], *wanted), "batch")
+        sums = self._spread(self._summed(each, [*periods, *self.keys]), [*self.keys, *self.measures])
+        values = {}
+        for name, value in self.distinct.items():
+            found = each.select(*periods, *self.keys, F.col(value).alias("_v")).where("_v is not null").distinct()
+            values[name] = self._spread(bloom.hashed(found, "_v").repartition("_v"), [*self.keys, "_v", "_a", "_b"])
+        touched = self._spread(each.select(*periods).distinct(), [])
+        return table.apply(batch, touched, lambda _, old: self._with_old(sums, values, old))
 
 
 def fact_table(spark: SparkSession, path: str) -> VersionedTable:

@@ -111,10 +111,9 @@ def _fact(name: str):
 
     def run(spark: SparkSession, d: str) -> DataFrame:
         rows = _rows(spark, d)
-        if name == "u4_workflow_fact":  # a content's rows, and the same for all
-            rows = rows.withColumn("_real", F.col("content")).withColumn("content", F.explode(F.array("content", F.lit("all"))))
-        values = {n: "_real" if n == "contents" and "_real" in rows.columns else VALUES[n] for n in distinct}
-        kind = facts.Facts(keys, {s: HOW[s] for s in sums}, values)
+        rows = stored(rows.select("ets", "period", *[c for c in rows.columns if c in {*keys, *sums, *[VALUES[n] for n in distinct]}]), "rows")
+        totals = {"content": "all"} if name == "u4_workflow_fact" else {}  # a content's rows, and the same for all
+        kind = facts.Facts(keys, {s: HOW[s] for s in sums}, {n: VALUES[n] for n in distinct}, totals=totals)
         kept = table(spark, name)
         for batch, part in (("early", SPLIT), ("late", f"not ({SPLIT})"), ("late", f"not ({SPLIT})")):
             kind.add(kept, batch, rows.where(part))

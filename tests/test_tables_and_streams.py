@@ -1,5 +1,6 @@
 """Tables with a ledger, Bloom states, folders, documents of differing keys, sweeps, state machines and streams, against plain versions."""
 
+import glob
 import hashlib
 import random
 import statistics
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from edutide.functions import scalars
 from edutide.operators import aggregate, bloom, facts, joins, ordering, products, recommend, workflow
 from edutide.sources import files, layout, variants
-from edutide.sources.shared import stored
+from edutide.sources.shared import shared_folder, stored
 from edutide.sources.versioned import VersionedTable
 from edutide.streaming import windows
 
@@ -94,6 +95,28 @@ def test_facts_of_two_batches_are_those_of_one(spark, tmp_path):
     assert top == {c: len({u for _, x, u, _ in rows if x == c}) for c in top}
 
 
+def test_facts_spread_rows_late_and_sort_no_bits(spark, tmp_path):
+    """A batch is stored with a row a row, and bits meet in a hash aggregate; values and totals are those of rows spread before."""
+    rnd = random.Random(5)
+    rows = [(1704067200000 + rnd.randint(0, 40) * 86_400_000, rnd.choice(["c0", "c1", None]), rnd.choice([f"u{rnd.randint(0, 40)}", None]), rnd.randint(0, 9)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "ets long, c string, u string, n long").withColumn("v", F.col("c"))
+    plain = facts.Facts(["c"], {"n": "sum"}, {"users": "u", "own": "v"})
+    kind = facts.Facts(["c"], {"n": "sum"}, {"users": "u", "own": "c"}, totals={"c": "all"})
+    one, two = (facts.fact_table(spark, str(tmp_path / x)) for x in ("one", "two"))
+    before = set(glob.glob(f"{shared_folder(spark)}/edutide/batch-*"))
+    for b, w in (("a", "n < 5"), ("b", "n >= 5")):
+        kind.add(two, b, df.where(w))
+    stored_rows = sum(spark.read.parquet(f).count() for f in set(glob.glob(f"{shared_folder(spark)}/edutide/batch-*")) - before)
+    for b, w in (("a", "n < 5"), ("b", "n >= 5")):
+        plain.add(one, b, df.where(w).withColumn("c", F.explode(F.array("c", F.lit("all")))))
+    shown = lambda t: {(r.kind, r.period, r.c): (r.n, r.users, r.own, *({b: bytes(x) for b, x in m.items()} for m in (r.users_bits, r.own_bits))) for r in t.read().collect()}
+    assert shown(one) == shown(two) and len(shown(two)) > 100
+    assert stored_rows == len(rows)
+    values = facts.by_period(df, ["c", "u"])
+    made = bloom.inserted(values, ["kind", "period", "c"], "u", bloom.size_of(F.col("kind")), None, "users")
+    assert "bitmap_construct_agg" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_dated_scans_open_only_the_files_they_need(spark, small, tmp_path):
     events, path = spark.read.parquet(f"{small}/events.parquet"), str(tmp_path / "dated")
     layout.write_dated(events, path, F.col("ts"), also=("event_type",))
