@@ -22,6 +22,12 @@ def _merged(c: str, how: str) -> Column:
     return {"sum": F.sum(c), "min": F.min(c), "max": F.max(c), "list": F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))}[how]
 
 
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """left joined with right by these columns, of which a null is the same as a null."""
+    right = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    return left.join(right, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys], how).drop(*[f"_right_{k}" for k in keys])
+
+
 def by_period(rows: DataFrame, columns: list[str], ms: str = "ets", kinds: tuple[str, ...] = PERIODS) -> DataFrame:
     """kind and period before these columns, a row for each kind of period."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), period(F.col(ms), k).alias("period")) for k in kinds]))
@@ -45,22 +51,43 @@ class Facts:
     def merge(self, rows: DataFrame, old: DataFrame | None) -> DataFrame:
         """rows: of by_period; old: facts. Facts of all their keys."""
         whole = ["kind", "period", *self.keys]
-        return self._with_old(rows, {name: rows.select(*whole, F.col(value).alias("_v")) for name, value in self.distinct.items()}, old)
+        counted = {name: bloom.inserted(rows.select(*whole, F.col(value).alias("_v")), whole, "_v", bloom.size_of(F.col("kind")), old, name) for name, value in self.distinct.items()}
+        return self._joined(rows, counted, old)
 
-    def _with_old(self, rows: DataFrame, values: dict[str, DataFrame], old: DataFrame | None) -> DataFrame:
-        """rows: of the measures; values: name -> rows of the values to count, _v."""
+    def _joined(self, rows: DataFrame, counted: dict[str, DataFrame], old: DataFrame | None) -> DataFrame:
+        """rows: of the measures; counted: of distinct values, old ones too, by kind, period and keys."""
         whole = ["kind", "period", *self.keys]
         sums = self._summed(rows, whole)
         if old is not None:
             sums = self._summed(sums.unionByName(old.select(*whole, *self.measures)), whole)
-        for name in self.distinct:
-            counted = bloom.inserted(values[name], whole, "_v", bloom.size_of(F.col("kind")), old, name)
-            counted = counted.withColumnsRenamed({k: f"_{k}" for k in whole})
-            sums = sums.join(counted, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in whole], "left").drop(*[f"_{k}" for k in whole])
-            sums = sums.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+        for name, found in counted.items():
+            sums = _same(sums, found, whole, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
             sums = sums.withColumn(f"{name}_bits", F.coalesce(f"{name}_bits", F.create_map().cast("map<bigint,binary>")))
         return sums
 
+    def _counted(self, each: DataFrame, old: DataFrame | None) -> dict[str, DataFrame]:
+        """Distinct values of rows with all their periods, and of old facts, by kind, period and keys.
+
+        Facts have numbers while values are counted. A value is there once for the periods and keys of its rows, lies with all that it
+        has in one partition, and is counted there once for a fact without a shuffle."""
+        whole, fine, own = ["kind", "period", *self.keys], [*(f"_{k}" for k in self.kinds), *self.keys], [f"_own_{k}" for k in self.keys]
+        groups = each.select(*fine).distinct().withColumns({o: F.col(k) for o, k in zip(own, self.keys)})
+        groups = stored(self._spread(groups, [*fine, *own]), "groups")
+        facts = groups.select(*whole) if old is None else groups.select(*whole).unionByName(old.select(*whole))
+        numbers = stored(facts.distinct().withColumns({"_g": F.monotonically_increasing_id(), "_size": bloom.size_of(F.col("kind"))}), "numbers")
+        of = [c if c not in self.keys else f"_own_{c}" for c in fine]
+        groups = _same(groups.select(*whole, *of), numbers, whole).groupBy(*of).agg(F.collect_list(F.struct("_g", "_size")).alias("_in"))
+        groups = stored(groups.withColumnsRenamed(dict(zip(own, self.keys))).withColumn("_f", F.monotonically_increasing_id()), "groups")
+        rows = _same(each.select(*fine, *(F.col(v).alias(f"_of_{n}") for n, v in self.distinct.items())), groups.select(*fine, "_f"), fine)
+        old = None if old is None else _same(old, numbers, whole)
+        out = {}
+        for name in self.distinct:
+            found = rows.select("_f", F.col(f"_of_{name}").alias("_v")).where("_v is not null").distinct()
+            found = bloom.hashed(found, "_v").repartition("_v").join(groups.select("_f", "_in"), "_f").select(F.explode("_in").alias("_n"), "_v", "_a", "_b")
+            counted = bloom.inserted(found.select("_n._g", "_n._size", "_v", "_a", "_b"), ["_g", "_size"], "_v", F.col("_size"), old, name)
+            out[name] = counted.join(numbers.drop("_size"), "_g").select(*whole, name, f"{name}_bits")
+        return out
+
     def _spread(self, rows: DataFrame, columns: list[str]) -> DataFrame:
         """kind and period before these columns, a row for each kind of period and, of a key with a total, for that as well."""
         each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("period")) for k in self.kinds]))
@@ -71,22 +98,16 @@ class Facts:
         return rows
 
     def add(self, table: VersionedTable, batch: str, rows: DataFrame) -> bool:
-        """Rolls rows up into the table, unless the batch is in already.
-
-        Rows are stored with their periods and spread over them late: sums when they are summed by all periods at once, values when
-        each is there once and, with all that it has, in one partition, where it is counted once for a period without a shuffle."""
+        """Rolls rows up into the table, unless the batch is in already. Rows are stored with their periods, and what is left of
+        them by all periods at once is spread over these."""
         if batch in table.batches():
             return False
         periods = [f"_{k}" for k in self.kinds]
         wanted = list(dict.fromkeys([*self.keys, *self.measures, *self.distinct.values()]))
         each = stored(rows.select(*[period(F.col("ets"), k).alias(f"_{k}") for k in self.kinds], *wanted), "batch")
         sums = self._spread(self._summed(each, [*periods, *self.keys]), [*self.keys, *self.measures])
-        values = {}
-        for name, value in self.distinct.items():
-            found = each.select(*periods, *self.keys, F.col(value).alias("_v")).where("_v is not null").distinct()
-            values[name] = self._spread(bloom.hashed(found, "_v").repartition("_v"), [*self.keys, "_v", "_a", "_b"])
         touched = self._spread(each.select(*periods).distinct(), [])
-        return table.apply(batch, touched, lambda _, old: self._with_old(sums, values, old))
+        return table.apply(batch, touched, lambda _, old: self._joined(sums, self._counted(each, old) if self.distinct else {}, old))
 
 
 def fact_table(spark: SparkSession, path: str) -> VersionedTable:
