@@ -5,25 +5,26 @@ routing object, inner pages around routing objects of their own, all of them vec
 every entry's distance to its parent's object. Queries are packed into blocks of about QUERIES; every block goes to every
 shard, and the shards' best are merged by query. Distances are Euclidean; for a page with object p and radius r, no member x
 has <q, x> above <q, p> + |q| r, and an entry at distance d from its parent's object p' has <q, x> of at most
-<q, p'> + |q| (d + r), which is tried first, before anything is computed for the entry.
+<q, p'> + |q| (d + r), which is tried first, before anything is computed for the entry. A block's queries go down to their
+best leaf first and then from leaf to leaf, the best first, those of them together that a leaf may still hold something for.
 """
 
 from __future__ import annotations
 
-import heapq
 import pickle
-from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytewords import freed
-from .stage import stored
+from .bytewords import release
+from .stage import parallelism, stored
 
 SHARD, PAGE, FANOUT, QUERIES = 8192, 128, 32, 512
+#: Blocks of queries that a shard is asked at once, at most.
+SPAN = 16
 
 
 def _norms(x: np.ndarray) -> np.ndarray:
@@ -52,15 +53,32 @@ class Tree:
         self.longest = float(_norms(self.x).max(initial=0.0))
         self.top = int(np.abs(self.x).max(initial=0.0))
 
-    def scores(self, lo: int, hi: int, q: np.ndarray, qf: np.ndarray) -> np.ndarray:
-        most = self.top * int(np.abs(qf).max(initial=0.0)) * max(1, len(q))
+    def scores(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Exact inner products of queries with rows, a line a query."""
+        most = self.top * int(np.abs(q.astype(np.float64)).max(initial=0.0)) * max(1, q.shape[1])
         if most < 1 << 53:
-            return (self.x[lo:hi] @ qf).astype(np.int64)
+            return (q.astype(np.float64) @ self.x[rows].T).astype(np.int64)
         if most < 1 << 63:
-            return self.exact[lo:hi] @ q
-        found = self.exact[lo:hi].astype(object) @ q.astype(object)
+            return q @ self.exact[rows].T
+        found = q.astype(object) @ self.exact[rows].astype(object).T
         return found.astype(np.int64)  # raises OverflowError where a score is beyond 64 bits
 
+    def packed(self) -> bytes:
+        return pickle.dumps([_narrow(getattr(self, f.name)) for f in fields(self)])
+
+    @staticmethod
+    def unpacked(data: bytes) -> Tree:
+        ids, exact, *rest = pickle.loads(data)
+        return Tree(ids.astype(np.int64), exact.astype(np.int64), *rest)
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Integers in the least bytes that hold them, for the way."""
+    if x.dtype != np.int64 or not x.size:
+        return x
+    low, high = int(x.min()), int(x.max())
+    return x.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
 
 def build(exact: np.ndarray, ids: np.ndarray) -> Tree:
     """The tree of integer vectors. A page whose members can't be told apart stays one leaf."""
@@ -107,45 +125,103 @@ def _split(x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
     return [rows[near == i] for i in range(len(centres)) if (near == i).any()]
 
 
-def search(tree: Tree, q: np.ndarray, own: int | None, k: int, counter: list[int] | None = None) -> list[tuple[int, int]]:
-    """The k best (score, id) for q, rows of its own id left out: highest score, then smallest id. counter: scores computed."""
+class _Best:
+    """The k best of each query so far, as they stand in score and id; floor: the least score that may still come in."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.k, self.score, self.id = k, np.zeros((n, k), np.int64), np.zeros((n, k), np.int64)
+        self.found, self.floor = np.zeros(n, np.int64), np.full(n, -np.inf)
+
+    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray, other: np.ndarray) -> None:
+        """Scores of some queries with some ids, where `other` says that an id is not the query's own: highest score, then smallest id."""
+        k = self.k
+        least = np.where(self.found[rows] == k, self.score[rows, -1], np.iinfo(np.int64).min)
+        i, j = np.nonzero(other & (scores >= least[:, None]))
+        if not len(i):
+            return
+        hit, i = np.unique(i, return_inverse=True)
+        row = rows[hit]
+        a, b = np.nonzero(np.arange(k) < self.found[row, None])
+        at = np.concatenate([a, i])
+        score, number = np.concatenate([self.score[row[a], b], scores[hit[i], j]]), np.concatenate([self.id[row[a], b], ids[j]])
+        order = np.lexsort((number, ~score, at))  # ~: the greatest first, with no overflow
+        at = at[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        order, at, place = order[place < k], at[place < k], place[place < k]
+        self.score[row[at], place], self.id[row[at], place] = score[order], number[order]
+        self.found[row] = np.bincount(at, minlength=len(row))
+        full = row[self.found[row] == k]
+        self.floor[full] = self.score[full, -1]
+
+
+def search_all(tree: Tree, q: np.ndarray, own: np.ndarray | None, k: int, counter: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best for each of a block of queries, rows of its own id left out: highest score, then smallest id. Rows of (place in the
+    block, score, id), the best first. counter: scores computed."""
     qf = q.astype(np.float64)
-    length = float(np.sqrt(qf @ qf))
+    length = _norms(qf)
     room = 1.0 + 1e-11 * length * tree.longest  # for rounding in bounds, which are computed in doubles
-    best: list[tuple[int, int]] = []  # a heap of (score, -id)
-    floor = -np.inf
-    queue: list[tuple[float, int, float]] = [(-np.inf, 0, float(tree.x[tree.pivot[0]] @ qf) if len(tree.ids) else 0.0)]
-    while queue:
-        bound, n, at = heapq.heappop(queue)
-        if -bound < floor:
-            break
+    best, everyone = _Best(len(q), k), np.arange(len(q))
+    nothing = np.zeros(0, np.int64)
+    if not len(tree.ids) or not len(q) or k < 1:
+        return nothing, nothing, nothing
+
+    def read(n: int, rows: np.ndarray, at: np.ndarray) -> None:
         lo, hi = int(tree.lo[n]), int(tree.hi[n])
-        if tree.leaf[n]:
-            maybe = at + length * tree.away[lo:hi] + room >= floor
-            maybe &= tree.ids[lo:hi] != own
-            if not maybe.any():
-                continue
-            scores, ids = tree.scores(lo, hi, q, qf)[maybe], tree.ids[lo:hi][maybe]
+        other = np.ones((len(rows), hi - lo), bool) if own is None else own[rows, None] != tree.ids[lo:hi]
+        maybe = other & ((at + room[rows])[:, None] + length[rows, None] * tree.away[lo:hi] >= best.floor[rows, None])
+        some, of = maybe.any(1), np.flatnonzero(maybe.any(0))
+        if len(of):
+            rows = rows[some]
+            scores = tree.scores(lo + of, q[rows])
             if counter is not None:
-                counter[0] += len(ids)
-            if len(best) == k:
-                keep = scores >= best[0][0]
-                scores, ids = scores[keep], ids[keep]
-            pick = np.lexsort((ids, -scores))[:k]
-            for s, i in zip(scores[pick].tolist(), ids[pick].tolist()):
-                if len(best) < k:
-                    heapq.heappush(best, (s, -i))
-                elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
-            if len(best) == k:
-                floor = best[0][0]
+                counter[0] += scores.size
+            best.offer(rows, scores, tree.ids[lo + of], other[some][:, of])
+
+    def below(n: int, rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Children that may hold something for one of the queries, the queries' products with their objects, and bounds."""
+        lo, hi = int(tree.lo[n]), int(tree.hi[n])
+        cheap = (at + room[rows])[:, None] + length[rows, None] * (tree.parent[lo:hi] + tree.radius[lo:hi]) >= best.floor[rows, None]
+        nodes = lo + np.flatnonzero(cheap.any(0))
+        inner = qf[rows] @ tree.x[tree.pivot[nodes]].T
+        return nodes, inner, inner + length[rows, None] * tree.radius[nodes] + room[rows, None]
+
+    root = qf @ tree.x[tree.pivot[0]]
+    first = np.zeros(len(q), np.int64)  # the leaf that a query has been in
+    waiting = [(0, everyone, root)]
+    while waiting:
+        n, rows, at = waiting.pop()
+        if tree.leaf[n]:
+            first[rows] = n
+            read(n, rows, at)
             continue
-        cheap = lo + np.flatnonzero(at + length * (tree.parent[lo:hi] + tree.radius[lo:hi]) + room >= floor)
-        inner = tree.x[tree.pivot[cheap]] @ qf
-        upper = inner + length * tree.radius[cheap] + room
-        for j in np.flatnonzero(upper >= floor):
-            heapq.heappush(queue, (-float(upper[j]), int(cheap[j]), float(inner[j])))
-    return sorted(((s, -i) for s, i in best), key=lambda t: (-t[0], t[1]))
+        nodes, inner, upper = below(n, rows, at)
+        to = upper.argmax(1)
+        waiting += [(int(nodes[c]), rows[to == c], inner[to == c, c]) for c in np.unique(to)]
+    waiting, leaves = [(0, everyone, root)], []
+    while waiting:
+        n, rows, at = waiting.pop()
+        if tree.leaf[n]:
+            continue  # the root is the only leaf that comes here
+        nodes, inner, upper = below(n, rows, at)
+        maybe = (upper >= best.floor[rows, None]) & (first[rows, None] != nodes)
+        for c in np.flatnonzero(maybe.any(0)):
+            m = maybe[:, c]
+            if tree.leaf[nodes[c]]:
+                leaves.append((upper[m, c].max(), int(nodes[c]), rows[m], inner[m, c], upper[m, c]))
+            else:
+                waiting.append((int(nodes[c]), rows[m], inner[m, c]))
+    for _, n, rows, at, upper in sorted(leaves, key=lambda leaf: -leaf[0]):
+        m = upper >= best.floor[rows]
+        if m.any():
+            read(n, rows[m], at[m])
+    row, place = np.nonzero(np.arange(k) < best.found[:, None])
+    return row, best.score[row, place], best.id[row, place]
+
+
+def search(tree: Tree, q: np.ndarray, own: int | None, k: int, counter: list[int] | None = None) -> list[tuple[int, int]]:
+    """The k best (score, id) for one query."""
+    _, scores, ids = search_all(tree, q[None], None if own is None else np.array([own]), k, counter)
+    return list(zip(scores.tolist(), ids.tolist()))
 
 
 def _matrix(vectors: pa.ChunkedArray, size: int) -> np.ndarray:
@@ -157,26 +233,27 @@ def _matrix(vectors: pa.ChunkedArray, size: int) -> np.ndarray:
 def _built(key: tuple, rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("id")
     tree = build(_matrix(rows.column("v"), key[1].as_py()), rows.column("id").to_numpy())
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "size": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "size": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([tree.packed()], pa.binary())})
 
 
 def _block(key: tuple, rows: pa.Table) -> pa.Table:
-    asked = _matrix(rows.column("v"), key[1].as_py())
-    return pa.table({"size": pa.array([key[1].as_py()], pa.int32()), "asked": pa.array([pickle.dumps((rows.column("id").to_numpy(), asked))], pa.binary())})
+    asked = _narrow(_matrix(rows.column("v"), key[1].as_py()))
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "size": pa.array([key[1].as_py()], pa.int32()), "asked": pa.array([pickle.dumps((rows.column("id").to_numpy(), asked))], pa.binary())})
 
 
 def _search(k: int):
-    @freed
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have, tree = None, None
-        for b in batches:
-            for i in range(b.num_rows):
-                key = (b.column("shard")[i].as_py(), b.column("size")[i].as_py())
-                if key != have:
-                    have, tree = key, pickle.loads(b.column("tree")[i].as_py())
-                ids, asked = pickle.loads(b.column("asked")[i].as_py())
-                out = [(own, i, s) for own, q in zip(ids.tolist(), asked) for s, i in search(tree, q, own, k)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
+    """A shard's tree of a size and a span of blocks."""
+
+    def run(trees: pa.Table, blocks: pa.Table) -> pa.Table:
+        out = []
+        tree = Tree.unpacked(trees.column("tree")[0].as_py()) if len(trees) and len(blocks) else None
+        for data in blocks.column("asked") if tree is not None else ():
+            ids, asked = pickle.loads(data.as_py())
+            row, scores, found = search_all(tree, asked.astype(np.int64), ids, k)
+            out.append((ids[row], found, scores))
+        found = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+        release()
+        return pa.table([pa.array(c, pa.int64()) for c in found], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -200,11 +277,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
     """
     data, asked = (integer_vectors(v, id_col, vector_col, scale).where("id is not null") for v in (vectors, queries))
     shards, blocks = max(1, -(-data.count() // SHARD)), max(1, -(-asked.count() // QUERIES))
-    dealt = data.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)))
+    tasks = 4 * parallelism(vectors.sparkSession)
+    dealt = data.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards))).repartition(max(tasks, shards), "shard", "size")
     trees = stored(dealt.groupBy("shard", "size").applyInArrow(_built, "shard long, size int, tree binary"), "trees")
-    packed = asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).groupBy("block", "size").applyInArrow(_block, "size int, asked binary")
-    # A stated query set in blocks: each block once to each shard that has vectors of its size.
-    sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    found = trees.join(sent, ["shard", "size"]).mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    packed = asked.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))).groupBy("block", "size").applyInArrow(_block, "block long, size int, asked binary")
+    # A stated query set in blocks: each block once to each shard that has vectors of its size. Both sides are shuffled: what goes to
+    # all shards has no bound that would let it pass through the driver, as a broadcast does.
+    spans = min(blocks, max(-(-blocks // SPAN), -(-2 * tasks // shards)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    keys, parts = ["shard", "span", "size"], max(tasks, shards * spans // 4)
+    sent = packed.withColumn("span", F.col("block") % spans).withColumn("shard", every(shards)).repartition(parts, *keys)
+    asked_of = trees.withColumn("span", every(spans)).repartition(parts, *keys)
+    found = asked_of.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
